@@ -110,7 +110,11 @@ def train_forest(
     config: ClimateConfig = ClimateConfig(),
     columns: Sequence[str] = FEATURE_COLUMNS,
 ) -> PipelineModel:
-    """Fit the class-balanced forest; the stored model holds assembler and forest."""
+    """Fit the class-balanced forest; the stored model holds assembler and forest.
+
+    The weighted rows are kept while the forest is fitted, because it reads them several times
+    (label range, split candidates, bagging).
+    """
     assembler = VectorAssembler(inputCols=list(columns), outputCol=FEATURES)
     forest = RandomForestClassifier(
         featuresCol=FEATURES,
@@ -122,7 +126,11 @@ def train_forest(
         seed=config.seed,
     )
     weighted = with_class_weights(train.select(*columns, TARGET_COLUMN))
-    model = forest.fit(assembler.transform(weighted))
+    rows = assembler.transform(weighted).select(FEATURES, TARGET_COLUMN, WEIGHT).persist()
+    try:
+        model = forest.fit(rows)
+    finally:
+        rows.unpersist()
     return PipelineModel([assembler, model])
 
 
@@ -305,3 +313,26 @@ def metrics_record(
         auc.alias("roc_auc"),
         *[f"{m}_{c}" for c in ("0", "1") for m in ("precision", "recall", "f1")],
     )
+
+
+def metrics_document(
+    record: DataFrame, scored_test: DataFrame, columns: Sequence[str] = FEATURE_COLUMNS
+) -> DataFrame:
+    """The metrics record as one nested document: report per class, class counts, model inputs.
+
+    The lists inside hold one entry per class, so two or three.
+    """
+    lines = classification_report(scored_test).agg(
+        F.sort_array(F.collect_list(F.struct("class", "precision", "recall", "f1", "support")))
+    )
+    classes = class_distribution(scored_test).agg(
+        F.sort_array(F.collect_list(F.struct("class", "n")))
+    )
+    return record.withColumns(
+        {
+            "classification_report": lines.scalar(),
+            "class_distribution_test": classes.scalar(),
+            "feature_columns": F.array(*[F.lit(c) for c in columns]),
+            "target_column": F.lit(TARGET_COLUMN),
+        }
+    )
