@@ -194,7 +194,7 @@ def log_run(
         log.exception("could not log the run")
 
 
-def run_pipeline(
+def run_job(
     spark: SparkSession,
     where: Locations,
     config: ClimateConfig = ClimateConfig(),
@@ -242,7 +242,7 @@ def main() -> None:
     given = arguments.parse_args()
     spark = SparkSession.builder.appName("isotherm").getOrCreate()
     where = Locations(given.raw, given.dim_city, given.warehouse)
-    run_pipeline(spark, where, mode=given.mode, with_checks=not given.no_checks)
+    run_job(spark, where, mode=given.mode, with_checks=not given.no_checks)
 
 
 if __name__ == "__main__":

@@ -1,0 +1,100 @@
+from datetime import date
+
+import pytest
+
+from isotherm.config import ClimateConfig
+from isotherm.operators import anomaly, clean
+
+CONFIG = ClimateConfig(baseline_first_year=2000, baseline_last_year=2002)
+
+
+def landing_rows(spark, rows):
+    full = [(1, "Lisbon", "PT", d, tmax, tmin, 15.0, 8.0, rain, 3.0, 4.0) for d, tmax, tmin, rain in rows]
+    return spark.createDataFrame(
+        full,
+        "city_id long, city_name string, country_code string, date date, temperature_2m_max double,"
+        "temperature_2m_min double, temperature_2m_mean double, dew_point_2m_mean double,"
+        "precipitation_sum double, wind_speed_10m_max double, shortwave_radiation_sum double",
+    )
+
+
+def test_clean_flags_and_calendar(spark):
+    daily = clean.clean_daily(
+        landing_rows(
+            spark,
+            [
+                (date(2020, 6, 1), 30.0, 20.0, 10.0),
+                (date(2020, 12, 31), 29.9, 19.9, 9.9),
+                (date(2020, 8, 31), None, None, None),
+            ],
+        )
+    )
+    rows = {r.date: r for r in daily.collect()}
+    june, december, august = (rows[d] for d in sorted(rows, key=lambda d: (d.month != 6, -d.month)))
+    assert (june.is_summer, june.is_heat_day, june.is_tropical_night, june.is_heavy_precip_day) == (1, 1, 1, 1)
+    assert (december.is_summer, december.is_heat_day, december.day_of_year) == (0, 0, 366)
+    assert (august.is_summer, august.is_heat_day, august.is_tropical_night, august.is_heavy_precip_day) == (1, 0, 0, 0)
+
+
+def test_monthly_counts_all_days_and_averages_known_ones(spark):
+    rows = [(date(2020, 7, d), t, 10.0, r) for d, t, r in ((1, 31.0, 1.0), (2, None, 2.0), (3, 35.0, None))]
+    month = clean.monthly_climate(clean.clean_daily(landing_rows(spark, rows))).collect()
+    assert len(month) == 1
+    m = month[0]
+    assert (m.days_in_month, m.avg_tmax_c, m.total_precip_mm) == (3, 33.0, 3.0)
+    assert (m.heat_day_count, m.summer_day_count, m.tropical_night_count) == (2, 3, 0)
+
+
+def monthly(spark, rows):
+    full = [(c, f"city {c}", "PT", y, m, t, t, t, p) for c, y, m, t, p in rows]
+    return spark.createDataFrame(
+        full,
+        "city_id long, city_name string, country_code string, year long, month long,"
+        "avg_tmean_c double, avg_tmax_c double, avg_tmin_c double, total_precip_mm double",
+    )
+
+
+@pytest.fixture
+def months(spark):
+    rows = [(1, y, 1, t, p) for y, t, p in ((2000, 9.0, 1.0), (2001, 10.0, 1.0), (2002, 11.0, 1.0))]
+    rows += [(1, 2010, 1, 12.0, 5.0), (1, 2011, 1, 7.0, 0.0), (1, 2012, 1, 13.0, 0.0)]
+    rows += [(2, 2000, 1, 5.0, 2.0), (2, 2010, 1, 6.0, 2.0)]  # one baseline year
+    rows += [(3, 2010, 1, 6.0, 2.0)]  # none
+    return monthly(spark, rows)
+
+
+def test_climatology(spark, months):
+    rows = {r.city_id: r for r in anomaly.climatology(months, CONFIG).collect()}
+    assert sorted(rows) == [1, 2]
+    assert (rows[1].climatology_tmean_c, rows[1].climatology_tmean_std_c) == (10.0, 1.0)
+    assert rows[1].climatology_total_precip_std_mm == 0.0
+    assert rows[2].climatology_tmean_std_c is None
+
+
+def test_anomalies_and_events(spark, months):
+    table = anomaly.anomaly_month(months, anomaly.climatology(months, CONFIG), CONFIG)
+    rows = {(r.city_id, r.year): r for r in table.collect()}
+    assert len(rows) == 9
+    hot = rows[1, 2010]
+    assert (hot.anomaly_tmean_c, hot.zscore_tmean, hot.anomaly_total_precip_mm) == (2.0, 2.0, 4.0)
+    assert hot.zscore_total_precip is None  # constant baseline
+    assert hot.is_positive_temp_anomaly and hot.is_strong_positive_temp_anomaly
+    cold = rows[1, 2011]
+    assert cold.is_negative_temp_anomaly and cold.is_strong_negative_temp_anomaly
+    assert (hot.month_name, hot.season) == ("January", "DJF")
+    single = rows[2, 2010]
+    assert single.anomaly_tmean_c == 1.0 and single.zscore_tmean is None
+    assert single.is_positive_temp_anomaly and not single.is_strong_positive_temp_anomaly
+    without = rows[3, 2010]
+    assert without.anomaly_tmean_c is None and without.is_positive_temp_anomaly is False
+
+    events = {(r.city_id, r.year): r for r in anomaly.anomaly_events(table, CONFIG).collect()}
+    assert (events[1, 2010].is_hot_event, events[1, 2010].is_extreme_event, events[1, 2010].is_event_next_month) == (True, False, 1)
+    assert (events[1, 2011].is_cold_event, events[1, 2011].is_extreme_event) == (True, True)
+    assert (events[3, 2010].is_hot_event, events[3, 2010].is_event_next_month) == (False, 0)
+
+
+def test_anomalies_average_out_over_the_baseline(spark, months):
+    table = anomaly.anomaly_month(months, anomaly.climatology(months, CONFIG), CONFIG)
+    mean = table.where("year between 2000 and 2002").groupBy("city_id").avg("anomaly_tmean_c")
+    assert all(abs(r[1]) < 1e-12 for r in mean.collect())
