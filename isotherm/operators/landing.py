@@ -14,6 +14,8 @@ from isotherm.schemas import CORRUPT_COLUMN
 
 # The slug is part of the key so that days of unknown cities (NULL id) stay apart.
 LANDING_KEYS = ("city_id", "city_slug", "date")
+# Columns that the dimension gives to a city, hence the same in all rows of a key.
+KEY_LABELS = ("city_name", "country_code")
 
 
 def with_city_slug(raw: DataFrame) -> DataFrame:
@@ -106,12 +108,15 @@ def newest_per_key(
     """One row per key: the newest by `order_by`, else an arbitrary but repeatable one.
 
     An aggregate instead of a ranking window, so that repeated deliveries of one key collapse
-    before the shuffle.
+    before the shuffle. Names follow from the key and are grouped with it; what is left has a
+    fixed width, which keeps this a hash aggregate. All columns of a key come from one row,
+    because each of them is chosen by the same comparisons.
     """
-    values = [c for c in rows.columns if c not in keys]
-    ranked = [order_by] + [c for c in values if c != order_by] if order_by else values
-    picked = rows.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("newest"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"newest.{c}") for c in rows.columns])
+    grouped = [c for c in rows.columns if c in keys or c in KEY_LABELS]
+    values = [c for c in rows.columns if c not in grouped]
+    order = F.col(order_by) if order_by else F.xxhash64(*values)
+    newest = rows.groupBy(*grouped).agg(*[F.max_by(c, order).alias(c) for c in values])
+    return newest.select(*rows.columns)
 
 
 def land_incremental(

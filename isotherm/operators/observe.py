@@ -87,11 +87,13 @@ def last_success(run_log: DataFrame) -> DataFrame:
     )
 
 
-def latest_month(features: DataFrame) -> DataFrame:
-    """First day of the newest (year, month), one row."""
-    newest = F.max(F.struct(F.col("year").cast("int").alias("y"), F.col("month").cast("int").alias("m")))
-    return features.agg(newest.alias("newest")).select(
-        F.make_date("newest.y", "newest.m", F.lit(1)).alias("gold_ml_max_date")
+def feature_extent(features: DataFrame) -> DataFrame:
+    """Row count and first day of the newest (year, month), one row."""
+    year, month = F.col("year").cast("int").alias("y"), F.col("month").cast("int").alias("m")
+    return features.agg(
+        F.count(F.lit(1)).alias("rows_gold_ml"), F.max(F.struct(year, month)).alias("newest")
+    ).select(
+        "rows_gold_ml", F.make_date("newest.y", "newest.m", F.lit(1)).alias("gold_ml_max_date")
     )
 
 
@@ -110,20 +112,19 @@ def run_stats(
     days = landing.agg(
         F.count(F.lit(1)).alias("rows_bronze"), F.max("date").alias("bronze_max_date")
     )
-    rows_gold = features.select(F.count(F.lit(1))).scalar()
-    gold_date = latest_month(features).scalar()
+    extent = feature_extent(features).select(F.struct("rows_gold_ml", "gold_ml_max_date")).scalar()
     before = last_success(run_log).scalar()
 
     def growth(now, name: str):
         return (now - F.coalesce(before[name], F.lit(0))).alias(f"{name}_delta")
 
-    return days.withColumn("rows_gold_ml", rows_gold).select(
+    return days.withColumn("rows_gold_ml", extent["rows_gold_ml"]).select(
         "rows_bronze",
         "rows_gold_ml",
         growth(F.col("rows_bronze"), "rows_bronze"),
         growth(F.col("rows_gold_ml"), "rows_gold_ml"),
         "bronze_max_date",
-        gold_date.alias("gold_ml_max_date"),
+        extent["gold_ml_max_date"].alias("gold_ml_max_date"),
         freshness(
             F.col("bronze_max_date"), as_of, config.fresh_days, config.stale_days
         ).alias("freshness_status"),

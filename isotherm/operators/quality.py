@@ -82,6 +82,11 @@ def _report(results: DataFrame, table: str) -> DataFrame:
     )
 
 
+def target_values(frame: DataFrame, target: str = TARGET_COLUMN) -> DataFrame:
+    """The distinct values of the target."""
+    return frame.select(target).distinct()
+
+
 def contract_problems(frame: DataFrame, contract: T.StructType) -> list[str]:
     """Columns of the contract that are absent or of another kind; reads the schema only.
 

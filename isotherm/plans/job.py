@@ -19,6 +19,7 @@ from isotherm.operators import anomaly as anomalies
 from isotherm.operators import clean, features, landing, ml, observe, quality, telecon
 from isotherm.schemas import ML_METRICS, RUN_LOG
 from isotherm.sources import readers, writers
+from isotherm.sources.scratch import staged
 
 log = logging.getLogger(__name__)
 
@@ -45,9 +46,12 @@ class Locations:
 def land(
     spark: SparkSession, where: Locations, config: ClimateConfig, year: int | None = None
 ) -> DataFrame:
-    """Valid documents into the daily table, invalid ones into quarantine. `year` limits the scan."""
-    raw = readers.read_raw_daily(spark, where.raw, config.variables, year)
-    good, bad = landing.split_valid(landing.validate_raw(landing.with_city_slug(raw), config.variables))
+    """Valid documents into the daily table, invalid ones into quarantine. `year` limits the scan.
+
+    The documents are parsed once; both outputs read the parsed columns.
+    """
+    raw = landing.with_city_slug(readers.read_raw_daily(spark, where.raw, config.variables, year))
+    good, bad = landing.split_valid(staged(landing.validate_raw(raw, config.variables), "documents"))
     writers.write_table(
         bad.select("file_path", "city_slug", "modified_at", "n_records", "errors"),
         where.table("quarantined_documents"),

@@ -378,16 +378,19 @@ def _unique(table: str, source: str, keys: str) -> str:
     )
 
 
+DIM_CITY = f"""
+SELECT s_suppkey AS city_id, CASE WHEN s_suppkey % 4 <> 0 THEN s_name || ' 1' ELSE s_name END AS city_name,
+       CASE WHEN s_suppkey % 3 <> 0 THEN 'XX' ELSE 'N' || s_nationkey END AS country_code,
+       {_r("s_acctbal / 100 + 1", "latitude")}, {_r("s_acctbal / 50 + 1", "longitude")},
+       'UTC' AS timezone, CAST(NULL AS VARCHAR) AS admin1, CAST(NULL AS VARCHAR) AS admin2,
+       s_suppkey * 1000 + 1 AS population, 'geocoding/' || s_suppkey || '.json' AS raw_geocoding_file
+FROM supplier WHERE s_suppkey % 10 <> 9"""
+
 ORACLE: dict[str, str] = {
     # ------------------------------------------------------------------ landing
     "station_daily": f"WITH {DAILY} SELECT {LANDED}, {_each(VARIABLE_LIST)} FROM daily",
-    "dim_city_build": f"""
-        SELECT s_suppkey AS city_id, CASE WHEN s_suppkey % 4 <> 0 THEN s_name || ' 1' ELSE s_name END AS city_name,
-               CASE WHEN s_suppkey % 3 <> 0 THEN 'XX' ELSE 'N' || s_nationkey END AS country_code,
-               {_r("s_acctbal / 100 + 1", "latitude")}, {_r("s_acctbal / 50 + 1", "longitude")},
-               'UTC' AS timezone, CAST(NULL AS VARCHAR) AS admin1, CAST(NULL AS VARCHAR) AS admin2,
-               s_suppkey * 1000 + 1 AS population, 'geocoding/' || s_suppkey || '.json' AS raw_geocoding_file
-        FROM supplier WHERE s_suppkey % 10 <> 9""",
+    "dim_city_build": DIM_CITY,
+    "dim_city_csv": DIM_CITY,
     "raw_validation": f"""WITH {FAULTY},
         found AS (
           SELECT city_slug, year, len(days) AS n,
@@ -424,6 +427,7 @@ ORACLE: dict[str, str] = {
     "stored_upsert": UPSERTED,
     "landing_zone": f"WITH {DAILY} SELECT {LANDED}, {_each(VARIABLE_LIST)} FROM daily",
     "stream_landing": f"WITH {DAILY} SELECT {LANDED}, {_each(VARIABLE_LIST)} FROM daily",
+    "raw_files": f"WITH {DAILY} SELECT city_slug, year, date, {_each(VARIABLE_LIST)} FROM daily",
     "window_plan_backfill": f"""WITH {DAILY}, {WINDOWS}
         SELECT * FROM windows w WHERE NOT EXISTS (
           SELECT 1 FROM daily d WHERE d.city_slug = w.city_slug AND d.year = w.year AND month(d.date) = 12)""",
@@ -451,6 +455,9 @@ ORACLE: dict[str, str] = {
     "monthly_climate": f"""WITH {MONTHLY}
         SELECT city_id, city_name, country_code, year, month, days_in_month, {_each(MONTH_MEASURES)},
                {MONTH_COUNTS} FROM monthly""",
+    "stored_monthly": f"""WITH {MONTHLY}
+        SELECT city_id, city_name, country_code, year, month, days_in_month, {_each(MONTH_MEASURES)},
+               {MONTH_COUNTS} FROM monthly""",
     "climatology": f"""WITH {CLIMATE}
         SELECT city_id, city_name, country_code, month, {_each(CLIMATE_MEASURES)} FROM climate""",
     "anomaly_month": f"""WITH {ANOMALY}
@@ -515,7 +522,14 @@ ORACLE: dict[str, str] = {
     "event_probability": f"""
         SELECT event_id, {_r("1 / (1 + exp((25 - value) / 10))", "prob_event_next_month")},
                CAST(value >= 25 AS INTEGER) AS pred_event_next_month FROM events""",
+    "exported_predictions": f"""WITH {SCORED}
+        SELECT event_id, CAST(label AS INTEGER) AS is_event_next_month,
+               CAST(called AS INTEGER) AS pred_event_next_month, score AS prob_event_next_month
+        FROM scored""",
     # ------------------------------------------------------------------ observability
+    "stored_log": f"""WITH {RUNS}
+        SELECT row_number() OVER (ORDER BY status = 'failed', id) AS id, * EXCLUDE (id)
+        FROM runs WHERE status IS NOT NULL""",
     "run_log_view": f"WITH {RUNS} SELECT * FROM runs",
     "run_daily_summary": f"WITH {RUN_DAYS} SELECT * FROM run_days",
     "ml_metrics_view": f"""WITH {METRICS}
@@ -593,6 +607,8 @@ ORACLE: dict[str, str] = {
     # ------------------------------------------------------------------ checks
     "dq_report": f"""WITH {FEATURES}, {RUNS}, results AS ({_CHECKS})
         SELECT table_name, rule, n_rows, n_failed, n_failed = 0 AS passed FROM results""",
+    "target_values": f"""WITH {SCORED}
+        SELECT DISTINCT CAST(label AS INTEGER) AS is_event_next_month FROM scored""",
     "dq_unique_keys": f"""WITH {MONTHLY}, {ATTEMPTS}, results AS (
         {_unique("landing_daily_weather", "daily", "city_id, date")} UNION ALL
         {_unique("clean_monthly_climate", "monthly", "city_id, year, month")} UNION ALL

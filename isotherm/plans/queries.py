@@ -18,6 +18,7 @@ from isotherm.operators import anomaly as anomalies
 from isotherm.operators import clean, features, health, landing, ml, observe, quality, serve
 from isotherm.operators import telecon, windows
 from isotherm.plans import stations as st
+from isotherm.schemas import RUN_LOG
 from isotherm.sources import readers, writers
 from isotherm.sources.scratch import new_folder, staged
 from isotherm.streaming.landing import stream_landed_documents
@@ -147,6 +148,28 @@ def landing_zone(spark, sf_dir):
     return days.drop("modified_at")
 
 
+@query
+def raw_files(spark, sf_dir):
+    """One JSON file per document, read back by file name and location."""
+    root = new_folder(spark, "raw")
+    documents = st.raw_documents(spark, sf_dir).select("daily", "city_slug")
+    documents.write.option("maxRecordsPerFile", 1).partitionBy("city_slug").json(root)
+    raw = landing.with_city_slug(readers.read_raw_daily(spark, root))
+    # the writer puts "city_slug=" in front of the directory names
+    named = raw.withColumn("city_slug", F.replace("city_slug", F.lit("city_slug="), F.lit("")))
+    good, _ = landing.split_valid(landing.validate_raw(named))
+    return landing.flatten_daily(good).drop("modified_at")
+
+
+@query
+def dim_city_csv(spark, sf_dir):
+    """The dimension through its CSV form."""
+    answers, configured = st.geocoding_answers(spark, sf_dir)
+    path = new_folder(spark, "dim_city")
+    readers.build_dim_city(answers, configured).write.option("header", True).csv(path)
+    return readers.read_dim_city(spark, path)
+
+
 @query
 def stream_landing(spark, sf_dir):
     """The landing zone read as a file stream and upserted in micro-batches."""
@@ -223,6 +246,19 @@ def climatology(spark, sf_dir):
     return anomalies.climatology(st.station_monthly(spark, sf_dir), st.CONFIG)
 
 
+@query
+def stored_monthly(spark, sf_dir):
+    """The monthly table after a full refresh over an older version, published as a view."""
+    path = new_folder(spark, "monthly")
+    monthly = st.station_monthly(spark, sf_dir)
+    writers.write_table(monthly.where(F.col("year") < 1998), path, ["year"])
+    writers.write_table(monthly, path, ["year"], ["city_id", "month"])
+    stored = readers.read_table(spark, path).withColumn("year", F.col("year").cast("long"))
+    return writers.publish_view(stored, "clean_monthly_climate").sparkSession.table(
+        "clean_monthly_climate"
+    )
+
+
 @query
 def anomaly_month(spark, sf_dir):
     return st.station_anomaly(spark, sf_dir)
@@ -349,6 +385,15 @@ def event_probability(spark, sf_dir):
     )
 
 
+@query
+def exported_predictions(spark, sf_dir):
+    """Scored rows to a table and to CSV, read back from the CSV."""
+    folder = new_folder(spark, "predictions")
+    scored = st.scored_events(spark, sf_dir)
+    writers.write_predictions(scored, f"{folder}/table", f"{folder}/csv")
+    return spark.read.schema(scored.schema).option("header", True).csv(f"{folder}/csv")
+
+
 @query
 def rf_predictions(spark, sf_dir):
     """Train on the first three quarters, score every complete feature row."""
@@ -380,6 +425,17 @@ def ml_daily_summary(spark, sf_dir):
     return observe.newest_first(observe.ml_daily_summary(st.ml_metrics(spark, sf_dir)))
 
 
+@query
+def stored_log(spark, sf_dir):
+    """Two batches appended to an absent log: ids count on across them."""
+    path = new_folder(spark, "log")
+    log = st.run_log(spark, sf_dir)
+    for status in ("success", "failed"):
+        batch = log.where(F.col("status") == status).withColumnRenamed("id", "event_id")
+        stored = writers.append_log(batch, path, RUN_LOG, order_by="event_id")
+    return stored
+
+
 @query
 def run_stats(spark, sf_dir):
     daily = staged(st.station_daily(spark, sf_dir), "daily")
@@ -508,6 +564,11 @@ def dq_report(spark, sf_dir):
     return _union([quality.check(f, name, quality.rules_for(name)) for name, f in layers.items()])
 
 
+@query
+def target_values(spark, sf_dir):
+    return quality.target_values(st.scored_events(spark, sf_dir))
+
+
 @query
 def dq_unique_keys(spark, sf_dir):
     daily = staged(st.station_daily(spark, sf_dir), "daily")

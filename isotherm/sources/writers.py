@@ -108,14 +108,16 @@ def land_documents(documents: DataFrame, root: str, mode: Literal["backfill", "r
     writer.partitionBy("city_slug", "year").json(root)
 
 
-def append_log(rows: DataFrame, path: str, schema: T.StructType) -> DataFrame:
+def append_log(
+    rows: DataFrame, path: str, schema: T.StructType, order_by: str | None = None
+) -> DataFrame:
     """Append rows without id to a log table; ids continue after the highest stored one.
 
-    A run adds one row, or a handful; ids are numbered by `observe.with_next_ids`.
+    A run adds one row. A larger batch names a unique numeric column to number it by.
     """
     spark = rows.sparkSession
     stored = read_table(spark, path, schema, required=False)
-    numbered = with_next_ids(rows, stored).select(
+    numbered = with_next_ids(rows, stored, order_by).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
     )
     numbered.write.mode("append").parquet(path)

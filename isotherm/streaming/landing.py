@@ -16,6 +16,7 @@ from isotherm.operators.landing import (
     with_city_slug,
 )
 from isotherm.sources.readers import landed_documents_stream, raw_daily_stream
+from isotherm.sources.scratch import staged
 from isotherm.sources.writers import load_daily
 
 
@@ -63,7 +64,8 @@ def _start(
     variables: Sequence[str],
 ) -> StreamingQuery:
     def load(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_valid(validate_raw(batch, variables))
+        # parsed once, read by the load and by the quarantine
+        good, bad = split_valid(staged(validate_raw(batch, variables), "documents"))
         days = attach_city(flatten_daily(good, variables), dim_city)
         load_daily(days, table_path, order_by="modified_at")
         # one folder per batch, overwritten on replay
