@@ -18,6 +18,7 @@ from isotherm.operators.positions import running_totals
 
 FEATURES, WEIGHT = "features", "class_weight"
 PROBABILITY, PREDICTION = "prob_event_next_month", "pred_event_next_month"
+LAST_ID = 2**63 - 1
 ID_COLUMNS = ("city_id", "city_name", "country_code", "year", "month")
 
 
@@ -58,13 +59,15 @@ def mark_split(
             "time_index", (F.col("n_before") + F.col("n") <= cutoff).alias("is_train")
         )
         return rows.join(marked, "time_index")
-    per_city = rows.groupBy("city_id").agg(F.count(F.lit(1)).alias("n"))
-    ahead = running_totals(per_city, "city_id", ["n"]).select("city_id", "n_before")
-    in_city = Window.partitionBy("city_id").orderBy("time_index")
+    # rows without a city come last
+    rows = rows.withColumn("_city", F.coalesce("city_id", F.lit(LAST_ID)))
+    per_city = rows.groupBy("_city").agg(F.count(F.lit(1)).alias("n"))
+    ahead = running_totals(per_city, "_city", ["n"]).select("_city", "n_before")
+    in_city = Window.partitionBy("_city").orderBy("time_index")
     return (
-        rows.join(ahead, "city_id")
+        rows.join(ahead, "_city")
         .withColumn("position", F.col("n_before") + F.row_number().over(in_city))
-        .drop("n_before")
+        .drop("n_before", "_city")
         .withColumn("is_train", F.col("position") <= cutoff)
     )
 

@@ -58,6 +58,14 @@ def test_split_drops_null_and_nan(spark, rows):
     assert ml.mark_split(broken, 0.5).count() == rows.where("month > 2").count()
 
 
+def test_rows_without_a_city_come_last(spark, rows):
+    lost = rows.withColumn("city_id", F.when(F.col("city_id") != 1, F.col("city_id")))
+    marked = ml.mark_split(lost, 0.5)
+    assert marked.count() == rows.count()
+    first = marked.where("city_id is null").agg(F.min("position")).first()[0]
+    assert first == rows.where("city_id <> 1").count() + 1
+
+
 @pytest.mark.parametrize("fraction", [0.0, 1.0, -1, 2])
 def test_fraction_must_be_inside(rows, fraction):
     with pytest.raises(ValueError):
