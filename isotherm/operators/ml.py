@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from isotherm.config import FEATURE_COLUMNS, TARGET_COLUMN, ClimateConfig
 from isotherm.functions.columns import logistic, month_index, ratio
 from isotherm.operators.positions import running_totals
+from isotherm.sources.scratch import staged
 
 FEATURES, WEIGHT = "features", "class_weight"
 PROBABILITY, PREDICTION = "prob_event_next_month", "pred_event_next_month"
@@ -81,7 +82,13 @@ def ordered_split(
     """Disjoint (train, test); an empty side is a ValueError."""
     marked = mark_split(features, fraction, mode, columns)
     train, test = marked.where("is_train"), marked.where("not is_train")
-    if train.isEmpty() or test.isEmpty():
+    if mode == "ordered":
+        # the cut is known from the number of rows alone
+        n = complete_rows(features, columns).count()
+        empty = int(n * fraction) in (0, n)
+    else:
+        empty = train.isEmpty() or test.isEmpty()
+    if empty:
         raise ValueError("the split left one side empty; adjust the train fraction")
     return train, test
 
@@ -115,8 +122,9 @@ def train_forest(
 ) -> PipelineModel:
     """Fit the class-balanced forest; the stored model holds assembler and forest.
 
-    The weighted rows are kept while the forest is fitted, because it reads them several times
-    (label range, split candidates, bagging).
+    The weighted rows are stored first: fitting reads them several times (label range, split
+    candidates, bagging), and a stored table is cut into partitions by its size, however many
+    shuffle partitions made it.
     """
     assembler = VectorAssembler(inputCols=list(columns), outputCol=FEATURES)
     forest = RandomForestClassifier(
@@ -128,12 +136,8 @@ def train_forest(
         featureSubsetStrategy="sqrt",
         seed=config.seed,
     )
-    weighted = with_class_weights(train.select(*columns, TARGET_COLUMN))
-    rows = assembler.transform(weighted).select(FEATURES, TARGET_COLUMN, WEIGHT).persist()
-    try:
-        model = forest.fit(rows)
-    finally:
-        rows.unpersist()
+    weighted = staged(with_class_weights(train.select(*columns, TARGET_COLUMN)), "training_rows")
+    model = forest.fit(assembler.transform(weighted))
     return PipelineModel([assembler, model])
 
 
