@@ -72,20 +72,23 @@ def _block_pairs(anomaly: DataFrame, block_size: int) -> DataFrame:
 
 
 def _per_block_pair(
-    anomaly: DataFrame, block_size: int, task: Callable[[_Block, _Block, bool], pa.Table], schema: str
+    anomaly: DataFrame,
+    config: ClimateConfig,
+    task: Callable[[_Block, _Block, bool], pa.Table],
+    schema: str,
 ) -> DataFrame:
+    max_lag = config.max_lag
+
     def run(table: pa.Table) -> pa.Table:
         lo, hi = table["block_lo"][0], table["block_hi"][0]
-        months = pc.struct_field(table["series"].combine_chunks().flatten(), "t")
-        span = pc.min_max(months)
-        first, width = span["min"].as_py(), span["max"].as_py() - span["min"].as_py() + 1
-        low = _Block(table.filter(pc.equal(table["block"], lo)), first, width)
+        axis = _time_axis(table, max_lag)
+        low = _Block(table.filter(pc.equal(table["block"], lo)), *axis)
         if lo == hi:
             return task(low, low, True)
-        return task(low, _Block(table.filter(pc.equal(table["block"], hi)), first, width), False)
+        return task(low, _Block(table.filter(pc.equal(table["block"], hi)), *axis), False)
 
     return (
-        _block_pairs(anomaly, block_size)
+        _block_pairs(anomaly, config.block_size)
         .groupBy("block_lo", "block_hi")
         .applyInArrow(run, schema)
     )
@@ -109,7 +112,7 @@ def pair_correlations(anomaly: DataFrame, config: ClimateConfig = ClimateConfig(
                  "n_observations", "anomaly_correlation"]
         return pa.concat_tables([pa.table(p, names=names) for p in parts])
 
-    return _per_block_pair(anomaly, config.block_size, task, PAIR_SCHEMA)
+    return _per_block_pair(anomaly, config, task, PAIR_SCHEMA)
 
 
 def lag_correlations(anomaly: DataFrame, config: ClimateConfig = ClimateConfig()) -> DataFrame:
@@ -136,7 +139,7 @@ def lag_correlations(anomaly: DataFrame, config: ClimateConfig = ClimateConfig()
                 keep(b, a, j, i, -lag, n, r)
         return pa.concat_tables(parts)
 
-    return _per_block_pair(anomaly, config.block_size, task, LAG_SCHEMA)
+    return _per_block_pair(anomaly, config, task, LAG_SCHEMA)
 
 
 def best_lag(lags: DataFrame) -> DataFrame:
@@ -170,7 +173,7 @@ def strongest_links(anomaly: DataFrame, config: ClimateConfig = ClimateConfig())
             parts.append(_strongest_in_block(b, a, lags))
         return pa.concat_tables(parts)
 
-    return _strongest(_per_block_pair(anomaly, config.block_size, task, LINK_SCHEMA))
+    return _strongest(_per_block_pair(anomaly, config, task, LINK_SCHEMA))
 
 
 def _strongest(candidates: DataFrame) -> DataFrame:
@@ -189,19 +192,33 @@ def _strongest(candidates: DataFrame) -> DataFrame:
 # Task side: one pair of blocks
 # --------------------------------------------------------------------------------------
 
+def _time_axis(table: pa.Table, max_lag: int) -> tuple[np.ndarray, np.ndarray]:
+    """The months that occur, and their places on the grid.
+
+    A gap longer than any lag shrinks to one that no lag can bridge, so that one stray date
+    does not stretch the grid over centuries.
+    """
+    points = table["series"].combine_chunks().flatten()
+    months = np.unique(pc.struct_field(points, "t").to_numpy(zero_copy_only=False))
+    steps = np.minimum(np.diff(months, prepend=months[:1]), max_lag + 1)
+    return months, np.cumsum(steps)
+
+
 class _Block:
     """Cities of one block on a dense (city x month) grid of counts, sums and squares."""
 
-    def __init__(self, table: pa.Table, first_month: int, n_months: int):
+    def __init__(self, table: pa.Table, months: np.ndarray, places: np.ndarray):
         self.ids = table["city_id"].combine_chunks()
         self.names = table["city_name"].combine_chunks()
         self.id_values = self.ids.to_numpy(zero_copy_only=False)
         series = table["series"].combine_chunks()
         lengths = pc.fill_null(pc.list_value_length(series), 0).to_numpy(zero_copy_only=False)
         points = series.flatten()
-        month = pc.struct_field(points, "t").to_numpy(zero_copy_only=False) - first_month
+        month = pc.struct_field(points, "t").to_numpy(zero_copy_only=False)
         value = pc.struct_field(points, "x").to_numpy(zero_copy_only=False).astype(float)
-        cell = np.repeat(np.arange(table.num_rows), lengths) * n_months + month
+        n_months = int(places[-1]) + 1
+        place = places[np.searchsorted(months, month)]
+        cell = np.repeat(np.arange(table.num_rows), lengths) * n_months + place
         known = ~np.isnan(value)
         shape, size = (table.num_rows, n_months), table.num_rows * n_months
 

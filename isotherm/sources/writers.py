@@ -63,7 +63,7 @@ def load_daily(
     order_by = order_by if order_by in new.columns else None
     if not table_exists(spark, path):
         first = newest_per_key(new, keys, order_by).drop(order_by or "")
-        _by_year(first).write.partitionBy("year").parquet(path)
+        _by_year(first).write.mode("append").partitionBy("year").parquet(path)
         return spark.read.parquet(path)
 
     stored = spark.read.parquet(path).withColumn("year", F.col("year").cast("long"))

