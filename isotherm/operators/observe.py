@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isotherm.config import ClimateConfig
@@ -32,7 +32,8 @@ def ml_metrics_view(metrics: DataFrame) -> DataFrame:
 def run_daily_summary(run_log: DataFrame) -> DataFrame:
     """Runs per day, flow and mode. A run without status counts as neither success nor failure."""
     succeeded = F.col("status") == "success"
-    day = F.date_trunc("day", "started_at").cast("timestamp_ntz")
+    # by way of the date: truncating a zone-less timestamp would pass through the session zone
+    day = F.to_date("started_at").cast("timestamp_ntz")
     peaks = ("rows_bronze", "rows_gold_ml", "rows_bronze_delta", "rows_gold_ml_delta")
     return run_log.groupBy(day.alias("run_date"), "flow_name", "run_mode").agg(
         F.count(F.lit(1)).alias("n_runs"),
@@ -66,16 +67,16 @@ def newest_first(summary: DataFrame) -> DataFrame:
 def with_next_ids(rows: DataFrame, stored: DataFrame, order_by: str | None = None) -> DataFrame:
     """Number rows from the highest stored id on, from 1 in an empty log.
 
-    `order_by` names a unique numeric column and numbers a batch of any size by running totals.
-    Without it the rows are those of one run (a single record), numbered in one window.
+    `order_by` names a unique numeric column; without it rows are numbered in the order of their
+    partitions, for which they must come from a stored table. Either way by running totals, so a
+    batch of any size never meets in one task.
     """
     highest = stored.select(F.coalesce(F.max("id"), F.lit(0)).alias("highest")).scalar()
     columns = [c for c in rows.columns if c != "id"]
-    if order_by is None:
-        number = F.row_number().over(Window.orderBy(F.lit(1)))
-        return rows.select((highest + number).cast("long").alias("id"), *columns)
-    counted = running_totals(rows.withColumn("_one", F.lit(1)), order_by, ["_one"])
+    order = F.col(order_by) if order_by else F.monotonically_increasing_id()
+    ordered = rows.withColumns({"_order": order, "_one": F.lit(1)})
     number = F.col("_one_before") + 1
+    counted = running_totals(ordered, "_order", ["_one"])
     return counted.select((highest + number).cast("long").alias("id"), *columns)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isotherm.functions.columns import ratio
@@ -79,6 +79,8 @@ def success_rate(run_summary: DataFrame) -> DataFrame:
 
 def latest_per_mode(ml_summary: DataFrame) -> DataFrame:
     """The newest summary row of each run mode. The summary has one row per day and mode."""
-    newest = Window.partitionBy("run_mode").orderBy(F.col("run_date").desc())
-    ranked = ml_summary.withColumn("age", F.row_number().over(newest))
-    return ranked.where(F.col("age") == 1).drop("age")
+    columns = ml_summary.columns
+    newest = ml_summary.groupBy("run_mode").agg(
+        F.max_by(F.struct(*columns), "run_date").alias("newest")
+    )
+    return newest.select("newest.*")

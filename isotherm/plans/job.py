@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from datetime import date, datetime, timezone
 from typing import Literal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isotherm.config import TARGET_COLUMN, ClimateConfig
@@ -151,7 +151,7 @@ def train_and_score(
     )
     try:
         record = ml.metrics_record(train, scored_test, config, FLOW_NAMES[run_mode], run_mode)
-        stamped = record.withColumn("created_at", F.lit(_utc_now()).cast("timestamp_ntz"))
+        stamped = record.withColumn("created_at", _utc_literal(_utc_now()))
         writers.write_metrics_document(
             ml.metrics_document(stamped, scored_test), where.table("models/baseline_rf_metrics")
         )
@@ -189,8 +189,8 @@ def log_run(
                 "flow_name": F.lit(FLOW_NAMES[run_mode]),
                 "run_mode": F.lit(run_mode),
                 "status": F.lit(status),
-                "started_at": F.lit(started_at).cast("timestamp_ntz"),
-                "finished_at": F.lit(_utc_now()).cast("timestamp_ntz"),
+                "started_at": _utc_literal(started_at),
+                "finished_at": _utc_literal(_utc_now()),
             }
         )
         writers.append_log(record, where.table("pipeline_run_log"), RUN_LOG)
@@ -236,6 +236,11 @@ def _utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def _utc_literal(moment: datetime) -> Column:
+    """A zone-less literal, whatever the zones of the session and of this process."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def main() -> None:
     arguments = argparse.ArgumentParser(description=__doc__)
     arguments.add_argument("--raw", required=True)

@@ -30,8 +30,11 @@ def write_table(
 ) -> DataFrame:
     """Full refresh of a stored table, returned as a scan of what was written.
 
-    Rows are ordered within files only; a global order would cost a range shuffle.
+    Rows are ordered within files only; a global order would cost a range shuffle. Rows of one
+    table partition are brought together first, so that each is a few files.
     """
+    if partition_by:
+        frame = frame.hint("rebalance", *partition_by)
     if sort_by:
         frame = frame.sortWithinPartitions(*partition_by, *sort_by)
     frame.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
@@ -113,10 +116,12 @@ def append_log(
 ) -> DataFrame:
     """Append rows without id to a log table; ids continue after the highest stored one.
 
-    A run adds one row. A larger batch names a unique numeric column to number it by.
+    `order_by` is a unique numeric column to number a batch by.
     """
     spark = rows.sparkSession
     stored = read_table(spark, path, schema, required=False)
+    if order_by is None:
+        rows = staged(rows, "log_rows")
     numbered = with_next_ids(rows, stored, order_by).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
     )
