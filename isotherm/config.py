@@ -49,9 +49,12 @@ class ClimateConfig:
     strong_z: float = 2.0
     extreme_z: float = 3.0
 
-    # cross-station correlations; block_size bounds what one task holds, not the result
+    # cross-station correlations; block_size bounds what one task holds, not the result.
+    # pair_partitions spreads the block pairs over that many tasks; 0 leaves it to the session,
+    # which sizes partitions by bytes although this work is all computation.
     max_lag: int = 6
     block_size: int = 256
+    pair_partitions: int = 0
 
     # default backfill window
     start_date: date = date(1980, 1, 1)

@@ -14,6 +14,8 @@ from isotherm.schemas import CORRUPT_COLUMN
 
 # The slug is part of the key so that days of unknown cities (NULL id) stay apart.
 LANDING_KEYS = ("city_id", "city_slug", "date")
+# Key columns that stay NULL until the dimension knows the city.
+RESOLVED_LATER = ("city_id",)
 # Columns that the dimension gives to a city, hence the same in all rows of a key.
 KEY_LABELS = ("city_name", "country_code")
 
@@ -152,9 +154,15 @@ def beyond_watermark(
 def replace_rows(
     incoming: DataFrame, target: DataFrame, keys: Sequence[str] = LANDING_KEYS
 ) -> DataFrame:
-    """Stored rows whose key does not come in again, plus the incoming rows."""
+    """Stored rows whose key does not come in again, plus the incoming rows.
+
+    A day that was stored for an unknown city (NULL id) gives way to the same day of its slug,
+    so a load after the dimension has learned the city leaves no second copy.
+    """
     same = F.lit(True)
     for key in keys:
-        same = same & F.col(f"old.{key}").eqNullSafe(F.col(f"new.{key}"))
+        old, new = F.col(f"old.{key}"), F.col(f"new.{key}")
+        equal = old.eqNullSafe(new)
+        same = same & ((equal | old.isNull()) if key in RESOLVED_LATER else equal)
     kept = target.alias("old").join(incoming.select(*keys).alias("new"), same, "left_anti")
     return kept.unionByName(incoming)

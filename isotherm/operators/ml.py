@@ -25,10 +25,14 @@ ID_COLUMNS = ("city_id", "city_name", "country_code", "year", "month")
 
 def complete_rows(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Drop rows with NULL or NaN in `columns`; a column that is not there is a KeyError."""
+    require_columns(frame, columns)
+    return frame.na.drop(subset=list(columns))
+
+
+def require_columns(frame: DataFrame, columns: Sequence[str]) -> None:
     missing = [c for c in columns if c not in frame.columns]
     if missing:
         raise KeyError(f"missing expected columns: {missing}")
-    return frame.na.drop(subset=list(columns))
 
 
 def mark_split(
@@ -47,7 +51,7 @@ def mark_split(
         raise ValueError(f"train fraction must be between 0 and 1, got {fraction}")
     if mode not in ("ordered", "time"):
         raise ValueError(f"unknown split mode: {mode}")
-    complete_rows(features, [TARGET_COLUMN])
+    require_columns(features, [*columns, TARGET_COLUMN])
     rows = complete_rows(features, columns).withColumn(
         "time_index", month_index(F.col("year"), F.col("month"))
     )

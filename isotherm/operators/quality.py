@@ -54,10 +54,10 @@ def check(frame: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"),
         *[F.count_if(r.fails).alias(f"rule_{i}") for i, r in enumerate(rules)],
     )
-    results = [F.struct(F.lit("not_empty").alias("rule"), (F.col("n_rows") == 0).cast("long").alias("n_failed"))]
-    results += [
-        F.struct(F.lit(r.name).alias("rule"), F.col(f"rule_{i}").alias("n_failed"))
-        for i, r in enumerate(rules)
+    failures = {"not_empty": (F.col("n_rows") == 0).cast("long")}
+    failures |= {r.name: F.col(f"rule_{i}") for i, r in enumerate(rules)}
+    results = [
+        F.struct(F.lit(name).alias("rule"), n.alias("n_failed")) for name, n in failures.items()
     ]
     return _report(counted.select("n_rows", F.inline(F.array(*results))), table)
 
@@ -161,10 +161,9 @@ def rules_for(table: str) -> list[Rule]:
     return suites[table]()
 
 
-# The key of each layer table.
+# The key of each layer table. The clean daily table has the rows of the landed one.
 TABLE_KEYS = {
     "landing_daily_weather": ("city_id", "date"),
-    "clean_daily_weather_features": ("city_id", "date"),
     "clean_monthly_climate": ("city_id", "year", "month"),
     "climatology_city_month": ("city_id", "month"),
     "anomaly_city_month": ("city_id", "year", "month"),

@@ -87,11 +87,10 @@ def _per_block_pair(
             return task(low, low, True)
         return task(low, _Block(table.filter(pc.equal(table["block"], hi)), *axis), False)
 
-    return (
-        _block_pairs(anomaly, config.block_size)
-        .groupBy("block_lo", "block_hi")
-        .applyInArrow(run, schema)
-    )
+    pairs = _block_pairs(anomaly, config.block_size)
+    if config.pair_partitions:
+        pairs = pairs.repartition(config.pair_partitions, "block_lo", "block_hi")
+    return pairs.groupBy("block_lo", "block_hi").applyInArrow(run, schema)
 
 
 def pair_correlations(anomaly: DataFrame, config: ClimateConfig = ClimateConfig()) -> DataFrame:

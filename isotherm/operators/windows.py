@@ -45,7 +45,8 @@ def plan_windows(
     if landed is None:
         return plan
     if mode == "backfill":
-        return plan.join(landed.select("city_slug", "year"), ["city_slug", "year"], "left_anti").select(*plan.columns)
+        present = landed.select("city_slug", "year")
+        return plan.join(present, ["city_slug", "year"], "left_anti").select(*plan.columns)
     if mode != "coverage":
         raise ValueError(f"unknown mode: {mode}")
     # count distinct days per window; repeated rows of a day collapse before the shuffle
@@ -79,15 +80,20 @@ def _windows(cities: DataFrame, start: date, end: date) -> DataFrame:
     )
 
 
-def landed_summary(attempts: DataFrame, mode: str) -> DataFrame:
+def landed_summary(attempts: DataFrame, mode: str, cities: DataFrame | None = None) -> DataFrame:
     """One row on the attempts (city_name, succeeded) of a load; failed unless one succeeded.
 
+    `total_cities` counts the rows of `cities`, which includes those that needed no attempt;
+    without it, the cities attempted.
+
     The failed cities are a frame of their own (`failed_cities`), because a list of them inside
     this row would gather without bound in one task.
     """
     done = F.col("succeeded")
+    attempted = F.count_distinct("city_name")
+    total = attempted if cities is None else cities.select(F.count(F.lit(1))).scalar()
     return attempts.agg(
-        F.count_distinct("city_name").alias("total_cities"),
+        total.alias("total_cities"),
         F.count(F.lit(1)).alias("total_requests"),
         F.count_if(done).alias("successes"),
         F.count_if(~done).alias("failures"),

@@ -149,6 +149,18 @@ def test_upsert_takes_late_days_and_the_newest_version(spark):
         landing.land_incremental(new, target, mode="replace")
 
 
+def test_city_that_becomes_known_leaves_no_copy(spark):
+    days = daily(spark, (1, "2020-01-05", 1.0, 1), (1, "2020-01-06", 2.0, 1)).drop("version")
+    unknown = days.withColumn("city_id", F.lit(None).cast("long"))
+    other = daily(spark, (2, "2020-01-05", 9.0, 1)).drop("version")
+    stored = unknown.union(other)
+    loaded = landing.land_incremental(days.where("value = 1"), stored)
+    found = {(r.city_id, r.city_slug, str(r.date)) for r in loaded.collect()}
+    assert found == {(1, "c1", "2020-01-05"), (None, "c1", "2020-01-06"), (2, "c2", "2020-01-05")}
+    plan = loaded._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan
+
+
 def test_stored_load_touches_only_its_years(spark, tmp_path):
     path = str(tmp_path / "daily")
     writers.load_daily(

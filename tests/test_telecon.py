@@ -159,6 +159,17 @@ def test_no_partner_and_empty_input(spark):
     assert telecon.pair_correlations(alone.limit(0)).count() == 0
 
 
+def test_chosen_number_of_pair_tasks(spark):
+    frame = spark.createDataFrame(make(9, 12), SCHEMA)
+    config = ClimateConfig(block_size=2, pair_partitions=5)
+    spread = telecon.pair_correlations(frame, config)
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(block_lo") == 1
+    assert sorted(map(tuple, spread.select("city_id_1", "city_id_2").collect())) == sorted(
+        map(tuple, telecon.pair_correlations(frame).select("city_id_1", "city_id_2").collect())
+    )
+
+
 def test_plan_has_no_nested_loop(spark):
     frame = spark.createDataFrame(make(5, 12), SCHEMA)
     for operator in (telecon.pair_correlations, telecon.lag_correlations, telecon.strongest_links):

@@ -74,6 +74,8 @@ def test_attempts(spark):
     row = windows.landed_summary(some, "recent").first()
     assert (row.mode, row.total_cities, row.total_requests, row.successes, row.failures) == ("recent", 3, 4, 1, 3)
     assert (row.n_failed_cities, row.run_failed) == (2, False)
+    fleet = spark.range(7).withColumnRenamed("id", "city_id")
+    assert windows.landed_summary(some, "recent", fleet).first().total_cities == 7
     assert [tuple(r) for r in windows.failed_cities(some).collect()] == [("a", 1), ("b", 2)]
     assert windows.landed_summary(some.where("not succeeded"), "recent").first().run_failed
     assert windows.landed_summary(some.limit(0), "recent").first().run_failed
