@@ -23,8 +23,8 @@ from isotherm.sources.scratch import staged
 
 log = logging.getLogger(__name__)
 
-# Flow names of the two modes.
-FLOW_NAMES = {"daily": "daily-climate-pipeline", "backfill": "backfill-climate-pipeline"}
+# Name of a run in the logs, by mode.
+FLOW_NAMES = {"daily": "station-climate-daily", "backfill": "station-climate-backfill"}
 
 
 class ChecksFailed(RuntimeError):

@@ -9,7 +9,7 @@ CONFIG = ClimateConfig(baseline_first_year=2000, baseline_last_year=2002)
 
 
 def landing_rows(spark, rows):
-    full = [(1, "Lisbon", "PT", d, tmax, tmin, 15.0, 8.0, rain, 3.0, 4.0) for d, tmax, tmin, rain in rows]
+    full = [(1, "Oslo", "NO", d, tmax, tmin, 15.0, 8.0, rain, 3.0, 4.0) for d, tmax, tmin, rain in rows]
     return spark.createDataFrame(
         full,
         "city_id long, city_name string, country_code string, date date, temperature_2m_max double,"
@@ -46,7 +46,7 @@ def test_monthly_counts_all_days_and_averages_known_ones(spark):
 
 
 def monthly(spark, rows):
-    full = [(c, f"city {c}", "PT", y, m, t, t, t, p) for c, y, m, t, p in rows]
+    full = [(c, f"city {c}", "NO", y, m, t, t, t, p) for c, y, m, t, p in rows]
     return spark.createDataFrame(
         full,
         "city_id long, city_name string, country_code string, year long, month long,"

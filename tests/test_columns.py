@@ -20,7 +20,7 @@ def test_slugify(spark):
 @pytest.mark.parametrize(
     "path, slug",
     [
-        ("file:/raw/lisbon/1980.json", "lisbon"),
+        ("file:/raw/oslo/1980.json", "oslo"),
         ("file:/raw/s%C3%A3o%20paulo/1980.json", "são paulo"),
         ("file:/raw/a+b/1980.json", "a+b"),
         ("lone.json", None),

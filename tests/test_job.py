@@ -13,7 +13,7 @@ from isotherm.plans import job
 from isotherm.schemas import ML_METRICS, RUN_LOG
 
 CONFIG = ClimateConfig(baseline_first_year=2016, baseline_last_year=2019, n_trees=4, max_depth=3)
-CITIES = {1: "Lisbon", 2: "New York", 3: "Porto"}
+CITIES = {1: "Oslo", 2: "New York", 3: "Lima"}
 
 
 def put(root, name, year, last, seed=0):
@@ -39,7 +39,7 @@ def where(tmp_path_factory):
     for name in CITIES.values():
         for year in range(2016, 2021):
             put(folder / "raw", name, year, date(year, 12, 31) if year < 2020 else date(2020, 9, 9))
-    (folder / "raw" / "lisbon" / "2015.json").write_text('{"daily": {"time": []}}')
+    (folder / "raw" / "oslo" / "2015.json").write_text('{"daily": {"time": []}}')
     return folder, job.Locations(
         str(folder / "raw"), str(folder / "dim_city.csv"), str(folder / "warehouse")
     )
@@ -52,7 +52,7 @@ def test_backfill_then_daily(spark, where):
 
     n_days = sum(366 if y == 2016 else 365 for y in range(2016, 2020)) + 253
     assert read("landing_daily_weather").count() == 3 * n_days
-    assert [r.city_slug for r in read("quarantined_documents").collect()] == ["lisbon"]
+    assert [r.city_slug for r in read("quarantined_documents").collect()] == ["oslo"]
     assert read("clean_monthly_climate").count() == 3 * 57
     assert read("climatology_city_month").count() == 36
     assert read("anomaly_city_correlations").count() == 3
@@ -68,8 +68,8 @@ def test_backfill_then_daily(spark, where):
     assert header.columns == predictions.columns and header.count() == 3 * 54
 
     # a longer and corrected year of one city; older years are not read in daily mode
-    put(folder / "raw", "Porto", 2020, date(2020, 9, 20), seed=1)
-    put(folder / "raw", "Porto", 2018, date(2018, 1, 5), seed=1)
+    put(folder / "raw", "Lima", 2020, date(2020, 9, 20), seed=1)
+    put(folder / "raw", "Lima", 2018, date(2018, 1, 5), seed=1)
     old = read("clean_monthly_climate").where("year < 2020").collect()
     job.run_job(spark, places, CONFIG, "daily", as_of=date(2020, 9, 21), store_lags=False)
     assert read("landing_daily_weather").count() == 3 * n_days + 11

@@ -24,7 +24,7 @@ def put(root, slug, name, content):
 
 @pytest.fixture
 def dim(spark):
-    rows = [(1, "Lisbon", "PT"), (2, "New York", "US")]
+    rows = [(1, "Oslo", "NO"), (2, "New York", "US")]
     return spark.createDataFrame(rows, "city_id long, city_name string, country_code string")
 
 
@@ -80,8 +80,8 @@ def test_flatten_follows_time(spark, tmp_path):
 
 
 def test_year_argument_limits_the_files(spark, tmp_path):
-    put(tmp_path, "lisbon", 2019, document(["2019-05-01"]))
-    put(tmp_path, "lisbon", 2020, document(["2020-05-01"]))
+    put(tmp_path, "oslo", 2019, document(["2019-05-01"]))
+    put(tmp_path, "oslo", 2020, document(["2020-05-01"]))
     flat = landing.flatten_daily(readers.read_raw_daily(spark, str(tmp_path), year=2020))
     assert [r.date for r in flat.collect()] == [date(2020, 5, 1)]
 
@@ -191,9 +191,9 @@ def landed(spark, *rows):
 
 def test_landing_zone_skip_and_replace(spark, tmp_path):
     zone = str(tmp_path / "zone")
-    writers.land_documents(landed(spark, ("lisbon", 2019, 1.0)), zone, "backfill")
+    writers.land_documents(landed(spark, ("oslo", 2019, 1.0)), zone, "backfill")
     writers.land_documents(
-        landed(spark, ("lisbon", 2019, 5.0), ("são paulo", 2020, 2.0)), zone, "backfill"
+        landed(spark, ("oslo", 2019, 5.0), ("são paulo", 2020, 2.0)), zone, "backfill"
     )
 
     def highs():
@@ -201,11 +201,11 @@ def test_landing_zone_skip_and_replace(spark, tmp_path):
         flat = landing.flatten_daily(documents, ["temperature_2m_max"])
         return {(r.city_slug, r.year): r.temperature_2m_max for r in flat.collect()}
 
-    assert highs() == {("lisbon", 2019): 1.0, ("são paulo", 2020): 2.0}
+    assert highs() == {("oslo", 2019): 1.0, ("são paulo", 2020): 2.0}
     writers.land_documents(landed(spark, ("são paulo", 2020, 7.0)), zone, "recent")
-    assert highs() == {("lisbon", 2019): 1.0, ("são paulo", 2020): 7.0}
+    assert highs() == {("oslo", 2019): 1.0, ("são paulo", 2020): 7.0}
     windows = readers.landed_windows(spark, zone, partitioned=True)
-    assert {tuple(r) for r in windows.collect()} == {("lisbon", 2019), ("são paulo", 2020)}
+    assert {tuple(r) for r in windows.collect()} == {("oslo", 2019), ("são paulo", 2020)}
     with pytest.raises(ValueError):
         writers.land_documents(landed(spark), zone, "other")
 
@@ -228,20 +228,20 @@ def test_stream_landing(spark, tmp_path, dim):
         rows = spark.read.parquet(str(tmp_path / "daily")).collect()
         return {(r.city_id, str(r.date)): r.temperature_2m_max for r in rows}
 
-    put(raw, "lisbon", 2020, document(["2020-01-01", "2020-01-02"]))
+    put(raw, "oslo", 2020, document(["2020-01-01", "2020-01-02"]))
     put(raw, "new_york", 2020, {"latitude": 1})
     assert run() == {(1, "2020-01-01"): 1.0, (1, "2020-01-02"): 1.0}
     assert spark.read.parquet(str(tmp_path / "bad")).select("city_slug").first()[0] == "new_york"
     # a late year and a correction under a new name; files seen before are not read again
-    put(raw, "lisbon", 2019, document(["2019-12-31"], 3.0))
-    put(raw, "lisbon", "2020-rev1", document(["2020-01-02"], 8.0))
+    put(raw, "oslo", 2019, document(["2019-12-31"], 3.0))
+    put(raw, "oslo", "2020-rev1", document(["2020-01-02"], 8.0))
     assert run() == {(1, "2020-01-01"): 1.0, (1, "2020-01-02"): 8.0, (1, "2019-12-31"): 3.0}
     assert len(run()) == 3
 
 
 def test_stream_over_the_partitioned_zone(spark, tmp_path, dim):
     zone = str(tmp_path / "zone")
-    put(tmp_path / "raw", "lisbon", 2020, document(["2020-01-01"]))
+    put(tmp_path / "raw", "oslo", 2020, document(["2020-01-01"]))
     raw = landing.with_city_slug(readers.read_raw_daily(spark, str(tmp_path / "raw")))
     documents = raw.select("daily", "city_slug", F.lit(2020).cast("long").alias("year"))
     writers.land_documents(documents, zone, "backfill")
@@ -254,19 +254,19 @@ def test_stream_over_the_partitioned_zone(spark, tmp_path, dim):
 def test_build_dim_city(spark, tmp_path):
     folder = tmp_path / "geo"
     folder.mkdir()
-    hit = {"name": "Lisboa", "country_code": "PT", "latitude": 38.7, "longitude": -9.1,
-           "timezone": "Europe/Lisbon", "population": 5}
-    (folder / "1_lisbon.json").write_text(json.dumps({"results": [hit, {"name": "other", "latitude": 0.0}]}))
+    hit = {"name": "Christiania", "country_code": "NO", "latitude": 38.7, "longitude": -9.1,
+           "timezone": "Europe/Oslo", "population": 5}
+    (folder / "1_oslo.json").write_text(json.dumps({"results": [hit, {"name": "other", "latitude": 0.0}]}))
     (folder / "2_new_york.json").write_text(json.dumps({"latitude": 40.7, "longitude": -74.0}, indent=1))
     (folder / "3_nowhere.json").write_text(json.dumps({"results": []}))
     cities = tmp_path / "cities.csv"
-    cities.write_text("city_id,name,country_code\n1,Lisbon,PT\n2,New York,US\n3,Nowhere,XX\n")
+    cities.write_text("city_id,name,country_code\n1,Oslo,NO\n2,New York,US\n3,Nowhere,XX\n")
     dim = readers.build_dim_city(
         readers.read_geocoding(spark, str(folder)), readers.read_configured_cities(spark, str(cities))
     )
     rows = {r.city_id: r for r in dim.collect()}
     assert sorted(rows) == [1, 2]
-    assert (rows[1].city_name, rows[1].country_code, rows[1].population) == ("Lisboa", "PT", 5)
+    assert (rows[1].city_name, rows[1].country_code, rows[1].population) == ("Christiania", "NO", 5)
     assert (rows[2].city_name, rows[2].country_code, rows[2].latitude) == ("New York", "US", 40.7)
-    assert rows[1].raw_geocoding_file.endswith("1_lisbon.json")
+    assert rows[1].raw_geocoding_file.endswith("1_oslo.json")
     assert len(dim.columns) == 10

@@ -123,7 +123,7 @@ def test_latest_per_mode(spark):
 def ingestion(spark, last_days):
     rows = [(i, d) for i, days in last_days.items() for d in days]
     landing = spark.createDataFrame(rows, "city_id long, date date")
-    dim = spark.createDataFrame([(1, "Lisbon", "PT")], "city_id long, city_name string, country_code string")
+    dim = spark.createDataFrame([(1, "Oslo", "NO")], "city_id long, city_name string, country_code string")
     return health.ingestion_health(landing, dim, AS_OF)
 
 
@@ -145,7 +145,7 @@ def test_ingestion_report(spark):
     report = ingestion(spark, {1: [date(2024, 3, 1), date(2024, 3, 9)], 2: [date(2024, 3, 1)]})
     rows = {r.city_id: r for r in report.collect()}
     assert (rows[1].first_date.day, rows[1].last_date.day, rows[1].n_days) == (1, 9, 2)
-    assert (rows[1].city_name, rows[2].city_name) == ("Lisbon", None)
+    assert (rows[1].city_name, rows[2].city_name) == ("Oslo", None)
     counts = {r.freshness_status: r.n_cities for r in health.freshness_counts(report).collect()}
     assert counts == {"fresh": 1, "very_stale": 1}
 

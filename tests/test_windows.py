@@ -7,7 +7,7 @@ from isotherm.operators import windows
 
 @pytest.fixture
 def cities(spark):
-    return spark.createDataFrame([(1, "Lisbon"), (2, "New York")], "city_id long, city_name string")
+    return spark.createDataFrame([(1, "Oslo"), (2, "New York")], "city_id long, city_name string")
 
 
 def plan(frame):
@@ -15,14 +15,14 @@ def plan(frame):
 
 
 def test_backfill_clamps_and_skips(spark, cities):
-    landed = spark.createDataFrame([("lisbon", 2020), ("new_york", 2019)], "city_slug string, year long")
+    landed = spark.createDataFrame([("oslo", 2020), ("new_york", 2019)], "city_slug string, year long")
     found = windows.plan_windows(cities, "backfill", landed, date(2019, 6, 15), date(2020, 1, 10))
     assert plan(found) == [
         (1, 2019, "2019-06-15", "2019-12-31"),
         (2, 2020, "2020-01-01", "2020-01-10"),
     ]
     everything = spark.createDataFrame(
-        [(s, y) for s in ("lisbon", "new_york") for y in (2019, 2020)], "city_slug string, year long"
+        [(s, y) for s in ("oslo", "new_york") for y in (2019, 2020)], "city_slug string, year long"
     )
     assert windows.plan_windows(cities, "backfill", everything, date(2019, 6, 15), date(2020, 1, 10)).count() == 0
 
@@ -59,11 +59,11 @@ def test_recent(cities):
 
 
 def test_coverage_finds_the_missing_day(spark, cities):
-    days = [("lisbon", date(2020, 12, d)) for d in range(1, 31)] + [("lisbon", date(2020, 12, 1))]
+    days = [("oslo", date(2020, 12, d)) for d in range(1, 31)] + [("oslo", date(2020, 12, 1))]
     landed = spark.createDataFrame(days, "city_slug string, date date")
     found = windows.plan_windows(cities, "coverage", landed, date(2020, 12, 1), date(2020, 12, 31))
     assert [row[0] for row in plan(found)] == [1, 2]
-    complete = landed.union(spark.createDataFrame([("lisbon", date(2020, 12, 31))], landed.schema))
+    complete = landed.union(spark.createDataFrame([("oslo", date(2020, 12, 31))], landed.schema))
     found = windows.plan_windows(cities, "coverage", complete, date(2020, 12, 1), date(2020, 12, 31))
     assert [r.city_id for r in found.collect()] == [2]
 
