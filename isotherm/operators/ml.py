@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from isotherm.config import FEATURE_COLUMNS, TARGET_COLUMN, ClimateConfig
 from isotherm.functions.columns import logistic, month_index, ratio
 from isotherm.operators.positions import running_totals
-from isotherm.sources.scratch import staged
+from isotherm.sources.scratch import briefly_staged
 
 FEATURES, WEIGHT = "features", "class_weight"
 PROBABILITY, PREDICTION = "prob_event_next_month", "pred_event_next_month"
@@ -140,8 +140,9 @@ def train_forest(
         featureSubsetStrategy="sqrt",
         seed=config.seed,
     )
-    weighted = staged(with_class_weights(train.select(*columns, TARGET_COLUMN)), "training_rows")
-    model = forest.fit(assembler.transform(weighted))
+    weighted = with_class_weights(train.select(*columns, TARGET_COLUMN))
+    with briefly_staged(weighted, "training_rows") as rows:
+        model = forest.fit(assembler.transform(rows))
     return PipelineModel([assembler, model])
 
 

@@ -19,7 +19,7 @@ from isotherm.operators import anomaly as anomalies
 from isotherm.operators import clean, features, landing, ml, observe, quality, telecon
 from isotherm.schemas import ML_METRICS, RUN_LOG
 from isotherm.sources import readers, writers
-from isotherm.sources.scratch import staged
+from isotherm.sources.scratch import briefly_staged
 
 log = logging.getLogger(__name__)
 
@@ -51,14 +51,15 @@ def land(
     The documents are parsed once; both outputs read the parsed columns.
     """
     raw = landing.with_city_slug(readers.read_raw_daily(spark, where.raw, config.variables, year))
-    good, bad = landing.split_valid(staged(landing.validate_raw(raw, config.variables), "documents"))
-    writers.write_table(
-        bad.select("file_path", "city_slug", "modified_at", "n_records", "errors"),
-        where.table("quarantined_documents"),
-    )
     dim_city = readers.read_dim_city(spark, where.dim_city)
-    days = landing.attach_city(landing.flatten_daily(good, config.variables), dim_city)
-    return writers.load_daily(days, where.table("landing_daily_weather"))
+    with briefly_staged(landing.validate_raw(raw, config.variables), "documents") as documents:
+        good, bad = landing.split_valid(documents)
+        writers.write_table(
+            bad.select("file_path", "city_slug", "modified_at", "n_records", "errors"),
+            where.table("quarantined_documents"),
+        )
+        days = landing.attach_city(landing.flatten_daily(good, config.variables), dim_city)
+        return writers.load_daily(days, where.table("landing_daily_weather"))
 
 
 def build_layers(

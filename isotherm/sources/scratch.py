@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,8 +37,24 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def staged(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame that several branches read, and go on from its files.
 
-    This cuts the lineage and computes the upstream plan once. The files outlive executors.
+    This cuts the lineage and computes the upstream plan once. The files outlive executors; the
+    lazy result may be read at any time, so they stay until the shared folder is emptied.
     """
-    path = new_folder(frame.sparkSession, name)
+    return _written(frame, new_folder(frame.sparkSession, name))
+
+
+@contextmanager
+def briefly_staged(frame: DataFrame, name: str) -> Iterator[DataFrame]:
+    """`staged` for work that ends inside the block; the files are removed afterwards."""
+    spark = frame.sparkSession
+    folder = new_folder(spark, name)
+    try:
+        yield _written(frame, folder)
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _written(frame: DataFrame, path: str) -> DataFrame:
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)

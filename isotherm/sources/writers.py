@@ -19,7 +19,7 @@ from isotherm.operators.landing import (
 )
 from isotherm.operators.observe import with_next_ids
 from isotherm.sources.readers import landed_windows, read_table, table_exists
-from isotherm.sources.scratch import staged
+from isotherm.sources.scratch import briefly_staged
 
 
 def write_table(
@@ -75,12 +75,12 @@ def load_daily(
         _by_year(fresh).write.mode("append").partitionBy("year").parquet(path)
     elif mode == "upsert":
         rows = newest_per_key(new, keys, order_by).select(*stored.columns)
-        incoming = staged(rows, "incoming")
-        touched = incoming.select("year").distinct()
-        affected = stored.join(touched, "year", "left_semi").select(*stored.columns)
-        _by_year(replace_rows(incoming, affected, keys)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("year").parquet(path)
+        with briefly_staged(rows, "incoming") as incoming:
+            touched = incoming.select("year").distinct()
+            affected = stored.join(touched, "year", "left_semi").select(*stored.columns)
+            _by_year(replace_rows(incoming, affected, keys)).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy("year").parquet(path)
     else:
         raise ValueError(f"unknown mode: {mode}")
     return spark.read.parquet(path)
@@ -120,12 +120,12 @@ def append_log(
     """
     spark = rows.sparkSession
     stored = read_table(spark, path, schema, required=False)
-    if order_by is None:
-        rows = staged(rows, "log_rows")
-    numbered = with_next_ids(rows, stored, order_by).select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
-    )
-    numbered.write.mode("append").parquet(path)
+    # stored rows keep the order in which they are numbered
+    with briefly_staged(rows, "log_rows") as batch:
+        numbered = with_next_ids(batch, stored, order_by).select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
+        )
+        numbered.write.mode("append").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -16,7 +16,7 @@ from isotherm.operators.landing import (
     with_city_slug,
 )
 from isotherm.sources.readers import landed_documents_stream, raw_daily_stream
-from isotherm.sources.scratch import staged
+from isotherm.sources.scratch import briefly_staged
 from isotherm.sources.writers import load_daily
 
 
@@ -65,13 +65,14 @@ def _start(
 ) -> StreamingQuery:
     def load(batch: DataFrame, batch_id: int) -> None:
         # parsed once, read by the load and by the quarantine
-        good, bad = split_valid(staged(validate_raw(batch, variables), "documents"))
-        days = attach_city(flatten_daily(good, variables), dim_city)
-        load_daily(days, table_path, order_by="modified_at")
-        # one folder per batch, overwritten on replay
-        bad.select("city_slug", "modified_at", "n_records", "errors").write.mode(
-            "overwrite"
-        ).parquet(f"{quarantine_path}/batch={batch_id}")
+        with briefly_staged(validate_raw(batch, variables), "documents") as documents:
+            good, bad = split_valid(documents)
+            days = attach_city(flatten_daily(good, variables), dim_city)
+            load_daily(days, table_path, order_by="modified_at")
+            # one folder per batch, overwritten on replay
+            bad.select("city_slug", "modified_at", "n_records", "errors").write.mode(
+                "overwrite"
+            ).parquet(f"{quarantine_path}/batch={batch_id}")
 
     return (
         with_city_slug(documents)
