@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from isotherm.llm import piece_codec, quality, token_counts, token_store
+from isotherm.llm import piece_codec, quality, simhash, token_counts, token_store
 from isotherm.llm.batches import table
 from isotherm.sources.scratch import new_folder
 
@@ -24,6 +24,10 @@ def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_components(table(spark, sf_dir, "documents"), width=4, budget=4)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512
@@ -41,6 +45,7 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_piece_codec": op2_piece_codec,
+    "op4_simhash_trie": op4_simhash_trie,
     "op6_token_counts": op6_token_counts,
     "op9_token_store": op9_token_store,
 }
