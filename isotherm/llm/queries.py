@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from isotherm.llm import piece_codec, quality, simhash, token_counts, token_store
+from isotherm.llm import mixing, piece_codec, quality, simhash, token_counts, token_store
 from isotherm.llm.batches import table
 from isotherm.sources.scratch import new_folder
 
@@ -28,6 +28,10 @@ def op4_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_components(table(spark, sf_dir, "documents"), width=4, budget=4)
 
 
+def op5_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_piece_codec": op2_piece_codec,
     "op4_simhash_trie": op4_simhash_trie,
+    "op5_entropy_mixing": op5_entropy_mixing,
     "op6_token_counts": op6_token_counts,
     "op9_token_store": op9_token_store,
 }
