@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from isotherm.llm import mixing, piece_codec, quality, simhash, token_counts, token_store
+from isotherm.llm import language, mixing, piece_codec, quality, simhash, token_counts, token_store
 from isotherm.llm.batches import table
 from isotherm.sources.scratch import new_folder
 
@@ -38,6 +38,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
     token_store.write_tokens(
@@ -52,5 +56,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_trie": op4_simhash_trie,
     "op5_entropy_mixing": op5_entropy_mixing,
     "op6_token_counts": op6_token_counts,
+    "op8_language_crf": op8_language_crf,
     "op9_token_store": op9_token_store,
 }
