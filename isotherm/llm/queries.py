@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from isotherm.llm import language, mixing, piece_codec, quality, simhash, token_counts, token_store
+from isotherm.llm import language, mixing, piece_codec, quality, simhash, token_counts, token_store, vptree
 from isotherm.llm.batches import table
 from isotherm.sources.scratch import new_folder
 
@@ -38,6 +38,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vptree.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20, relax=1.0)
+
+
 def op8_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_trie": op4_simhash_trie,
     "op5_entropy_mixing": op5_entropy_mixing,
     "op6_token_counts": op6_token_counts,
+    "op7_vantage_points": op7_vantage_points,
     "op8_language_crf": op8_language_crf,
     "op9_token_store": op9_token_store,
 }
