@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from isotherm.llm import language, mixing, piece_codec, quality, simhash, token_counts, token_store, vptree
+from isotherm.llm import language, mixing, pages, piece_codec, quality, simhash, token_counts, token_store, vptree
 from isotherm.llm.batches import table
 from isotherm.sources.scratch import new_folder
 
@@ -24,6 +24,10 @@ def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_nearest_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_components(table(spark, sf_dir, "documents"), width=4, budget=4)
 
@@ -58,6 +62,7 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_piece_codec": op2_piece_codec,
+    "op3_nearest_url": op3_nearest_url,
     "op4_simhash_trie": op4_simhash_trie,
     "op5_entropy_mixing": op5_entropy_mixing,
     "op6_token_counts": op6_token_counts,
