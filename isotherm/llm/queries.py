@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from isotherm.llm import language, mixing, pages, piece_codec, quality, simhash, token_counts, token_store, vptree
+from isotherm.llm import language, mixing, pages, piece_codec, quality, simhash, site_quality, token_counts, token_store, vptree
 from isotherm.llm.batches import table
 from isotherm.sources.scratch import new_folder
 
@@ -59,6 +59,12 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_tokens(spark, folder, with_ids=False)
 
 
+def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality.site_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), host="source", path="lang"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_piece_codec": op2_piece_codec,
@@ -69,4 +75,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_vantage_points": op7_vantage_points,
     "op8_language_crf": op8_language_crf,
     "op9_token_store": op9_token_store,
+    "op10_site_quality": op10_site_quality,
 }
