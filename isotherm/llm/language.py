@@ -323,3 +323,29 @@ def apply(documents: DataFrame, model: Model | None) -> DataFrame:
 
     rows = documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     return map_pieces(rows, "text", step, "doc_id bigint, held_out boolean, lang_pred string, score double")
+
+
+def keep_identified(documents: DataFrame, least: float = 0.4, settings: Training = Training()) -> DataFrame:
+    """The rows whose language is found with a score of at least `least`, with all their columns.
+
+    `lang` becomes the language found. Rows without a letter, or without a clear language, go. The
+    model learns as in `identify`; if there is nothing to learn from, no row is rejected and `lang`
+    stays as it is.
+    """
+    labelled = documents.where(
+        F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
+    ).select("doc_id", "text", "lang")
+    model = train(labelled, settings)
+    if model is None:
+        return documents
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        names, score = predicted(batch.column("text").to_pylist(), shared.value)
+        columns = dict(zip(batch.schema.names, batch.columns))
+        columns["lang"] = pa.array(names, pa.string())
+        keep = (np.array(names) != UNKNOWN) & (score >= least) if names else np.zeros(0, bool)
+        return pa.RecordBatch.from_pydict(columns).filter(pa.array(keep, pa.bool_()))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
+    return map_pieces(documents, "text", step, fields)

@@ -214,3 +214,20 @@ def mix_sources(
             (F.col("copies") * F.col("size")).alias("taken"),
         )
     )
+
+
+def mixed_documents(
+    documents: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MAX_COPIES
+) -> DataFrame:
+    """Each row of `documents` as often as `mix_sources` takes it, with all its columns.
+
+    Rows without words stay once. Rows are numbered and stored first, so null and repeated ids are
+    mixed like others; the numbers, not the ids, bring the copies back.
+    """
+    numbered = staged(documents.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    mixed = mix_sources(numbered.select(F.col("_row").alias("doc_id"), "text", "source"), weights, most)
+    times = mixed.select(
+        F.col("doc_id").alias("_row"), F.when(F.col("size") > 0, F.col("copies")).otherwise(1).alias("_times")
+    ).where("_times > 0")
+    met = numbered.join(times, "_row")
+    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(documents.columns)

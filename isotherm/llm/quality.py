@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from isotherm.llm.batches import map_pieces, mixed, offsets_of, sums
@@ -173,3 +174,22 @@ def judge_documents(
     return map_pieces(
         documents.select("doc_id", "text"), "text", lambda b: _judged(b, rules, with_text), schema
     )
+
+
+def clean_documents(documents: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
+    """The rows that `judge_documents` keeps, with all their columns and the cleaned text.
+
+    `n_chars`, where there is such a column, is counted anew. Cases as in `judge_documents`.
+    """
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        verdict = _judged(batch, rules, with_text=True)
+        text = verdict.column("cleaned_text")
+        columns = dict(zip(batch.schema.names, batch.columns))
+        columns["text"] = text
+        if "n_chars" in columns:
+            columns["n_chars"] = pc.utf8_length(text).cast(batch.schema.field("n_chars").type)
+        return pa.RecordBatch.from_pydict(columns).filter(verdict.column("kept"))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
+    return map_pieces(documents, "text", step, fields)

@@ -81,3 +81,23 @@ def near_components(documents: DataFrame, width: int = 4, budget: int = 4) -> Da
     return docs.join(by_value, "value").select(
         "doc_id", F.lpad(F.lower(F.hex("value")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(documents: DataFrame, width: int = 4, budget: int = 4) -> DataFrame:
+    """The rows of `documents` whose doc_id is their component's, with all their columns.
+
+    Of repeated rows with such an id one stays. Rows without an id cannot be told apart and stay.
+    Ids alone are compared and counted; texts move once, to meet the ids that stay.
+    """
+    found = near_components(documents, width, budget)
+    chosen = staged(
+        found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows")), "chosen"
+    )
+    once = chosen.where(F.col("_rows") == 1).select("doc_id")
+    more = staged(chosen.where(F.col("_rows") > 1).select("doc_id"), "repeated")
+    return (
+        documents.join(once, "doc_id", "left_semi")
+        .select(documents.columns)
+        .unionByName(documents.join(more, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(documents.columns))
+        .unionByName(documents.where(F.col("doc_id").isNull()))
+    )
