@@ -19,6 +19,12 @@ RATE_BITS = 28
 #: Roundings that compete in each half of a source.
 OFFSETS = 64
 
+#: A document is heavy if it has more than this part of its source's target.
+HEAVY = 0.02
+
+#: The tilt of documents that are not taken at all.
+NEVER = -1e18
+
 TOLERANCE = 1e-7
 MOST_ROUNDS = 60
 
@@ -77,22 +83,22 @@ def _rate(most: int):
 def balanced(sizes: DataFrame, targets: DataFrame, most: int = MAX_COPIES) -> DataFrame:
     """The targets with each source's `tilt`, the dual variable of its token constraint.
 
+    `sizes` has the number of each document's source and its size.
+
     Rates closest in entropy to one copy of each document, under the constraint that the expected
     words of a source are its target, are exponentials of the document's words: the dual is convex,
     with one variable for each source. Newton steps (on the logarithm of the expected words) run on
     the counts of each source and size; a step that leaves the bracket becomes a bisection. One
     aggregate serves all sources in a round, and every round's small table is stored.
     """
-    numbered = sizes.where("size > 0").join(
-        targets.select("number", F.col("source").alias("_source")), F.col("source").eqNullSafe(F.col("_source"))
-    )
-    counts = staged(numbered.groupBy("number", "size").agg(F.count("*").alias("n")), "size_counts")
+    counts = staged(sizes.where("size > 0").groupBy("number", "size").agg(F.count("*").alias("n")), "size_counts")
     full = F.col("target") >= most * F.col("source_size").cast("double") * (1 - 1e-9)
+    nothing = F.col("target") <= 0
     state = staged(
         targets.select(
             "*",
-            full.alias("limit"),
-            F.lit(0.0).alias("tilt"),
+            (full & ~nothing).alias("limit"),
+            F.when(nothing, NEVER).otherwise(0.0).alias("tilt"),
             F.lit(float("-inf")).alias("low"),
             F.lit(float("inf")).alias("high"),
             F.lit(1.0).alias("error"),
@@ -102,7 +108,7 @@ def balanced(sizes: DataFrame, targets: DataFrame, most: int = MAX_COPIES) -> Da
     rate = _rate(most)
     words = F.col("n") * F.col("size") * rate
     for _ in range(MOST_ROUNDS):
-        at = counts.join(state.where(~F.col("limit")), "number")
+        at = counts.join(state.where(~F.col("limit") & (F.col("tilt") > NEVER)), "number")
         sums = at.groupBy("number").agg(
             F.sum(words).alias("g"),
             F.sum(F.when(rate < most, words * F.col("size") / F.col("widest")).otherwise(0.0)).alias("slope"),
@@ -135,55 +141,73 @@ def balanced(sizes: DataFrame, targets: DataFrame, most: int = MAX_COPIES) -> Da
     return state
 
 
-def mix_sources(
-    documents: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MAX_COPIES
-) -> DataFrame:
-    """doc_id, size, source_size, target, copies and taken (words, repeats counted) for each row.
+def _with_units(sizes: DataFrame, state: DataFrame, most: int) -> DataFrame:
+    """Documents with their rate in fixed point, and as a key that puts the largest first."""
+    keys = state.select("number", "tilt", "limit", "widest")
+    rate = F.when(F.col("size") > 0, F.round(_rate(most) * (1 << RATE_BITS))).otherwise(0.0)
+    return sizes.join(keys, "number").withColumns({"units": rate.cast("bigint"), "descending": -F.col("size")})
 
-    The rates of `balanced` become copies by systematic rounding inside each half of a source,
-    largest documents first: copies are the whole numbers that the running total of the rates
-    passes. The words taken then miss their expectation by less than the longest document, and of
-    OFFSETS starting points in each half the pair with the smallest miss is used. No document has
-    more than `most` copies.
 
-    Null text has no words and takes none. A null source is a source, the last one. A source without
-    words has target 0. Null ids and repeated rows are mixed row by row. An empty table gives an
-    empty result. Running totals are taken over ranges of rows, so a source with a third of all rows
-    spans many tasks; only sums for each source, source and size, or range are aggregated.
-    """
-    sizes = staged(sizes_of(documents), "sizes")
-    targets = staged(targets_of(sizes, weights, most), "targets")
-    state = balanced(sizes, targets, most)
-    rates = (
-        sizes.join(
-            state.withColumnRenamed("source", "_source").drop("error", "low", "high"),
-            F.col("source").eqNullSafe(F.col("_source")),
-        )
-        .withColumn("units", F.when(F.col("size") > 0, F.round(_rate(most) * (1 << RATE_BITS))).otherwise(0.0).cast("bigint"))
-        .select(
-            "doc_id",
-            (2 * F.col("number") + F.pmod(F.xxhash64("doc_id"), F.lit(2))).alias("half"),
-            "size",
-            (-F.col("size")).alias("descending"),
-            "units",
-            "source_size",
-            "target",
+def _copies(start):
+    """Whole numbers that the running total of the rates passes in this row."""
+    passed = F.shiftright(F.col("units_before") + F.col("units") + start, RATE_BITS)
+    return passed - F.shiftright(F.col("units_before") + start, RATE_BITS)
+
+
+_STARTS = [(2 * k + 1) * (1 << RATE_BITS) // (2 * OFFSETS) for k in range(OFFSETS)]
+
+
+def _start_at(place):
+    return F.element_at(F.array(*map(F.lit, _STARTS)), place + 1).cast("bigint")
+
+
+def _taken_by_start():
+    return F.array(*[F.sum(_copies(F.lit(s)) * F.col("size")) for s in _STARTS])
+
+
+def _heavy_copies(heavy: DataFrame, state: DataFrame, most: int) -> DataFrame:
+    """Copies of the heavy documents: the rounding that leaves the others a target they can meet,
+    and of those the one nearest to the expectation."""
+    ordered = staged(
+        in_order(_with_units(heavy, state, most), ["number", "descending", "doc_id"], ["units"], "number"), "heavy"
+    )
+    taken = ordered.groupBy("number").agg(
+        _taken_by_start().alias("taken"),
+        (F.sum(F.col("size") * F.col("units")) / (1 << RATE_BITS)).alias("expected"),
+        F.sum("size").alias("own"),
+    )
+    room = most * (F.col("source_size") - F.col("own"))
+    best = F.array_min(
+        F.transform(
+            "taken",
+            lambda t, k: F.struct(
+                F.greatest(F.lit(0.0), t - F.col("target"), F.col("target") - t - room).alias("beyond"),
+                F.abs(t - F.col("expected")).alias("miss"),
+                k.alias("k"),
+            ),
         )
     )
-    totals = staged(in_order(rates, ["half", "descending", "doc_id"], ["units"], "half"), "positions")
+    starts = taken.join(state.select("number", "target", "source_size"), "number").select(
+        "number", _start_at(best["k"]).alias("start")
+    )
+    return ordered.join(starts, "number").select("doc_id", "number", "size", _copies(F.col("start")).alias("copies"))
 
-    def copies(start):
-        passed = F.shiftright(F.col("units_before") + F.col("units") + start, RATE_BITS)
-        return passed - F.shiftright(F.col("units_before") + start, RATE_BITS)
 
-    starts = [(2 * k + 1) * (1 << RATE_BITS) // (2 * OFFSETS) for k in range(OFFSETS)]
-    taken = totals.groupBy("half", "target").agg(
-        F.array(*[F.sum(copies(F.lit(s)) * F.col("size")) for s in starts]).alias("taken")
-    )
-    number, side = F.floor(F.col("half") / 2).alias("number"), F.pmod("half", F.lit(2))
+def _light_copies(light: DataFrame, state: DataFrame, most: int) -> DataFrame:
+    """Copies of the other documents, rounded in two halves of each source.
+
+    Of all pairs of starting points the one with the smallest miss is used.
+    """
+    half = 2 * F.col("number") + F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    rates = _with_units(light, state, most).withColumn("half", half)
+    ordered = staged(in_order(rates, ["half", "descending", "doc_id"], ["units"], "half"), "light")
+    taken = ordered.groupBy("number", "half").agg(_taken_by_start().alias("taken"))
     nothing = F.array_repeat(F.lit(0).cast("bigint"), OFFSETS)
-    sides = taken.groupBy(number, "target").agg(
-        *[F.coalesce(F.max(F.when(side == k, F.col("taken"))), nothing).alias(f"side_{k}") for k in (0, 1)]
+    sides = taken.groupBy("number").agg(
+        *[
+            F.coalesce(F.max(F.when(F.pmod("half", F.lit(2)) == k, F.col("taken"))), nothing).alias(f"side_{k}")
+            for k in (0, 1)
+        ]
     )
     misses = F.transform(
         "side_0",
@@ -194,25 +218,69 @@ def mix_sources(
             )
         ),
     )
-    chosen = sides.select("number", F.array_min(misses).alias("best"))
-    start_of = F.element_at(F.array(*map(F.lit, starts)), F.col("place") + 1)
-    best = staged(
-        chosen.select(
-            "number", F.posexplode(F.array("best.i", "best.j")).alias("side", "place")
-        ).select((2 * F.col("number") + F.col("side")).alias("half"), start_of.cast("bigint").alias("start")),
+    chosen = sides.join(state.select("number", "target"), "number").select("number", F.array_min(misses).alias("best"))
+    starts = staged(
+        chosen.select("number", F.posexplode(F.array("best.i", "best.j")).alias("side", "place")).select(
+            (2 * F.col("number") + F.col("side")).alias("half"), _start_at(F.col("place")).alias("start")
+        ),
         "starts",
     )
-    return (
-        totals.join(best, "half")
-        .withColumn("copies", copies(F.col("start")))
+    return ordered.join(starts, "half").select("doc_id", "number", "size", _copies(F.col("start")).alias("copies"))
+
+
+def mix_sources(
+    documents: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MAX_COPIES
+) -> DataFrame:
+    """doc_id, size, source_size, target, copies and taken (words, repeats counted) for each row.
+
+    The rates of `balanced` become copies by systematic rounding, largest documents first: copies
+    are the whole numbers that the running total of the rates passes, so the words taken miss their
+    expectation by less than the longest document, and several starting points compete. Heavy
+    documents (more than HEAVY of their source's target) are rounded first; the others are then
+    balanced again for what is left of the target. No document has more than `most` copies.
+
+    Null text has no words and takes none. A null source is a source, the last one. A source without
+    words has target 0. Null ids and repeated rows are mixed row by row. An empty table gives an
+    empty result. Running totals are taken over ranges of rows, so a source with a third of all rows
+    spans many tasks; only sums for each source, source and size, or range are aggregated.
+    """
+    sizes = staged(sizes_of(documents), "sizes")
+    targets = staged(targets_of(sizes, weights, most), "targets")
+    numbers = targets.select("number", F.col("source").alias("_source"), (HEAVY * F.col("target")).alias("_heavy"))
+    numbered = staged(
+        sizes.join(numbers, F.col("source").eqNullSafe(F.col("_source"))).select(
+            "doc_id", "number", "size", (F.col("size") > F.col("_heavy")).alias("is_heavy")
+        ),
+        "numbered_sizes",
+    )
+    heavy = numbered.where("is_heavy").drop("is_heavy")
+    light = numbered.where("NOT is_heavy").drop("is_heavy")
+    heavy_copies = staged(
+        _heavy_copies(heavy, balanced(numbered.drop("is_heavy"), targets, most), most), "heavy_copies"
+    )
+    used = heavy_copies.groupBy("number").agg(
+        F.sum(F.col("copies") * F.col("size")).alias("used"), F.sum("size").alias("own")
+    )
+    longest = light.groupBy("number").agg(F.max("size").alias("longest"))
+    left = staged(
+        targets.join(used, "number", "left")
+        .join(longest, "number", "left")
         .select(
-            "doc_id",
-            "size",
-            "source_size",
-            "target",
-            F.col("copies").cast("int").alias("copies"),
-            (F.col("copies") * F.col("size")).alias("taken"),
-        )
+            "number",
+            (F.col("source_size") - F.coalesce("own", F.lit(0))).alias("source_size"),
+            F.coalesce("longest", F.lit(0)).alias("widest"),
+            F.greatest(F.lit(0.0), F.col("target") - F.coalesce("used", F.lit(0))).alias("target"),
+        ),
+        "left",
+    )
+    copies = heavy_copies.unionByName(_light_copies(light, balanced(light, left, most), most))
+    return copies.join(targets.select("number", "source_size", "target"), "number").select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        F.col("copies").cast("int").alias("copies"),
+        (F.col("copies") * F.col("size")).alias("taken"),
     )
 
 
