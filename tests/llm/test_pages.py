@@ -1,0 +1,96 @@
+"""Page lines, alignment and nearest-URL differencing."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from isotherm.llm import pages
+
+
+def length(a: list[int], b: list[int]) -> int:
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+    return table[-1][-1]
+
+
+@pytest.mark.parametrize("bits", [1 << 28, 12])
+def test_alignment_is_a_longest_common_subsequence(monkeypatch, bits):
+    monkeypatch.setattr(pages, "ALIGN_BITS", bits)
+    rng = random.Random(1)
+    for _ in range(800):
+        a, b = ([rng.randint(0, 5) for _ in range(rng.randint(0, 14))] for _ in range(2))
+        found = pages.common(a, b)
+        rest = iter(b)
+        assert found == sorted(set(found)) and len(found) == length(a, b)
+        assert all(a[i] in rest for i in found)
+
+
+@pytest.mark.parametrize(
+    ("page", "lines"),
+    [
+        ("<p>a &amp; b<br>c</p><p> d\n\te </p>", ["a & b c", "d e"]),
+        ("<nav><ul><li>x</li></ul></nav><article><h1>T</h1><p>one<p>two</article><footer>f</footer>", ["T", "one", "two"]),
+        ("<script>var t='</p>';</script><style>p{}</style><!-- <p>no</p> --><p>yes</p>", ["yes"]),
+        ("<article><p>text</p><section class='post-comments'><p>nice!</p></section></article>", ["text"]),
+        ("<article><p>text</p><article class=comment>mine</article></article>", ["text"]),
+        ("<div class='ad-slot'>buy</div><div id=sidebar><p>s</p></div><p>kept</p>", ["kept"]),
+        ("<body class='has-sidebar'><p>kept</p></body>", ["kept"]),
+        ("<nav>never closed<article><p>kept</p></article>", ["kept"]),
+        ("<article><aside>never closed</article><p>out</p>", ["out"]),
+        ("<form><p>name</p></form><p hidden>h</p><p style='display: none'>n</p><p>kept</p>", ["kept"]),
+        ("<main><header><h1>Head</h1></header><p>kept</p></main>", ["Head", "kept"]),
+        ("a < b and c > d", ["a < b and c > d"]),
+        ("<p>cut off &eacute", ["cut off é"]),
+        ("", []),
+    ],
+)
+def test_lines(page, lines):
+    assert pages.parsed(page)[0] == lines
+
+
+def sibling(number: int, body: str) -> str:
+    return (
+        "<html><body><div>Name of the site</div><div>Weather of today</div>"
+        f"<div>{body}</div><div>{body} And {number} more.</div><div>Write to the desk</div></body></html>"
+    )
+
+
+def test_shared_lines_go_on_pages_without_an_article(spark):
+    rows = [(i, f"http://www.h.example/a/{i}", sibling(i, f"Body {i} here.")) for i in range(6)]
+    rows += [
+        (10, None, sibling(10, "x")),
+        (11, "http://o.example/", None),
+        (12, "http://[bad", sibling(12, "y")),
+        (None, "http://h.example/a/2", sibling(2, "Body 2 here.")),
+        (13, "http://alone.example/", sibling(13, "z")),
+        (14, "http://h.example/b/1", "<article>" + "".join(f"<p>{w}</p>" for w in ("Name of the site", "own")) + "</article>"),
+        (15, "http://h.example/b/2", "<article>" + "".join(f"<p>{w}</p>" for w in ("Name of the site", "two")) + "</article>"),
+    ]
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id bigint, url string, html string, text string, row int")
+    found = pages.main_text(frame).collect()
+    assert len(found) == len(rows) and all(r["n_chars"] == len(r["text"]) for r in found)
+    text = {r["page_id"]: r["text"] for r in found}
+    for i in range(6):
+        assert text[i] == f"Body {i} here.\nBody {i} here. And {i} more."
+    assert text[None] == "Body 2 here.\nBody 2 here. And 2 more."
+    assert text[11] == "" and text[10].startswith("Name of the site") and text[13].endswith("desk")
+    assert text[14] == "Name of the site\nown" and text[15] == "Name of the site\ntwo"  # articles stay whole
+    assert pages.main_text(spark.createDataFrame([], frame.schema)).count() == 0
+
+
+def test_pages_table(spark, sf_small):
+    table = spark.read.parquet(f"{sf_small}/pages.parquet")
+    expected = {r["page_id"]: "\n".join(pages.parsed(r["html"])[0]) for r in table.collect()}
+    assert {r["page_id"]: r["text"] for r in pages.main_text(table).collect()} == expected
+
+
+def test_very_long_pages():
+    page = "<div>" + "".join(f"<p>line {i % 7}</p>" for i in range(30_000)) + "</div>"
+    lines, doubtful = pages.parsed(page)
+    assert len(lines) == 30_000 and all(doubtful)
+    a = [hash(x) for x in lines]
+    assert pages.common(a[:5000], a[1:5000]) != []
