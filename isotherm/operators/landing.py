@@ -107,7 +107,8 @@ def attach_city(daily: DataFrame, dim_city: DataFrame) -> DataFrame:
 def newest_per_key(
     rows: DataFrame, keys: Sequence[str] = LANDING_KEYS, order_by: str | None = None
 ) -> DataFrame:
-    """One row per key: the newest by `order_by`, else an arbitrary but repeatable one.
+    """One row per key: the newest by `order_by` (a timestamp or whole number), ties and the case
+    without it by content, so repeatably.
 
     An aggregate instead of a ranking window, so that repeated deliveries of one key collapse
     before the shuffle. Names follow from the key and are grouped with it; what is left has a
@@ -116,7 +117,13 @@ def newest_per_key(
     """
     grouped = [c for c in rows.columns if c in keys or c in KEY_LABELS]
     values = [c for c in rows.columns if c not in grouped]
-    order = F.col(order_by) if order_by else F.xxhash64(*values)
+    order = F.xxhash64(*values)
+    if order_by:
+        # ties of the load order go by content, so the order of tasks does not show
+        kind = dict(rows.dtypes)[order_by]
+        moment = F.unix_micros(order_by) if kind == "timestamp" else F.col(order_by)
+        content = F.pmod(order, F.lit(1 << 30)).cast("decimal(10,0)")
+        order = moment.cast("decimal(20,0)") * F.lit(1 << 30).cast("decimal(10,0)") + content
     newest = rows.groupBy(*grouped).agg(*[F.max_by(c, order).alias(c) for c in values])
     return newest.select(*rows.columns)
 

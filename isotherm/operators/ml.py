@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from isotherm.config import FEATURE_COLUMNS, TARGET_COLUMN, ClimateConfig
 from isotherm.functions.columns import logistic, month_index, ratio
 from isotherm.operators.positions import running_totals
-from isotherm.sources.scratch import briefly_staged
+from isotherm.sources.scratch import briefly_staged, staged
 
 FEATURES, WEIGHT = "features", "class_weight"
 PROBABILITY, PREDICTION = "prob_event_next_month", "pred_event_next_month"
@@ -32,7 +32,7 @@ def complete_rows(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
 def require_columns(frame: DataFrame, columns: Sequence[str]) -> None:
     missing = [c for c in columns if c not in frame.columns]
     if missing:
-        raise KeyError(f"missing expected columns: {missing}")
+        raise KeyError(f"features without {', '.join(missing)}: build the feature table first")
 
 
 def mark_split(
@@ -48,7 +48,7 @@ def mark_split(
     `time` orders by month over all cities and cuts between two months.
     """
     if not 0.0 < fraction < 1.0:
-        raise ValueError(f"train fraction must be between 0 and 1, got {fraction}")
+        raise ValueError(f"fraction {fraction} leaves a side empty: it must lie inside (0, 1)")
     if mode not in ("ordered", "time"):
         raise ValueError(f"unknown split mode: {mode}")
     require_columns(features, [*columns, TARGET_COLUMN])
@@ -83,17 +83,16 @@ def ordered_split(
     mode: Literal["ordered", "time"] = "ordered",
     columns: Sequence[str] = FEATURE_COLUMNS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Disjoint (train, test); an empty side is a ValueError."""
-    marked = mark_split(features, fraction, mode, columns)
+    """Disjoint (train, test); an empty side is a ValueError. The marked rows are stored once."""
+    return sides(staged(mark_split(features, fraction, mode, columns), "split"))
+
+
+def sides(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of marked rows, best a stored table; an empty side is a ValueError."""
     train, test = marked.where("is_train"), marked.where("not is_train")
-    if mode == "ordered":
-        # the cut is known from the number of rows alone
-        n = complete_rows(features, columns).count()
-        empty = int(n * fraction) in (0, n)
-    else:
-        empty = train.isEmpty() or test.isEmpty()
-    if empty:
-        raise ValueError("the split left one side empty; adjust the train fraction")
+    for name, side in (("training", train), ("test", test)):
+        if side.isEmpty():
+            raise ValueError(f"empty {name} side: choose another fraction or add months")
     return train, test
 
 

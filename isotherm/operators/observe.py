@@ -67,9 +67,9 @@ def newest_first(summary: DataFrame) -> DataFrame:
 def with_next_ids(rows: DataFrame, stored: DataFrame, order_by: str | None = None) -> DataFrame:
     """Number rows from the highest stored id on, from 1 in an empty log.
 
-    `order_by` names a unique numeric column; without it rows are numbered in the order of their
-    partitions, for which they must come from a stored table. Either way by running totals, so a
-    batch of any size never meets in one task.
+    `order_by` names a unique column; without it rows are numbered in the order of their
+    partitions. Either way by running totals, whose ranges are stored with the order in them, so the
+    ids hold however often the result is read and a batch of any size never meets in one task.
     """
     highest = stored.select(F.coalesce(F.max("id"), F.lit(0)).alias("highest")).scalar()
     columns = [c for c in rows.columns if c != "id"]

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isotherm.config import TARGET_COLUMN, ClimateConfig
+from isotherm.functions.columns import slugify
 from isotherm.operators import anomaly as anomalies
 from isotherm.operators import clean, features, landing, ml, observe, quality, telecon
 from isotherm.schemas import ML_METRICS, RUN_LOG
@@ -45,45 +46,59 @@ class Locations:
 
 def land(
     spark: SparkSession, where: Locations, config: ClimateConfig, year: int | None = None
-) -> DataFrame:
-    """Valid documents into the daily table, invalid ones into quarantine. `year` limits the scan.
+) -> list[int]:
+    """Valid documents into the daily table, invalid ones into quarantine.
 
-    The documents are parsed once; both outputs read the parsed columns.
+    `year` limits the scan; a year without documents loads nothing. Returns the years of the daily
+    table that were rewritten, which may be others: a document holds the days it holds. The
+    documents are parsed once; both outputs read the parsed columns.
     """
     raw = landing.with_city_slug(readers.read_raw_daily(spark, where.raw, config.variables, year))
     dim_city = readers.read_dim_city(spark, where.dim_city)
     with briefly_staged(landing.validate_raw(raw, config.variables), "documents") as documents:
         good, bad = landing.split_valid(documents)
-        writers.write_table(
-            bad.select("file_path", "city_slug", "modified_at", "n_records", "errors"),
-            where.table("quarantined_documents"),
-        )
+        _quarantine(spark, bad, where.table("quarantined_documents"), year)
         days = landing.attach_city(landing.flatten_daily(good, config.variables), dim_city)
-        return writers.load_daily(days, where.table("landing_daily_weather"))
+        return writers.upsert_daily(
+            days, where.table("landing_daily_weather"), order_by="modified_at"
+        )
+
+
+def _quarantine(spark: SparkSession, bad: DataFrame, path: str, year: int | None) -> None:
+    """Replace the quarantined documents of the files that were read, and keep the others."""
+    file_year = F.regexp_extract("file_path", r"(\d+)\.json$", 1).try_cast("long")
+    rows = bad.select(
+        "file_path", "city_slug", "modified_at", "n_records", "errors", file_year.alias("file_year")
+    )
+    if year is not None and readers.table_exists(spark, path):
+        rows = rows.unionByName(spark.read.parquet(path).where(~F.col("file_year").eqNullSafe(year)))
+    with briefly_staged(rows, "quarantine") as current:
+        writers.write_table(current, path)
 
 
 def build_layers(
     spark: SparkSession,
     where: Locations,
     config: ClimateConfig,
-    year: int | None = None,
+    years: list[int] | None = None,
     store_lags: bool = True,
 ) -> dict[str, DataFrame]:
     """All derived tables, each stored because later ones read it more than once.
 
-    With `year`, only that year of the monthly table is computed again; the daily scan is pruned
-    to its partition. `store_lags=False` skips the two pair tables, whose size grows with the
+    With `years`, only those years of the monthly table are computed again; the daily scan is pruned
+    to their partitions. `store_lags=False` skips the two pair tables, whose size grows with the
     square of the number of cities, and takes the per-city summary straight from the series.
     """
     daily = readers.read_table(spark, where.table("landing_daily_weather"))
     cleaned = writers.publish_view(clean.clean_daily(daily, config), "clean_daily_weather_features")
 
     monthly_path = where.table("clean_monthly_climate")
-    if year is not None and readers.table_exists(spark, monthly_path):
-        touched = clean.monthly_climate(clean.clean_daily(daily.where(F.col("year") == year), config))
-        touched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "year"
-        ).parquet(monthly_path)
+    if years is not None and readers.table_exists(spark, monthly_path):
+        if years:
+            touched = clean.monthly_climate(clean.clean_daily(writers.of_years(daily, years), config))
+            touched.write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy("year").parquet(monthly_path)
         monthly = spark.read.parquet(monthly_path)
     else:
         monthly = writers.write_table(clean.monthly_climate(cleaned), monthly_path, ["year"])
@@ -124,22 +139,29 @@ def build_layers(
 
 
 def run_checks(
-    layers: dict[str, DataFrame], where: Locations, year: int | None = None
+    layers: dict[str, DataFrame],
+    where: Locations,
+    years: list[int] | None = None,
+    dim_city: DataFrame | None = None,
 ) -> DataFrame:
     """Counts of all standing rules and key checks, stored as a table.
 
-    With `year`, the two daily tables are checked for that year only: a daily run changes no
-    other, and the check would otherwise read and shuffle the whole history.
+    With `years`, the two daily tables are checked for those years only: the run changed no
+    other, and the check would otherwise read and shuffle the whole history. With `dim_city`, city
+    names that lead to the same slug are counted, since each would receive the other's days.
     """
-    if year is not None:
+    if years is not None:
         daily = ("landing_daily_weather", "clean_daily_weather_features")
-        layers = layers | {name: layers[name].where(F.col("year") == year) for name in daily}
+        layers = layers | {name: writers.of_years(layers[name], years) for name in daily}
     reports = [quality.check(f, name, quality.rules_for(name)) for name, f in layers.items()]
     reports += [
         quality.check_unique(layers[name], name, keys)
         for name, keys in quality.TABLE_KEYS.items()
         if name in layers
     ]
+    if dim_city is not None:
+        slugs = dim_city.select(slugify(F.col("city_name")).alias("city_slug"))
+        reports.append(quality.check_unique(slugs, "dim_city", ["city_slug"]))
     combined = reports[0]
     for report in reports[1:]:
         combined = combined.unionByName(report)
@@ -151,7 +173,10 @@ def train_and_score(
 ) -> DataFrame:
     """Fit, evaluate, store model, metrics and predictions. Failing to log metrics is not fatal."""
     rows = readers.read_table(spark, where.table("ml_features"))
-    train, test = ml.ordered_split(rows, config.train_fraction)
+    marked = writers.write_table(
+        ml.mark_split(rows, config.train_fraction), where.table("ml_split")
+    )
+    train, test = ml.sides(marked)
     model = ml.train_forest(train, config)
     writers.save_model(model, where.table("models/baseline_rf"))
 
@@ -217,7 +242,8 @@ def run_job(
     as_of: date | None = None,
     store_lags: bool = True,
 ) -> DataFrame:
-    """One run; returns the predictions. `daily` reloads only the documents of the year of `as_of`.
+    """One run; returns the predictions. `daily` reads only the documents of the year of `as_of`,
+    and computes again the months of every year that those documents touch.
 
     Each step starts from stored tables, so a run that dies is simply started again.
     """
@@ -228,10 +254,12 @@ def run_job(
     year = as_of.year if mode == "daily" else None
     status = "failed"
     try:
-        land(spark, where, config, year)
-        layers = build_layers(spark, where, config, year, store_lags)
+        touched = land(spark, where, config, year)
+        years = None if mode == "backfill" else touched
+        layers = build_layers(spark, where, config, years, store_lags)
         if with_checks:
-            results = run_checks(layers, where, year)
+            dim_city = readers.read_dim_city(spark, where.dim_city)
+            results = run_checks(layers, where, years, dim_city)
             failing = results.where(~F.col("passed")).count()
             if failing:
                 raise ChecksFailed(f"{failing} checks failed, see {where.table('check_results')}")
@@ -258,10 +286,12 @@ def main() -> None:
     arguments.add_argument("--warehouse", required=True)
     arguments.add_argument("--mode", choices=sorted(FLOW_NAMES), default="daily")
     arguments.add_argument("--no-checks", action="store_true")
+    arguments.add_argument("--no-pair-tables", action="store_true", help="skip the tables of all city pairs")
     given = arguments.parse_args()
     spark = SparkSession.builder.appName("isotherm").getOrCreate()
     where = Locations(given.raw, given.dim_city, given.warehouse)
-    run_job(spark, where, mode=given.mode, with_checks=not given.no_checks)
+    run_job(spark, where, mode=given.mode, with_checks=not given.no_checks,
+            store_lags=not given.no_pair_tables)
 
 
 if __name__ == "__main__":

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,23 +9,15 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
-_local_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir` of the session.
+    """`spark.checkpoint.dir` of the session, else a folder beside its tables.
 
-    Only a local session without that setting (tests, a laptop) gets a folder of its own.
+    The warehouse folder is where a cluster keeps tables, so all executors reach it too.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="isotherm-")
-    return _local_folders[application]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

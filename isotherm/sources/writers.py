@@ -58,32 +58,57 @@ def load_daily(
 ) -> DataFrame:
     """Load `new` into the stored daily table, which is partitioned by year.
 
-    `high_watermark` only appends. `upsert` rewrites just the years that `new` touches: the
-    stored side is limited to them by a semi join on the partition column, and dynamic overwrite
-    leaves every other year as it is. A job that dies half-way can be run again.
+    `high_watermark` only appends. `upsert` reads and rewrites just the years that `new` touches;
+    dynamic overwrite leaves every other year as it is. A job that dies half-way can be run again.
     """
     spark = new.sparkSession
     order_by = order_by if order_by in new.columns else None
-    if not table_exists(spark, path):
-        first = newest_per_key(new, keys, order_by).drop(order_by or "")
-        _by_year(first).write.mode("append").partitionBy("year").parquet(path)
+    if mode == "upsert":
+        upsert_daily(new, path, keys, order_by)
         return spark.read.parquet(path)
-
-    stored = spark.read.parquet(path).withColumn("year", F.col("year").cast("long"))
-    if mode == "high_watermark":
+    if mode != "high_watermark":
+        raise ValueError(f"unknown mode: {mode}")
+    if not table_exists(spark, path):
+        fresh = newest_per_key(new, keys, order_by).drop(order_by or "")
+    else:
+        stored = spark.read.parquet(path).withColumn("year", F.col("year").cast("long"))
         fresh = beyond_watermark(new, stored, keys, order_by)
-        _by_year(fresh).write.mode("append").partitionBy("year").parquet(path)
-    elif mode == "upsert":
-        rows = newest_per_key(new, keys, order_by).select(*stored.columns)
-        with briefly_staged(rows, "incoming") as incoming:
-            touched = incoming.select("year").distinct()
-            affected = stored.join(touched, "year", "left_semi").select(*stored.columns)
-            _by_year(replace_rows(incoming, affected, keys)).write.mode("overwrite").option(
+    _by_year(fresh).write.mode("append").partitionBy("year").parquet(path)
+    return spark.read.parquet(path)
+
+
+def upsert_daily(
+    new: DataFrame, path: str, keys: Sequence[str] = LANDING_KEYS, order_by: str | None = None
+) -> list[int]:
+    """The upsert of `load_daily`; returns the years it has rewritten.
+
+    The years come to the driver (their number is bounded by the calendar) and are a filter on the
+    partition column, so no other year of the stored table is read.
+    """
+    spark = new.sparkSession
+    order_by = order_by if order_by in new.columns else None
+    rows = newest_per_key(new, keys, order_by).drop(order_by or "")
+    with briefly_staged(rows, "incoming") as incoming:
+        found = [r["year"] for r in incoming.select("year").distinct().collect()]
+        years = sorted(found, key=lambda y: (y is None, y))
+        if not table_exists(spark, path):
+            _by_year(incoming).write.mode("append").partitionBy("year").parquet(path)
+            return years
+        if years:
+            stored = of_years(spark.read.parquet(path), years)
+            incoming = incoming.select(*stored.columns)
+            _by_year(replace_rows(incoming, stored, keys)).write.mode("overwrite").option(
                 "partitionOverwriteMode", "dynamic"
             ).partitionBy("year").parquet(path)
-    else:
-        raise ValueError(f"unknown mode: {mode}")
-    return spark.read.parquet(path)
+    return years
+
+
+def of_years(table: DataFrame, years: Sequence[int]) -> DataFrame:
+    """Rows of some years (None: without one) of a table that is partitioned by year."""
+    wanted = F.col("year").isin([y for y in years if y is not None])
+    if None in years:
+        wanted = wanted | F.col("year").isNull()
+    return table.where(wanted).withColumn("year", F.col("year").cast("long"))
 
 
 def _by_year(rows: DataFrame) -> DataFrame:

@@ -77,6 +77,9 @@ def test_backfill_then_daily(spark, where):
     september = read("clean_monthly_climate").where("city_id = 3 and year = 2020 and month = 9").first()
     assert september.days_in_month == 20
 
+    # the backfill's quarantined document of another year is still there
+    assert [r.city_slug for r in read("quarantined_documents").collect()] == ["oslo"]
+
     log = spark.read.schema(RUN_LOG).parquet(places.table("pipeline_run_log")).orderBy("id").collect()
     assert [(r.id, r.run_mode, r.status) for r in log] == [(1, "backfill", "success"), (2, "daily", "success")]
     assert (log[0].rows_bronze_delta, log[1].rows_bronze_delta) == (3 * n_days, 11)
@@ -84,6 +87,38 @@ def test_backfill_then_daily(spark, where):
     assert log[1].freshness_status == "fresh"
 
 
+def test_a_document_that_crosses_new_year_and_a_year_without_documents(spark, where, tmp_path):
+    folder, places = where
+    elsewhere = job.Locations(str(tmp_path / "raw"), places.dim_city, str(tmp_path / "warehouse"))
+    for year in (2017, 2018):
+        put(tmp_path / "raw", "Oslo", year, date(year, 12, 31) if year == 2018 else date(2017, 12, 30))
+    job.land(spark, elsewhere, CONFIG)
+    job.build_layers(spark, elsewhere, CONFIG, store_lags=False)
+    month = lambda: spark.read.parquet(elsewhere.table("clean_monthly_climate")).where("year = 2017 and month = 12").first()
+    assert month().days_in_month == 30
+
+    late = json.loads((tmp_path / "raw" / "oslo" / "2018.json").read_text())["daily"]
+    late = {k: [v[0], *v] for k, v in late.items()}
+    late["time"][0] = "2017-12-31"
+    (tmp_path / "raw" / "oslo" / "2019.json").write_text(json.dumps({"daily": late}))
+    touched = job.land(spark, elsewhere, CONFIG, 2019)
+    assert touched == [2017, 2018]
+    job.build_layers(spark, elsewhere, CONFIG, touched, store_lags=False)
+    assert month().days_in_month == 31
+
+    assert job.land(spark, elsewhere, CONFIG, 2031) == []  # the first of January
+    assert job.build_layers(spark, elsewhere, CONFIG, [], store_lags=False)["clean_monthly_climate"].count() == 24
+
+
+def test_cities_that_share_a_slug_fail_the_checks(spark, where, tmp_path):
+    _, places = where
+    cities = spark.createDataFrame([(1, "Spring Field"), (2, "spring_field"), (3, "Lima")], "city_id long, city_name string")
+    daily = spark.read.parquet(places.table("landing_daily_weather")).limit(5)
+    here = job.Locations(places.raw, places.dim_city, str(tmp_path / "warehouse"))
+    found = job.run_checks({"landing_daily_weather": daily}, here, dim_city=cities)
+    assert found.where("table_name = 'dim_city'").first().n_failed == 1
+
+
 def test_failed_checks_fail_the_run_and_are_logged(spark, where, tmp_path):
     _, places = where
     elsewhere = job.Locations(places.raw, places.dim_city, str(tmp_path / "warehouse"))

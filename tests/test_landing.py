@@ -1,6 +1,8 @@
 import json
 from datetime import date
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -181,6 +183,27 @@ def test_stored_load_touches_only_its_years(spark, tmp_path):
         writers.load_daily(late, path, mode="replace")
 
 
+def test_stored_load_reads_only_its_years(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    days = daily(spark, *[(1, f"{y}-06-01", 1.0, 1) for y in range(2000, 2021)])
+    assert writers.upsert_daily(days, path, order_by="version") == list(range(2000, 2021))
+    assert writers.upsert_daily(days.where("year = 2003"), path, order_by="version") == [2003]
+    plan = writers.of_years(spark.read.parquet(path), [2003])._jdf.queryExecution().executedPlan().toString()
+    filters = re.search(r"PartitionFilters: \[([^\]]*)\]", plan).group(1)
+    assert "2003" in filters
+    assert writers.of_years(spark.read.parquet(path), [2003, None]).count() == 1
+
+
+def test_ties_of_the_load_order_go_by_content(spark):
+    rows = [(1, "2020-01-01", float(x), 1) for x in range(20)]
+    found = {
+        content(landing.newest_per_key(daily(spark, *order).repartition(n), order_by="version"))[0]
+        for order in (rows, rows[::-1])
+        for n in (1, 4)
+    }
+    assert len(found) == 1
+
+
 def landed(spark, *rows):
     documents = [({"time": [f"{y}-01-01"], "temperature_2m_max": [x]}, slug, y) for slug, y, x in rows]
     return spark.createDataFrame(

@@ -27,19 +27,12 @@ def test_the_shared_folder_is_the_sessions(spark):
     assert scratch.new_folder(spark, "x") != scratch.new_folder(spark, "x")
 
 
-def test_a_cluster_needs_a_shared_folder():
+def test_without_a_shared_folder_the_warehouse_is_used():
     class Conf:
-        def get(self, key, default):
-            return default
+        def get(self, key, default=None):
+            return {"spark.sql.warehouse.dir": "hdfs://store/tables/"}.get(key, default)
 
     class Session:
         conf = Conf()
 
-        class sparkContext:
-            master = "yarn"
-            applicationId = "a"
-
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch.shared_folder(Session())
-    Session.sparkContext.master = "local[2]"
-    assert scratch.shared_folder(Session()) == scratch.shared_folder(Session())
+    assert scratch.shared_folder(Session()) == "hdfs://store/tables/_scratch"
