@@ -42,8 +42,26 @@ LINK_SCHEMA = "city_id long, strength double, strength_9 long, lag_months long"
 # Spark side: series, blocks, block pairs
 # --------------------------------------------------------------------------------------
 
-def _block_pairs(anomaly: DataFrame, block_size: int) -> DataFrame:
-    """Each city's series, once for every block pair it takes part in."""
+def _until(anomaly: DataFrame, as_of: tuple[int, int] | None) -> DataFrame:
+    """The months up to `as_of` (year, month), itself included."""
+    if as_of is None:
+        return anomaly
+    last = month_index(F.lit(as_of[0]), F.lit(as_of[1]))
+    return anomaly.where(month_index(F.col("year"), F.col("month")) <= last)
+
+
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    """Candidate pairs (city_id, other_city_id), each in both orders."""
+    found = pairs.select("city_id", "other_city_id").where("city_id <> other_city_id")
+    back = found.select(F.col("other_city_id").alias("city_id"), F.col("city_id").alias("other_city_id"))
+    return found.unionByName(back).distinct()
+
+
+def _block_pairs(anomaly: DataFrame, block_size: int, pairs: DataFrame | None = None) -> DataFrame:
+    """Each city's series, once for every block pair it takes part in.
+
+    With `pairs`, only for the block pairs that hold a candidate.
+    """
     known = anomaly.where(F.col("city_id").isNotNull())
     n_blocks = known.select(
         F.greatest(
@@ -61,7 +79,7 @@ def _block_pairs(anomaly: DataFrame, block_size: int) -> DataFrame:
         .withColumn("block", F.pmod(F.xxhash64("city_id"), F.col("n_blocks")).cast("int"))
     )
     partner = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("partner")
-    return series.select("city_id", "city_name", "series", "block", partner).select(
+    placed = series.select("city_id", "city_name", "series", "block", partner).select(
         F.least("block", "partner").alias("block_lo"),
         F.greatest("block", "partner").alias("block_hi"),
         "block",
@@ -69,6 +87,15 @@ def _block_pairs(anomaly: DataFrame, block_size: int) -> DataFrame:
         "city_name",
         "series",
     )
+    if pairs is None:
+        return placed
+    own, other = (
+        F.pmod(F.xxhash64(c), F.col("n_blocks")).cast("int") for c in ("city_id", "other_city_id")
+    )
+    wanted = pairs.withColumn("n_blocks", n_blocks).select(
+        F.least(own, other).alias("block_lo"), F.greatest(own, other).alias("block_hi")
+    )
+    return placed.join(wanted.distinct(), ["block_lo", "block_hi"], "left_semi")
 
 
 def _per_block_pair(
@@ -76,6 +103,7 @@ def _per_block_pair(
     config: ClimateConfig,
     task: Callable[[_Block, _Block, bool], pa.Table],
     schema: str,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     max_lag = config.max_lag
 
@@ -87,15 +115,23 @@ def _per_block_pair(
             return task(low, low, True)
         return task(low, _Block(table.filter(pc.equal(table["block"], hi)), *axis), False)
 
-    pairs = _block_pairs(anomaly, config.block_size)
+    blocks = _block_pairs(anomaly, config.block_size, pairs)
     if config.pair_partitions:
-        pairs = pairs.repartition(config.pair_partitions, "block_lo", "block_hi")
-    return pairs.groupBy("block_lo", "block_hi").applyInArrow(run, schema)
+        blocks = blocks.repartition(config.pair_partitions, "block_lo", "block_hi")
+    return blocks.groupBy("block_lo", "block_hi").applyInArrow(run, schema)
 
 
-def pair_correlations(anomaly: DataFrame, config: ClimateConfig = ClimateConfig()) -> DataFrame:
+def pair_correlations(
+    anomaly: DataFrame,
+    config: ClimateConfig = ClimateConfig(),
+    pairs: DataFrame | None = None,
+    as_of: tuple[int, int] | None = None,
+) -> DataFrame:
     """Pearson correlation of same-month anomalies for every pair of cities, smaller id first.
 
+    `pairs` (city_id, other_city_id, either order) restricts the result, and the work to the block
+    pairs that hold one of them. `as_of` (year, month) leaves later months out.
+
     `n_observations` counts shared months, also those with a missing value; the correlation
     uses complete pairs only and is NULL where it is undefined.
     """
@@ -111,11 +147,25 @@ def pair_correlations(anomaly: DataFrame, config: ClimateConfig = ClimateConfig(
                  "n_observations", "anomaly_correlation"]
         return pa.concat_tables([pa.table(p, names=names) for p in parts])
 
-    return _per_block_pair(anomaly, config, task, PAIR_SCHEMA)
+    anomaly = _until(anomaly, as_of)
+    if pairs is None:
+        return _per_block_pair(anomaly, config, task, PAIR_SCHEMA)
+    wanted = _both_ways(pairs)
+    found = _per_block_pair(anomaly, config, task, PAIR_SCHEMA, wanted)
+    wanted = wanted.toDF("city_id_1", "city_id_2")
+    return found.join(wanted, ["city_id_1", "city_id_2"], "left_semi").select(found.columns)
 
 
-def lag_correlations(anomaly: DataFrame, config: ClimateConfig = ClimateConfig()) -> DataFrame:
-    """Pearson correlation per ordered city pair and lag; lag = other month - own month."""
+def lag_correlations(
+    anomaly: DataFrame,
+    config: ClimateConfig = ClimateConfig(),
+    pairs: DataFrame | None = None,
+    as_of: tuple[int, int] | None = None,
+) -> DataFrame:
+    """Pearson correlation per ordered city pair and lag; lag = other month - own month.
+
+    `pairs` and `as_of` as in `pair_correlations`; each candidate comes in both orders.
+    """
     max_lag = config.max_lag
 
     def task(a: _Block, b: _Block, same: bool) -> pa.Table:
@@ -138,7 +188,12 @@ def lag_correlations(anomaly: DataFrame, config: ClimateConfig = ClimateConfig()
                 keep(b, a, j, i, -lag, n, r)
         return pa.concat_tables(parts)
 
-    return _per_block_pair(anomaly, config, task, LAG_SCHEMA)
+    anomaly = _until(anomaly, as_of)
+    if pairs is None:
+        return _per_block_pair(anomaly, config, task, LAG_SCHEMA)
+    wanted = _both_ways(pairs)
+    found = _per_block_pair(anomaly, config, task, LAG_SCHEMA, wanted)
+    return found.join(wanted, ["city_id", "other_city_id"], "left_semi").select(found.columns)
 
 
 def best_lag(lags: DataFrame) -> DataFrame:
@@ -158,12 +213,20 @@ def best_lag(lags: DataFrame) -> DataFrame:
     )
 
 
-def strongest_links(anomaly: DataFrame, config: ClimateConfig = ClimateConfig()) -> DataFrame:
+def strongest_links(
+    anomaly: DataFrame,
+    config: ClimateConfig = ClimateConfig(),
+    pairs: DataFrame | None = None,
+    as_of: tuple[int, int] | None = None,
+) -> DataFrame:
     """`best_lag(lag_correlations(anomaly))` without ever writing out the pairs.
 
     Each block pair emits one candidate per city, so the result grows with cities x blocks
     rather than with cities squared. Use it when only the feature table is wanted.
     """
+    if pairs is not None:  # the candidates bound what is written out
+        return best_lag(lag_correlations(anomaly, config, pairs, as_of))
+    anomaly = _until(anomaly, as_of)
     lags = sorted(range(-config.max_lag, config.max_lag + 1), key=lambda k: (abs(k), k))
 
     def task(a: _Block, b: _Block, same: bool) -> pa.Table:

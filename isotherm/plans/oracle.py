@@ -44,8 +44,7 @@ daily AS (
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN city ON c_nationkey = city_id
   GROUP BY ALL)"""
 
-CLEAN = f"""{DAILY},
-clean AS (
+CLEANING = """clean AS (
   SELECT city_id, city_name, country_code, date,
          temperature_2m_max AS tmax_c, temperature_2m_min AS tmin_c, temperature_2m_mean AS tmean_c,
          dew_point_2m_mean AS dewpoint_c, precipitation_sum AS precip_mm,
@@ -57,8 +56,9 @@ clean AS (
          CAST(coalesce(precipitation_sum >= 10, false) AS INTEGER) AS is_heavy_precip_day
   FROM daily)"""
 
-MONTHLY = f"""{CLEAN},
-monthly AS (
+CLEAN = f"{DAILY},\n{CLEANING}"
+
+MONTHS = """monthly AS (
   SELECT city_id, city_name, country_code, year, month, count(*) AS days_in_month,
          avg(tmax_c) AS avg_tmax_c, avg(tmin_c) AS avg_tmin_c, avg(tmean_c) AS avg_tmean_c,
          avg(dewpoint_c) AS avg_dewpoint_c, avg(wind_max_ms) AS avg_wind_max_ms,
@@ -69,6 +69,8 @@ monthly AS (
          CAST(sum(is_summer) AS BIGINT) AS summer_day_count
   FROM clean GROUP BY ALL)"""
 
+MONTHLY = f"{CLEAN},\n{MONTHS}"
+
 CLIMATE = f"""{MONTHLY},
 climate AS (
   SELECT city_id, city_name, country_code, month,
@@ -76,7 +78,7 @@ climate AS (
          avg(avg_tmin_c) AS climatology_tmin_c, avg(total_precip_mm) AS climatology_total_precip_mm,
          stddev_samp(avg_tmean_c) AS climatology_tmean_std_c,
          stddev_samp(total_precip_mm) AS climatology_total_precip_std_mm
-  FROM monthly WHERE year IN (1996, 1997, 1998, 1999) GROUP BY ALL)"""
+  FROM monthly WHERE year BETWEEN 1996 AND 1999 GROUP BY ALL)"""
 
 ANOMALY = f"""{CLIMATE},
 anomaly AS (
@@ -122,6 +124,24 @@ links AS (
          max(CASE WHEN place = 1 AND strength IS NOT NULL THEN lag_months END) AS lead_lag_months
   FROM ranked GROUP BY city_id)"""
 
+FLEET = """monthly AS (
+  SELECT l_suppkey AS city_id, s_name AS city_name, 'N' || s_nationkey AS country_code,
+         CAST(year(l_shipdate) AS BIGINT) AS year, CAST(month(l_shipdate) AS BIGINT) AS month,
+         avg(l_extendedprice) / CAST(9999.991 AS DOUBLE) AS avg_tmean_c,
+         max(l_extendedprice) / CAST(9999.991 AS DOUBLE) AS avg_tmax_c,
+         min(l_extendedprice) / CAST(9999.991 AS DOUBLE) AS avg_tmin_c,
+         sum(l_quantity) / CAST(999.983 AS DOUBLE) AS total_precip_mm
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL)"""
+
+# The same steps over the months of the fleet.
+FLEET_LAGS, FLEET_BEST = LAGS.replace(MONTHLY, FLEET), BEST.replace(MONTHLY, FLEET)
+
+NEIGHBOURS = """near AS (
+  SELECT s_suppkey AS a, unnest([lead(s_suppkey, 1) OVER w, lead(s_suppkey, 2) OVER w]) AS b
+  FROM supplier WINDOW w AS (PARTITION BY s_nationkey % 5 ORDER BY s_suppkey)),
+pairs AS (SELECT a AS city_id, b AS other_city_id FROM near WHERE b IS NOT NULL
+          UNION SELECT b, a FROM near WHERE b IS NOT NULL)"""
+
 ROLLED = """rolled AS (
   SELECT city_id, city_name, year, month, year * 12 + month AS time_index, anomaly_tmean_c,
          is_strong_positive_temp_anomaly OR is_strong_negative_temp_anomaly AS strong,
@@ -348,14 +368,14 @@ _CHECKS = "\nUNION ALL\n".join(
                 "city_id_1 city_name_1 city_id_2 city_name_2 n_observations anomaly_correlation"
             )
             | _range("n_observations", 12, None)
-            | {"accepted_range(anomaly_correlation)": "abs(anomaly_correlation) > 1.000000001"},
+            | {"accepted_range(anomaly_correlation)": "abs(anomaly_correlation) > 1"},
         ),
         _check(
             "anomaly_city_lags",
             "(SELECT *, r AS anomaly_correlation FROM lags)",
             _not_null("city_id other_city_id lag_months anomaly_correlation n_observations")
             | _range("lag_months", -6, 6)
-            | {"accepted_range(anomaly_correlation)": "abs(anomaly_correlation) > 1.000000001"},
+            | {"accepted_range(anomaly_correlation)": "abs(anomaly_correlation) > 1"},
         ),
         _check(
             "ml_features",
@@ -425,6 +445,11 @@ ORACLE: dict[str, str] = {
               SELECT * FROM incoming WHERE date > (SELECT max(date) FROM stored))""",
     "incremental_upsert": UPSERTED,
     "stored_upsert": UPSERTED,
+    "upsert_months": f"""WITH {NEW_DAYS},
+        updated AS (SELECT * FROM stored WHERE date < DATE '2000-01-01' UNION ALL SELECT * FROM incoming),
+        {CLEANING.replace("FROM daily)", "FROM updated)")}, {MONTHS}
+        SELECT city_id, city_name, country_code, year, month, days_in_month, {_each(MONTH_MEASURES)},
+               {MONTH_COUNTS} FROM monthly""",
     "landing_zone": f"WITH {DAILY} SELECT {LANDED}, {_each(VARIABLE_LIST)} FROM daily",
     "stream_landing": f"WITH {DAILY} SELECT {LANDED}, {_each(VARIABLE_LIST)} FROM daily",
     "raw_files": f"WITH {DAILY} SELECT city_slug, year, date, {_each(VARIABLE_LIST)} FROM daily",
@@ -468,7 +493,7 @@ ORACLE: dict[str, str] = {
         SELECT city_id, city_name, year, month, {_r("anomaly_tmean_c", "temperature_anomaly")},
                {_r("zscore_tmean", "z_score")}, is_strong_positive_temp_anomaly AS is_hot_event,
                is_strong_negative_temp_anomaly AS is_cold_event,
-               coalesce(zscore_tmean NOT BETWEEN -2.9999999999999996 AND 2.9999999999999996, false) AS is_extreme_event,
+               coalesce(abs(zscore_tmean) >= 3, false) AS is_extreme_event,
                CAST(is_strong_positive_temp_anomaly OR is_strong_negative_temp_anomaly AS INTEGER)
                  AS is_event_next_month
         FROM anomaly""",
@@ -482,6 +507,19 @@ ORACLE: dict[str, str] = {
                {_r("r", "anomaly_correlation")} FROM lags""",
     "best_lag": f"WITH {BEST} SELECT city_id, {_r('max_lagged_corr')}, lead_lag_months FROM links",
     "strongest_links": f"WITH {BEST} SELECT city_id, {_r('max_lagged_corr')}, lead_lag_months FROM links",
+    "fleet_monthly": f"""WITH {FLEET}
+        SELECT city_id, city_name, country_code, year, month,
+               {_each("avg_tmean_c avg_tmax_c avg_tmin_c total_precip_mm")} FROM monthly""",
+    "fleet_correlations": f"""WITH {FLEET_LAGS}
+        SELECT city_id AS city_id_1, city_name AS city_name_1, other_city_id AS city_id_2,
+               other_city_name AS city_name_2, n_observations, {_r("r", "anomaly_correlation")}
+        FROM lags WHERE lag_months = 0 AND city_id < other_city_id""",
+    "fleet_links": f"WITH {FLEET_BEST} SELECT city_id, {_r('max_lagged_corr')}, lead_lag_months FROM links",
+    "candidate_lags": f"""WITH {FLEET_LAGS}, {NEIGHBOURS}
+        SELECT city_id, city_name, other_city_id, other_city_name, lag_months, n_observations,
+               {_r("r", "anomaly_correlation")} FROM lags SEMI JOIN pairs USING (city_id, other_city_id)""",
+    "links_as_of": f"""WITH {FLEET_BEST.replace("AS x FROM anomaly)", "AS x FROM anomaly WHERE year <= 1999)")}
+        SELECT city_id, {_r('max_lagged_corr')}, lead_lag_months FROM links""",
     # ------------------------------------------------------------------ features, model
     "rolling_features": f"""WITH {ANOMALY}, {ROLLED}
         SELECT city_id, year, month, time_index, {_each(ROLLING)} FROM rolled""",
@@ -528,8 +566,8 @@ ORACLE: dict[str, str] = {
         FROM scored""",
     # ------------------------------------------------------------------ observability
     "stored_log": f"""WITH {RUNS}
-        SELECT row_number() OVER (ORDER BY status = 'failed', id) AS id, * EXCLUDE (id)
-        FROM runs WHERE status IS NOT NULL""",
+        SELECT row_number() OVER (ORDER BY status = 'failed' NULLS LAST, id) AS id, * EXCLUDE (id)
+        FROM runs""",
     "run_log_view": f"WITH {RUNS} SELECT * FROM runs",
     "run_daily_summary": f"WITH {RUN_DAYS} SELECT * FROM run_days",
     "ml_metrics_view": f"""WITH {METRICS}
@@ -554,7 +592,7 @@ ORACLE: dict[str, str] = {
         FROM now, previous""",
     "log_append": f"""WITH {RUNS}
         SELECT (SELECT max(id) FROM runs) + row_number() OVER (ORDER BY id) AS id, id AS source_id,
-               run_mode, started_at FROM runs WHERE run_mode = 'signup'""",
+               run_mode, started_at FROM runs""",
     "last_success": f"""WITH {RUNS}
         SELECT rows_bronze, rows_gold_ml FROM runs WHERE status = 'success'
         ORDER BY started_at DESC LIMIT 1""",

@@ -82,8 +82,7 @@ def raw_validation(spark, sf_dir):
 @query
 def flatten_daily(spark, sf_dir):
     """Nested documents with uneven arrays back to days."""
-    documents = st.faulty_documents(spark, sf_dir).where(F.col("daily").isNotNull())
-    return landing.flatten_daily(documents.drop("city_id"))
+    return landing.flatten_daily(st.faulty_documents(spark, sf_dir).drop("city_id"))
 
 
 @query
@@ -131,6 +130,22 @@ def stored_upsert(spark, sf_dir):
     return loaded.withColumn("year", F.col("year").cast("long"))
 
 
+@query
+def upsert_months(spark, sf_dir):
+    """Months over the stored daily table after an upsert, only the rewritten years computed again."""
+    stored, new = _stored_and_new(spark, sf_dir)
+    path, months = new_folder(spark, "daily"), new_folder(spark, "monthly")
+    writers.load_daily(stored, path)
+    first = clean.monthly_climate(clean.clean_daily(spark.read.parquet(path), st.CONFIG))
+    writers.write_table(first, months, ["year"])
+    years = writers.upsert_daily(new, path, order_by="delivery")
+    touched = writers.of_years(spark.read.parquet(path), years)
+    clean.monthly_climate(clean.clean_daily(touched, st.CONFIG)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("year").parquet(months)
+    return spark.read.parquet(months).withColumn("year", F.col("year").cast("long"))
+
+
 @query
 def landing_zone(spark, sf_dir):
     """Documents to a partitioned landing zone (skip, then replace), back to named days."""
@@ -294,6 +309,35 @@ def strongest_links(spark, sf_dir):
     return telecon.strongest_links(st.station_anomaly(spark, sf_dir), st.CONFIG)
 
 
+@query
+def fleet_monthly(spark, sf_dir):
+    return st.fleet_monthly(spark, sf_dir)
+
+
+@query
+def fleet_correlations(spark, sf_dir):
+    """All pairs of a fleet in many blocks."""
+    return telecon.pair_correlations(st.fleet_anomaly(spark, sf_dir), st.FLEET_CONFIG)
+
+
+@query
+def fleet_links(spark, sf_dir):
+    return telecon.strongest_links(st.fleet_anomaly(spark, sf_dir), st.FLEET_CONFIG)
+
+
+@query
+def candidate_lags(spark, sf_dir):
+    """Lags of the candidate pairs alone."""
+    pairs = staged(st.neighbours(spark, sf_dir), "pairs")
+    return telecon.lag_correlations(st.fleet_anomaly(spark, sf_dir), st.FLEET_CONFIG, pairs)
+
+
+@query
+def links_as_of(spark, sf_dir):
+    """Links that no later month has a part in."""
+    return telecon.strongest_links(st.fleet_anomaly(spark, sf_dir), st.FLEET_CONFIG, as_of=(1999, 12))
+
+
 # ---------------------------------------------------------------------------- features, model
 
 
@@ -376,12 +420,12 @@ def metrics_record(spark, sf_dir):
 
 @query
 def event_probability(spark, sf_dir):
-    """Logistic form of a margin, and the event at probability one half."""
+    """Logistic form of a margin, and the event at the threshold of the configuration."""
     probability = logistic((F.col("value") - 25) / 10)
     return st.table(spark, sf_dir, "events").select(
         "event_id",
         probability.alias("prob_event_next_month"),
-        (probability >= 0.5).cast("int").alias("pred_event_next_month"),
+        (probability >= st.CONFIG.event_probability).cast("int").alias("pred_event_next_month"),
     )
 
 
@@ -427,11 +471,11 @@ def ml_daily_summary(spark, sf_dir):
 
 @query
 def stored_log(spark, sf_dir):
-    """Two batches appended to an absent log: ids count on across them."""
+    """Three batches appended to an absent log: ids count on across them."""
     path = new_folder(spark, "log")
     log = st.run_log(spark, sf_dir)
-    for status in ("success", "failed"):
-        batch = log.where(F.col("status") == status).withColumnRenamed("id", "event_id")
+    for status in ("success", "failed", None):
+        batch = log.where(F.col("status").eqNullSafe(status)).withColumnRenamed("id", "event_id")
         stored = writers.append_log(batch, path, RUN_LOG, order_by="event_id")
     return stored
 
@@ -445,11 +489,10 @@ def run_stats(spark, sf_dir):
 
 @query
 def log_append(spark, sf_dir):
-    """Ids of a batch that follows the stored log."""
+    """Ids of a batch, the whole log once more, that follows the stored log."""
     log = st.run_log(spark, sf_dir)
-    batch = log.where(F.col("run_mode") == "signup")
     numbered = observe.with_next_ids(
-        batch.withColumn("source_id", F.col("id")).drop("id"), log, order_by="source_id"
+        log.withColumn("source_id", F.col("id")).drop("id"), log, order_by="source_id"
     )
     return numbered.select("id", "source_id", "run_mode", "started_at")
 

@@ -8,7 +8,7 @@ round differently.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from isotherm.config import ClimateConfig
@@ -25,6 +25,9 @@ RAIN_PER_ORDER = 2.5
 # The shared orders run from 1995 to 2001.
 CONFIG = ClimateConfig(baseline_first_year=1996, baseline_last_year=1999)
 
+# Small blocks, so that the fleet of a small table too is many pairs of blocks.
+FLEET_CONFIG = ClimateConfig(baseline_first_year=1996, baseline_last_year=1999, block_size=32)
+
 
 # Columns the queries use; a given schema saves the footer job of every scan.
 TABLES = {
@@ -33,6 +36,7 @@ TABLES = {
     "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double",
     "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
     "orders": "o_custkey long, o_totalprice double, o_orderdate timestamp_ntz",
+    "lineitem": "l_suppkey long, l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz",
     "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
 }
 
@@ -95,6 +99,45 @@ def station_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomaly_month(monthly, climatology(monthly, CONFIG), CONFIG)
 
 
+def fleet_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of a fleet that grows with the data: suppliers as cities, line items as observations."""
+    items, supplier = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
+    price = F.col("l_extendedprice")
+    shipped = F.col("l_shipdate")
+    months = items.groupBy(
+        F.col("l_suppkey").alias("city_id"),
+        F.year(shipped).cast("long").alias("year"),
+        F.month(shipped).cast("long").alias("month"),
+    ).agg(
+        (F.avg(price) / TEMPERATURE_SCALE).alias("avg_tmean_c"),
+        (F.max(price) / TEMPERATURE_SCALE).alias("avg_tmax_c"),
+        (F.min(price) / TEMPERATURE_SCALE).alias("avg_tmin_c"),
+        (F.sum("l_quantity") / ACCOUNT_SCALE).alias("total_precip_mm"),
+    )
+    names = supplier.select(
+        F.col("s_suppkey").alias("city_id"),
+        F.col("s_name").alias("city_name"),
+        F.concat(F.lit("N"), F.col("s_nationkey")).alias("country_code"),
+    )
+    return months.join(names, "city_id").select("city_id", "city_name", "country_code", *months.columns[1:])
+
+
+def fleet_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    monthly = staged(fleet_monthly(spark, sf_dir), "fleet")
+    return anomaly_month(monthly, climatology(monthly, CONFIG), CONFIG)
+
+
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate pairs of the fleet: each supplier with the next two of its fifth of the nations."""
+    supplier = table(spark, sf_dir, "supplier")
+    by = Window.partitionBy(F.col("s_nationkey") % 5).orderBy("s_suppkey")
+    ahead = F.array(*[F.lead("s_suppkey", k).over(by) for k in (1, 2)])
+    found = supplier.withColumn("ahead", ahead).select(
+        F.col("s_suppkey").alias("city_id"), F.explode("ahead").alias("other_city_id")
+    )
+    return found.where("other_city_id IS NOT NULL")
+
+
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested document per (city_slug, year); a document holds at most one year of days."""
     day = F.struct("date", *CONFIG.variables)

@@ -4,6 +4,8 @@ import pytest
 from oracle_check import difference, duck
 
 import __spark_entry__ as entry
+from isotherm.plans.oracle import ORACLE
+from isotherm.plans.queries import REGISTRY
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,7 +15,7 @@ def connection():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_oracle(spark, connection, name):
     frame = entry.queries()[name](spark, SF_DIR)
     plan = frame._jdf.queryExecution().executedPlan().toString()
@@ -25,8 +27,9 @@ def test_query_equals_oracle(spark, connection, name):
 
 
 def test_only_the_forest_has_no_oracle():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"rf_predictions"}
-    assert not set(entry.oracle_sql()) - set(entry.queries())
+    assert set(REGISTRY) - set(ORACLE) == {"rf_predictions"}
+    assert not set(ORACLE) - set(REGISTRY)
+    assert set(REGISTRY) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
