@@ -390,6 +390,47 @@ _CHECKS = "\nUNION ALL\n".join(
 )
 
 
+_FAULTS = """planted_days AS (
+  SELECT * REPLACE (
+    CASE day_of_year % 50 WHEN 7 THEN 99 WHEN 8 THEN NULL ELSE tmax_c END AS tmax_c,
+    CASE day_of_year % 50 WHEN 9 THEN -99 ELSE tmin_c END AS tmin_c,
+    CASE day_of_year % 50 WHEN 10 THEN -1 ELSE precip_mm END AS precip_mm,
+    CASE WHEN day_of_year % 50 <> 11 THEN city_id END AS city_id,
+    CASE WHEN day_of_year % 50 <> 12 THEN date END AS date) FROM clean),
+planted_months AS (
+  SELECT * REPLACE (
+    CASE WHEN month <> 3 THEN city_name END AS city_name,
+    CASE WHEN month <> 4 THEN year END AS year,
+    CASE month WHEN 2 THEN 14 WHEN 5 THEN NULL ELSE month END AS month) FROM monthly),
+planted_events AS (
+  SELECT city_id, year, CASE month WHEN 6 THEN 0 ELSE month END AS month,
+         CASE WHEN month <> 7 THEN zscore_tmean END AS z_score,
+         CASE WHEN month <> 8 THEN true END AS flag FROM anomaly)"""
+_FAULTY_CHECKS = "\nUNION ALL\n".join(
+    [
+        _check(
+            "clean_daily_weather_features",
+            "planted_days",
+            _not_null("city_id date tmax_c")
+            | _range("tmax_c", -60, 60)
+            | _range("tmin_c", -60, 60)
+            | _range("precip_mm", 0, 500),
+        ),
+        _check(
+            "clean_monthly_climate", "planted_months",
+            _not_null("city_id city_name year month") | _MONTH_VALUES,
+        ),
+        _check(
+            "anomaly_city_events",
+            "planted_events",
+            _not_null("city_id year month z_score")
+            | {f"not_null({c})": "flag IS NULL" for c in ("is_hot_event", "is_cold_event", "is_extreme_event")}
+            | _range("month", 1, 12),
+        ),
+    ]
+)
+
+
 def _unique(table: str, source: str, keys: str) -> str:
     return (
         f"SELECT '{table}' AS table_name, 'unique({keys})' AS rule, CAST(sum(n) AS BIGINT) AS n_rows, "
@@ -564,6 +605,13 @@ ORACLE: dict[str, str] = {
         SELECT event_id, CAST(label AS INTEGER) AS is_event_next_month,
                CAST(called AS INTEGER) AS pred_event_next_month, score AS prob_event_next_month
         FROM scored""",
+    "complete_feature_rows": f"""WITH {FEATURES}
+        SELECT city_id, year, month FROM features
+        WHERE month NOT IN (1, 2) AND {" AND ".join(f"{c} IS NOT NULL" for c in _FEATURE_NAMES.split())}""",
+    "model_round_trip": f"""WITH {FEATURES}
+        SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_changed, CAST(0 AS BIGINT) AS n_disagreeing,
+               CAST(0 AS BIGINT) AS n_out_of_range FROM features
+        WHERE {" AND ".join(f"{c} IS NOT NULL" for c in _FEATURE_NAMES.split())}""",
     # ------------------------------------------------------------------ observability
     "stored_log": f"""WITH {RUNS}
         SELECT row_number() OVER (ORDER BY status = 'failed' NULLS LAST, id) AS id, * EXCLUDE (id)
@@ -645,6 +693,8 @@ ORACLE: dict[str, str] = {
     # ------------------------------------------------------------------ checks
     "dq_report": f"""WITH {FEATURES}, {RUNS}, results AS ({_CHECKS})
         SELECT table_name, rule, n_rows, n_failed, n_failed = 0 AS passed FROM results""",
+    "dq_faults": f"""WITH {ANOMALY}, {_FAULTS}, results AS ({_FAULTY_CHECKS})
+        SELECT table_name, rule, n_rows, n_failed, n_failed = 0 AS passed FROM results""",
     "target_values": f"""WITH {SCORED}
         SELECT DISTINCT CAST(label AS INTEGER) AS is_event_next_month FROM scored""",
     "dq_unique_keys": f"""WITH {MONTHLY}, {ATTEMPTS}, results AS (

@@ -7,12 +7,14 @@ themselves return full precision.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from isotherm.config import FEATURE_COLUMNS
 from isotherm.functions.columns import logistic
 from isotherm.operators import anomaly as anomalies
 from isotherm.operators import clean, features, health, landing, ml, observe, quality, serve
@@ -446,6 +448,39 @@ def rf_predictions(spark, sf_dir):
     return ml.score(rows, ml.train_forest(train, st.CONFIG), st.CONFIG.event_probability)
 
 
+@query
+def complete_feature_rows(spark, sf_dir):
+    """Keys of the rows that a model may see, with planted NULL and NaN features."""
+    month = F.col("month")
+    rows = _features(spark, sf_dir).withColumns(
+        {
+            "roll_std_3": F.when(month != 1, F.col("roll_std_3")),
+            "delta_1m": F.when(month == 2, float("nan")).otherwise(F.col("delta_1m")),
+        }
+    )
+    return ml.complete_rows(rows, FEATURE_COLUMNS).select("city_id", "year", "month")
+
+
+@query
+def model_round_trip(spark, sf_dir):
+    """Rows whose score changes by saving and loading, and rows where label and probability disagree."""
+    rows = staged(_features(spark, sf_dir), "features")
+    train, _ = ml.ordered_split(rows, st.CONFIG.train_fraction)
+    model = ml.train_forest(train, replace(st.CONFIG, n_trees=10))
+    path = new_folder(spark, "model")
+    writers.save_model(model, path)
+    keys, share = ["city_id", "year", "month"], st.CONFIG.event_probability
+    probability, call = F.col(ml.PROBABILITY), F.col(ml.PREDICTION)
+    fresh = ml.score(rows, model, share).select(*keys, probability.alias("fresh"))
+    loaded = ml.score(rows, writers.load_model(path), share)
+    return loaded.join(fresh, keys).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(probability != F.col("fresh")).alias("n_changed"),
+        F.count_if(call != (probability >= share).cast("int")).alias("n_disagreeing"),
+        F.count_if(~probability.between(0, 1)).alias("n_out_of_range"),
+    )
+
+
 # ---------------------------------------------------------------------------- observability
 
 
@@ -607,6 +642,46 @@ def dq_report(spark, sf_dir):
     return _union([quality.check(f, name, quality.rules_for(name)) for name, f in layers.items()])
 
 
+@query
+def dq_faults(spark, sf_dir):
+    """Standing checks over tables with planted faults, so that rules fail."""
+    cleaned = clean.clean_daily(st.station_daily(spark, sf_dir), st.CONFIG)
+    day = F.col("day_of_year") % 50
+    cleaned = cleaned.withColumns(
+        {
+            "tmax_c": F.when(day == 7, 99.0).when(day != 8, F.col("tmax_c")),
+            "tmin_c": F.when(day == 9, -99.0).otherwise(F.col("tmin_c")),
+            "precip_mm": F.when(day == 10, -1.0).otherwise(F.col("precip_mm")),
+            "city_id": F.when(day != 11, F.col("city_id")),
+            "date": F.when(day != 12, F.col("date")),
+        }
+    )
+    monthly = st.station_monthly(spark, sf_dir)
+    month = F.col("month")
+    monthly = monthly.withColumns(
+        {
+            "city_name": F.when(month != 3, F.col("city_name")),
+            "year": F.when(month != 4, F.col("year")),
+            "month": F.when(month == 2, 14).when(month != 5, month),
+        }
+    )
+    events = anomalies.anomaly_events(st.station_anomaly(spark, sf_dir), st.CONFIG)
+    flags = ("is_hot_event", "is_cold_event", "is_extreme_event")
+    events = events.withColumns(
+        {
+            "month": F.when(month == 6, 0).otherwise(month),
+            "z_score": F.when(month != 7, F.col("z_score")),
+            **{f: F.when(month != 8, F.col(f)) for f in flags},
+        }
+    )
+    tables = {
+        "clean_daily_weather_features": cleaned,
+        "clean_monthly_climate": monthly,
+        "anomaly_city_events": events,
+    }
+    return _union([quality.check(f, name, quality.rules_for(name)) for name, f in tables.items()])
+
+
 @query
 def target_values(spark, sf_dir):
     return quality.target_values(st.scored_events(spark, sf_dir))
