@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -44,10 +45,22 @@ HEADLINE = (
     "ml_health",
     "metric_summary",
     "dq_report",
+    "fleet_monthly",
+    "fleet_correlations",
+    "fleet_links",
+    "candidate_lags",
+    "stored_upsert",
+    "upsert_months",
+    "landing_zone",
+    "stream_landing",
+    "stored_log",
+    "log_append",
+    "rf_predictions",
 )
 
 
 def session(cpus: str) -> SparkSession:
+    folder = tempfile.mkdtemp(prefix="isotherm-bench-")  # one machine: what tests do too
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("isotherm-bench")
@@ -56,6 +69,8 @@ def session(cpus: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", f"{folder}/shared")
+        .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isotherm.config import FEATURE_COLUMNS, TARGET_COLUMN
+from isotherm.config import DAILY_VARIABLES, FEATURE_COLUMNS, TARGET_COLUMN
+from isotherm.schemas import ML_METRICS, RUN_LOG
 
 
 @dataclass(frozen=True)
@@ -115,6 +116,44 @@ def contract_problems(frame: DataFrame, contract: T.StructType) -> list[str]:
     return problems
 
 
+# Columns and kinds of the stored tables.
+_CITY = "city_id long, city_name string, country_code string"
+_PAIR = "n_observations long, anomaly_correlation double"
+CONTRACTS = {
+    "landing_daily_weather": f"{_CITY}, city_slug string, year long, date date, "
+    + ", ".join(f"{v} double" for v in DAILY_VARIABLES),
+    "clean_monthly_climate": f"{_CITY}, year long, month long, days_in_month long, avg_tmax_c double, "
+    "avg_tmin_c double, avg_tmean_c double, total_precip_mm double",
+    "climatology_city_month": f"{_CITY}, month long, climatology_tmean_c double, climatology_tmean_std_c double",
+    "anomaly_city_month": f"{_CITY}, year long, month long, month_name string, season string, "
+    "anomaly_tmean_c double, zscore_tmean double, is_strong_positive_temp_anomaly boolean",
+    "anomaly_city_events": "city_id long, city_name string, year long, month long, z_score double, "
+    "is_hot_event boolean, is_cold_event boolean, is_extreme_event boolean",
+    "anomaly_city_correlations": f"city_id_1 long, city_name_1 string, city_id_2 long, city_name_2 string, {_PAIR}",
+    "anomaly_city_lags": f"city_id long, other_city_id long, lag_months long, {_PAIR}",
+    "ml_features": "city_id long, city_name string, year long, month long, "
+    + ", ".join(f"{c} double" for c in FEATURE_COLUMNS)
+    + f", {TARGET_COLUMN} long",
+    "pipeline_run_log": RUN_LOG,
+    "pipeline_ml_metrics": ML_METRICS,
+}
+
+
+def contract_report(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per table with a declared contract: how many of its columns are missing or of another
+    kind. Reads schemas only."""
+    rows = []
+    for name, frame in tables.items():
+        if name in CONTRACTS:
+            declared = CONTRACTS[name]
+            contract = T.StructType.fromDDL(declared) if isinstance(declared, str) else declared
+            problems = contract_problems(frame, contract)
+            rows.append((name, "contract", len(contract), len(problems), not problems))
+    return spark.createDataFrame(
+        rows, "table_name string, rule string, n_rows long, n_failed long, passed boolean"
+    )
+
+
 MONTHS = tuple(range(1, 13))
 
 

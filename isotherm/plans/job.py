@@ -124,10 +124,11 @@ def build_layers(
     }
     if store_lags:
         layers["anomaly_city_correlations"] = store(
-            telecon.pair_correlations(anomaly, config), "anomaly_city_correlations"
+            telecon.pair_correlations(anomaly, config), "anomaly_city_correlations", "city_id_1", "city_id_2"
         )
         layers["anomaly_city_lags"] = store(
-            telecon.lag_correlations(anomaly, config), "anomaly_city_lags"
+            telecon.lag_correlations(anomaly, config),
+            "anomaly_city_lags", "city_name", "other_city_name", "lag_months",
         )
         links = telecon.best_lag(layers["anomaly_city_lags"])
     else:
@@ -162,6 +163,7 @@ def run_checks(
     if dim_city is not None:
         slugs = dim_city.select(slugify(F.col("city_name")).alias("city_slug"))
         reports.append(quality.check_unique(slugs, "dim_city", ["city_slug"]))
+    reports.append(quality.contract_report(next(iter(layers.values())).sparkSession, layers))
     combined = reports[0]
     for report in reports[1:]:
         combined = combined.unionByName(report)

@@ -175,3 +175,24 @@ def test_plan_has_no_nested_loop(spark):
     for operator in (telecon.pair_correlations, telecon.lag_correlations, telecon.strongest_links):
         plan = operator(frame)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_candidate_pairs_and_as_of(spark):
+    rows = make()
+    frame = spark.createDataFrame(rows, SCHEMA)
+    config = ClimateConfig(block_size=4)
+    pairs = spark.createDataFrame([(1, 2), (9, 3), (3, 9), (5, 6), (4, 4)], "city_id long, other_city_id long")
+    wanted = {(1, 2), (2, 1), (3, 9), (9, 3), (5, 6), (6, 5)}
+    expected = {k: v for k, v in brute_lags(rows, config.max_lag).items() if k[:2] in wanted}
+    found = telecon.lag_correlations(frame, config, pairs).collect()
+    assert_same(
+        {(r.city_id, r.other_city_id, r.lag_months): (r.n_observations, r.anomaly_correlation) for r in found}, expected
+    )
+    same_month = {(a, b): v for (a, b, lag), v in expected.items() if lag == 0 and a < b}
+    found = telecon.pair_correlations(frame, config, pairs).collect()
+    assert_same({(r.city_id_1, r.city_id_2): (r.n_observations, r.anomaly_correlation) for r in found}, same_month)
+    early = frame.where("year * 12 + month <= 2001 * 12 + 6")
+    cut = telecon.strongest_links(frame, config, as_of=(2001, 6)).collect()
+    assert sorted(cut) == sorted(telecon.strongest_links(early, config).collect())
+    few = telecon.strongest_links(frame, config, pairs)
+    assert {r.city_id for r in few.collect()} == {1, 2, 3, 5, 6, 9}
