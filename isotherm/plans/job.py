@@ -34,11 +34,16 @@ class ChecksFailed(RuntimeError):
 
 @dataclass(frozen=True)
 class Locations:
-    """Where a run reads and writes; all of them shared storage."""
+    """Where a run reads and writes; all of them shared storage.
+
+    `zoned` says that `raw` is a landing zone written by `writers.land_documents`, instead of one file
+    per city and year.
+    """
 
     raw: str
     dim_city: str
     warehouse: str
+    zoned: bool = False
 
     def table(self, name: str) -> str:
         return f"{self.warehouse.rstrip('/')}/{name}"
@@ -53,7 +58,13 @@ def land(
     table that were rewritten, which may be others: a document holds the days it holds. The
     documents are parsed once; both outputs read the parsed columns.
     """
-    raw = landing.with_city_slug(readers.read_raw_daily(spark, where.raw, config.variables, year))
+    if where.zoned:
+        raw = readers.read_landed_documents(spark, where.raw, config.variables)
+        raw = raw if year is None else raw.where(F.col("year") == year)
+    else:
+        raw = readers.read_raw_daily(spark, where.raw, config.variables, year)
+        file_year = F.regexp_extract("file_path", r"(\d+)\.json$", 1).try_cast("long")
+        raw = landing.with_city_slug(raw).withColumn("year", file_year)
     dim_city = readers.read_dim_city(spark, where.dim_city)
     with briefly_staged(landing.validate_raw(raw, config.variables), "documents") as documents:
         good, bad = landing.split_valid(documents)
@@ -66,9 +77,8 @@ def land(
 
 def _quarantine(spark: SparkSession, bad: DataFrame, path: str, year: int | None) -> None:
     """Replace the quarantined documents of the files that were read, and keep the others."""
-    file_year = F.regexp_extract("file_path", r"(\d+)\.json$", 1).try_cast("long")
     rows = bad.select(
-        "file_path", "city_slug", "modified_at", "n_records", "errors", file_year.alias("file_year")
+        "file_path", "city_slug", "modified_at", "n_records", "errors", F.col("year").alias("file_year")
     )
     if year is not None and readers.table_exists(spark, path):
         rows = rows.unionByName(spark.read.parquet(path).where(~F.col("file_year").eqNullSafe(year)))
@@ -289,9 +299,10 @@ def main() -> None:
     arguments.add_argument("--mode", choices=sorted(FLOW_NAMES), default="daily")
     arguments.add_argument("--no-checks", action="store_true")
     arguments.add_argument("--no-pair-tables", action="store_true", help="skip the tables of all city pairs")
+    arguments.add_argument("--zoned", action="store_true", help="raw is a partitioned landing zone")
     given = arguments.parse_args()
     spark = SparkSession.builder.appName("isotherm").getOrCreate()
-    where = Locations(given.raw, given.dim_city, given.warehouse)
+    where = Locations(given.raw, given.dim_city, given.warehouse, given.zoned)
     run_job(spark, where, mode=given.mode, with_checks=not given.no_checks,
             store_lags=not given.no_pair_tables)
 

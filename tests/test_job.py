@@ -6,11 +6,13 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from isotherm.config import DAILY_VARIABLES, ClimateConfig
-from isotherm.operators import quality
+from isotherm.operators import landing, quality
 from isotherm.plans import job
 from isotherm.schemas import ML_METRICS, RUN_LOG
+from isotherm.sources import readers, writers
 
 CONFIG = ClimateConfig(baseline_first_year=2016, baseline_last_year=2019, n_trees=4, max_depth=3)
 CITIES = {1: "Oslo", 2: "New York", 3: "Lima"}
@@ -110,6 +112,24 @@ def test_a_document_that_crosses_new_year_and_a_year_without_documents(spark, wh
     assert job.build_layers(spark, elsewhere, CONFIG, [], store_lags=False)["clean_monthly_climate"].count() == 24
 
 
+def test_the_job_reads_a_landing_zone(spark, where, tmp_path):
+    folder, places = where
+    raw = readers.read_raw_daily(spark, places.raw, CONFIG.variables)
+    documents = landing.with_city_slug(raw).select(
+        "daily", "city_slug", F.regexp_extract("file_path", r"(\d+)\.json$", 1).cast("long").alias("year")
+    )
+    zone = job.Locations(str(tmp_path / "zone"), places.dim_city, str(tmp_path / "zoned"), zoned=True)
+    plain = job.Locations(places.raw, places.dim_city, str(tmp_path / "plain"))
+    writers.land_documents(documents, zone.raw, "backfill")
+    assert job.land(spark, zone, CONFIG) == job.land(spark, plain, CONFIG) == list(range(2016, 2021))
+    rows = lambda w: sorted(map(str, spark.read.parquet(w.table("landing_daily_weather")).collect()))
+    assert rows(zone) == rows(plain)
+    found = spark.read.parquet(zone.table("quarantined_documents")).collect()
+    assert [(r.city_slug, r.file_year) for r in found] == [("oslo", 2015)]
+    assert job.land(spark, zone, CONFIG, 2018) == [2018] and job.land(spark, zone, CONFIG, 2031) == []
+    assert spark.read.parquet(zone.table("quarantined_documents")).count() == 1
+
+
 def test_cities_that_share_a_slug_fail_the_checks(spark, where, tmp_path):
     _, places = where
     cities = spark.createDataFrame([(1, "Spring Field"), (2, "spring_field"), (3, "Lima")], "city_id long, city_name string")
