@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from isotherm.sources.scratch import staged
 
 #: Text bytes that a step inside a task holds at once. One longer text is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
