@@ -87,17 +87,18 @@ def one_of_each(documents: DataFrame, width: int = 4, budget: int = 4) -> DataFr
     """The rows of `documents` whose doc_id is their component's, with all their columns.
 
     Of repeated rows with such an id one stays. Rows without an id cannot be told apart and stay.
-    Ids alone are compared and counted; texts move once, to meet the ids that stay.
+    Ids alone are compared and counted; what meets the texts is the list of ids that go or repeat,
+    which is the shorter one.
     """
-    found = near_components(documents, width, budget)
-    chosen = staged(
-        found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows")), "chosen"
+    found = near_components(documents, width, budget).where("doc_id IS NOT NULL")
+    per_id = found.groupBy("doc_id").agg(
+        F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n_rows")
     )
-    once = chosen.where(F.col("_rows") == 1).select("doc_id")
-    more = staged(chosen.where(F.col("_rows") > 1).select("doc_id"), "repeated")
+    listed = staged(per_id.where(~F.col("stays") | (F.col("n_rows") > 1)), "listed")
+    repeated = listed.where("stays").select("doc_id")
+    columns = documents.columns
     return (
-        documents.join(once, "doc_id", "left_semi")
-        .select(documents.columns)
-        .unionByName(documents.join(more, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(documents.columns))
-        .unionByName(documents.where(F.col("doc_id").isNull()))
+        documents.join(listed.select("doc_id"), "doc_id", "left_anti")
+        .select(columns)
+        .unionByName(documents.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(columns))
     )
