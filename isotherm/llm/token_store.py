@@ -18,16 +18,19 @@ All lanes of a block share one stream of words. Blocks are independent, and deco
 
 from __future__ import annotations
 
+import re
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from isotherm.llm.batches import gathered, offsets_of, pieces, sums
-from isotherm.llm.spaces import byte_level_units
+from isotherm.llm.token_counts import PATTERN
 
 SCALE_BITS = 20
 LOWEST = np.uint64(1 << 31)
@@ -38,8 +41,14 @@ CHECKPOINT_STEPS = 256
 BLOCK_TOKENS = 1 << 19
 SECTION_TOKENS = 1 << 22
 
-#: Units whose ids a worker remembers.
-UNITS_KEPT = 500_000
+#: Text bytes of a step: repeats inside a step are looked up once.
+STEP_BYTES = 4 << 20
+
+#: Pre-tokens whose ids a worker remembers.
+PRETOKENS_KEPT = 700_000
+
+#: Below this character, classes of characters are the same in every version of Unicode.
+_PLAIN_END = "\u0220"
 
 _BLOCK = pa.struct(
     [
@@ -152,14 +161,35 @@ class Table:
             out[row] = code
             state = self.freq[code] * (state >> bits) + slot - self.start[code]
             short = np.flatnonzero(state < LOWEST)
+            if position + len(short) > len(words):
+                raise ValueError("the words of a damaged block end too early")
             if len(short):
                 state[short] = (state[short] << low) | words[position : position + len(short)]
                 position += len(short)
         return self.symbols[out]
 
 
+def _class(pattern: str) -> str:
+    """The plain characters that match, as the inside of a character class."""
+    plain = map(chr, range(ord(_PLAIN_END)))
+    return "".join(f"\\u{ord(c):04x}" for c in plain if regex.fullmatch(pattern, c))
+
+
+def _plain_pattern() -> re.Pattern:
+    """`PATTERN` for texts of plain characters, in the faster of the two engines."""
+    letters, digits, spaces = _class(r"\p{L}"), _class(r"\p{N}"), _class(r"\s")
+    return re.compile(
+        f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{digits}]+| ?[^{spaces}{letters}{digits}]+"
+        f"|[{spaces}]+(?![^{spaces}])|[{spaces}]+"
+    )
+
+
 class TokenTable:
-    """Ids from the tokenizer's library, asked once for each new unit."""
+    """Ids from the tokenizer's library, asked once for each new pre-token.
+
+    No merge crosses the pre-tokens that the library makes, so it gives the same ids for a text and
+    for its pre-tokens one by one.
+    """
 
     def __init__(self, path: str):
         import os
@@ -168,35 +198,60 @@ class TokenTable:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
+        self.plain, self.pattern = _plain_pattern(), regex.compile(PATTERN)
         self._empty()
 
     def _empty(self) -> None:
         self.places: dict[str, int] = {}
         self.flat, self.offsets = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.steps = np.zeros(0, np.int32)  # how many steps have used each entry
 
-    def add(self, units: set[str]) -> None:
-        if len(self.places) > UNITS_KEPT:
+    def _thin_out(self) -> None:
+        """Keep what came back in a later step, at most half a table; most words never do."""
+        kept = np.flatnonzero(self.steps > 1)
+        if len(kept) > PRETOKENS_KEPT // 2:
             self._empty()
-        new = [u for u in units if u not in self.places]
+            return
+        names, lengths = list(self.places), np.diff(self.offsets)[kept]
+        self.flat = gathered(self.flat, self.offsets[kept], lengths)
+        self.offsets, self.steps = offsets_of(lengths), self.steps[kept]
+        self.places = {names[i]: place for place, i in enumerate(kept.tolist())}
+
+    def cut(self, text: str) -> list[str]:
+        """Pre-tokens of a text; the string of an added token is one."""
+        if not text:
+            return []
+        find = self.plain.findall if text.isascii() or max(text) < _PLAIN_END else self.pattern.findall
+        if self.added is None or not self.added.search(text):
+            return find(text)
+        out: list[str] = []
+        for i, part in enumerate(self.added.split(text)):
+            out.extend([part] if i % 2 else find(part))
+        return out
+
+    def add(self, pretokens: set[str]) -> None:
+        if len(self.places) > PRETOKENS_KEPT:
+            self._thin_out()
+        new = [t for t in pretokens if t not in self.places]
         if not new:
             return
         rows = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        lengths = np.array([len(r) for r in rows], np.int64)
-        flat: list[int] = []
-        for row in rows:
-            flat.extend(row)
+        ends = np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)))
+        flat = np.fromiter(chain.from_iterable(rows), np.uint32, int(ends[-1]))
         self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
-        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(lengths)])
-        self.flat = np.concatenate([self.flat, np.array(flat, np.uint32)])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + ends])
+        self.flat = np.concatenate([self.flat, flat])
+        self.steps = np.concatenate([self.steps, np.zeros(len(new), np.int32)])
 
     def encode(self, texts: list[str], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and the number of each."""
-        rows = [byte_level_units(t) for t in texts]
-        self.add(set().union(*rows))
-        every: list[str] = []
-        for row in rows:
-            every.extend(row)
-        places = np.array(list(map(self.places.__getitem__, every)), np.int64)
+        rows = list(map(self.cut, texts))
+        every = list(chain.from_iterable(rows))
+        self.add(set(every))
+        places = np.fromiter(map(self.places.__getitem__, every), np.int64, len(every))
+        self.steps += np.bincount(places, minlength=len(self.steps)) > 0
         lengths = np.diff(self.offsets)[places]
         body = gathered(self.flat, self.offsets[places], lengths)
         counts = sums(lengths, offsets_of(np.array([len(r) for r in rows], np.int64)))
@@ -267,7 +322,7 @@ def write_tokens(documents: DataFrame, tokenizer_path: str, folder: str, end_id:
         tokens = load(tokenizer_path)
         docs, counts, held, section, first, size = [], [], [], 0, 0, 0
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", STEP_BYTES):
                 texts = [t or "" for t in piece.column("text").to_pylist()]
                 ids, n = tokens.encode(texts, end_id)
                 docs += piece.column("doc_id").to_pylist()
