@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
+from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from isotherm.llm.batches import in_order, map_pieces
 from isotherm.sources.scratch import staged
@@ -44,9 +44,15 @@ _HINTS = frozenset(
 _COMMENTS = frozenset("comment comments reply replies".split())
 _MAIN = frozenset(("article", "main"))
 
-#: A page that shares this part of its lines with another is its copy, not its sibling.
+#: A page that shares this part of its lines with another may be a version of it, not its sibling.
 COPY_SHARE = 0.9
 
+#: The same for pages with an article, whose lines are seldom a template.
+ARTICLE_COPY_SHARE = 0.5
+
+#: Different pages of the host that a page asks on each side.
+REACH = 2
+
 #: A line is a link line if this part of its characters is inside links.
 LINK_SHARE = 0.5
 
@@ -148,16 +154,19 @@ def lines_of(page: str) -> list[tuple[str, bool, float]]:
 
 
 def parsed(page: str) -> tuple[list[str], list[bool]]:
-    """The lines that may be main text, and for each whether a sibling's equal line rules it out.
+    """The lines that may be main text, and for each whether one sibling's equal line rules it out.
 
-    A page that has an article keeps the lines inside it, of which only link lines are in doubt;
-    on other pages all lines are.
+    A page that has an article keeps the lines inside it, of which one sibling rules out only link
+    lines; on other pages all lines.
     """
-    lines = lines_of(page)
+    return _candidates(lines_of(page))[:2]
+
+
+def _candidates(lines: list[tuple[str, bool, float]]) -> tuple[list[str], list[bool], bool]:
     main = [(text, links > LINK_SHARE) for text, inside, links in lines if inside]
     if main:
-        return [t for t, _ in main], [doubt for _, doubt in main]
-    return [t for t, _, _ in lines], [True] * len(lines)
+        return [t for t, _ in main], [doubt for _, doubt in main], True
+    return [t for t, _, _ in lines], [True] * len(lines), False
 
 
 def address(url: str | None) -> tuple[str | None, str]:
@@ -243,34 +252,50 @@ def _shared_path(a: str, b: str) -> int:
     return n
 
 
-def ruled_out(own: dict, before: dict | None, after: dict | None) -> list[int]:
-    """Places of the doubtful lines that the nearest page of the host has too.
+def ruled_out(own: dict, near: list[dict]) -> list[int]:
+    """Places of the lines that belong to the template of the host, by the nearest different pages.
 
-    The neighbour with more path segments in common comes first, the earlier one on ties; a copy of
-    the page says nothing about its template, so then the other neighbour is asked.
+    The page with more path segments in common comes first, the closer and earlier one on ties. It
+    rules out the doubtful lines that it has too. If it has nearly all lines it may be a version of
+    the page, and a line goes only if another page has it as well, where there is another. The
+    lines of an article go if two of the pages have them, versions counting as one.
     """
-    near = [x for x in (before, after) if x is not None and x["host"] is not None and x["host"] == own["host"]]
-    near.sort(key=lambda x: -_shared_path(own["path"], x["path"]))
-    for page in near:
-        shared = common(own["hashes"], page["hashes"])
-        if len(shared) < COPY_SHARE * len(own["hashes"]):
-            return [i for i in shared if own["doubtful"][i]]
-    return []
+    near = sorted(near, key=lambda x: (-_shared_path(own["path"], x["path"]), abs(x["place"] - own["place"]), x["place"]))
+    n = len(own["hashes"])
+    shared = [common(own["hashes"], page["hashes"]) for page in near]
+    if not n or not near:
+        return []
+    out = {i for i in shared[0] if own["doubtful"][i]}
+    if len(near) > 1 and len(shared[0]) >= COPY_SHARE * n:
+        out &= set().union(*shared[1:])
+    if own["article"]:
+        alike = [len(x) >= ARTICLE_COPY_SHARE * n for x in shared]
+        votes = [x for x, version in zip(shared, alike) if not version]
+        votes.append(sorted(set().union(*[x for x, version in zip(shared, alike) if version])))
+        count = np.bincount([i for x in votes for i in x], minlength=n)
+        out |= set(np.flatnonzero(count > 1).tolist())
+    return sorted(out)
 
 
 def _parsed_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-    rows = [parsed(page or "") for page in batch.column("html").to_pylist()]
+    rows = [_candidates(lines_of(page or "")) for page in batch.column("html").to_pylist()]
     places = [address(url) for url in batch.column("url").to_pylist()]
-    hashes = [[xxh64_intdigest(x) - (1 << 63) for x in lines] for lines, _ in rows]
+    hashes = [np.array([xxh64_intdigest(x) for x in lines], np.uint64) for lines, _, _ in rows]
+    keys = [
+        None if host is None else xxh3_128_digest(b"\0".join((host.encode(errors="replace"), bytes([article]), x.tobytes())))
+        for (host, _), (_, _, article), x in zip(places, rows, hashes)
+    ]
     return pa.RecordBatch.from_pydict(
         {
             "page_id": batch.column("page_id"),
             "url": batch.column("url"),
             "host": pa.array([h for h, _ in places], pa.string()),
             "path": pa.array([p for _, p in places], pa.string()),
-            "lines": pa.array([x for x, _ in rows], pa.list_(pa.string())),
-            "doubtful": pa.array([x for _, x in rows], pa.list_(pa.bool_())),
-            "hashes": pa.array(hashes, pa.list_(pa.int64())),
+            "lines": pa.array([x for x, _, _ in rows], pa.list_(pa.string())),
+            "doubtful": pa.array([x for _, x, _ in rows], pa.list_(pa.bool_())),
+            "article": pa.array([x for _, _, x in rows], pa.bool_()),
+            "hashes": pa.array([x.view(np.int64) for x in hashes], pa.list_(pa.int64())),
+            "sequence": pa.array(keys, pa.binary()),
         }
     )
 
@@ -282,54 +307,63 @@ def main_text(pages: DataFrame) -> DataFrame:
     Repeated rows give repeated results; very long pages are whole; other columns are not read; an
     empty table gives an empty result.
 
-    Each page is parsed once and its lines are stored. Pages are brought into the order of host,
-    path and id by ranges, so a host with a third of all pages spans many tasks; a page meets the
-    line hashes of its neighbours by their places in that order, and only pages with doubtful lines
-    ask for them. The few rulings join back by row.
+    Each page is parsed once and its lines are stored. Pages of a host with the same lines are one
+    sequence, which stands at its smallest path; pages with and without an article are apart. The
+    sequences are brought into the order of host and path by ranges, so a host with a third of all
+    pages spans many tasks; each meets the line hashes of the `REACH` sequences on either side by
+    their places in that order. A ruling holds for all pages of its sequence.
     """
     rows = map_pieces(
         pages.select("page_id", "url", "html"),
         "html",
         _parsed_batch,
         "page_id bigint, url string, host string, path string, lines array<string>, "
-        "doubtful array<boolean>, hashes array<bigint>",
+        "doubtful array<boolean>, article boolean, hashes array<bigint>, sequence binary",
     )
-    stored = staged(rows.withColumn("row", F.monotonically_increasing_id()), "lines")
-    keys = stored.select("row", "host", "path", "page_id", F.lit(1).cast("bigint").alias("one"))
-    order = in_order(keys.where("host IS NOT NULL"), ["host", "path", "page_id", "row"], ["one"])
-    order = staged(order.select("row", F.col("one_before").alias("place")), "places")
-    own = stored.select("row", "host", "path", "hashes", "doubtful").join(order, "row")
-    near = own.select(
-        F.col("place").alias("near_place"), F.struct("host", "path", "hashes").alias("page")
+    stored = staged(rows, "lines")
+    keys = (
+        stored.where("sequence IS NOT NULL")
+        .groupBy("sequence")
+        .agg(*[F.first(c).alias(c) for c in ("host", "article", "hashes", "doubtful")], F.min("path").alias("path"))
     )
-    asking = own.where(F.exists("doubtful", lambda d: d)).select(
-        "row",
-        F.struct("host", "path", "hashes", "doubtful").alias("own"),
-        F.explode(F.array(F.col("place") - 1, F.col("place") + 1)).alias("near_place"),
-        "place",
+    keys = staged(keys, "sequences")
+    order = in_order(
+        keys.select("host", "article", "path", "sequence", F.lit(1).cast("bigint").alias("one")),
+        ["host", "article", "path", "sequence"],
+        ["one"],
     )
-    met = asking.join(near, "near_place").groupBy("row").agg(
-        F.first("own").alias("own"),
-        F.max(F.when(F.col("near_place") < F.col("place"), F.col("page"))).alias("before"),
-        F.max(F.when(F.col("near_place") > F.col("place"), F.col("page"))).alias("after"),
+    order = order.select("sequence", F.col("one_before").alias("place"))
+    page = F.struct("path", "hashes", "doubtful", "article", "place", "sequence").alias("page")
+    met = (
+        keys.join(order, "sequence")
+        .where(F.size("hashes") > 0)
+        .select("host", "article", F.explode(F.array([F.col("place") + d for d in range(-REACH, REACH + 1)])).alias("at"), page)
+        .groupBy("host", "article", "at")
+        .agg(F.collect_list("page").alias("met"))  # a page and its neighbours: 2 * REACH + 1 at most
+        .where(F.exists("met", lambda x: x["place"] == F.col("at")))
+        .select("at", "met")
     )
 
     def rule(batches):
         for batch in batches:
-            places = [ruled_out(r["own"], r["before"], r["after"]) for r in batch.to_pylist()]
+            sequences, places = [], []
+            for row in batch.to_pylist():
+                own = next(x for x in row["met"] if x["place"] == row["at"])
+                sequences.append(own["sequence"])
+                places.append(ruled_out(own, [x for x in row["met"] if x is not own]))
             yield pa.RecordBatch.from_pydict(
-                {"row": batch.column("row"), "shared": pa.array(places, pa.list_(pa.int32()))}
+                {"sequence": pa.array(sequences, pa.binary()), "shared": pa.array(places, pa.list_(pa.int32()))}
             )
 
     rulings = staged(
-        met.mapInArrow(rule, "row bigint, shared array<int>").where(F.size("shared") > 0), "rulings"
+        met.mapInArrow(rule, "sequence binary, shared array<int>").where(F.size("shared") > 0), "rulings"
     )
     kept = F.filter(
         "lines", lambda x, i: F.col("shared").isNull() | ~F.array_contains(F.col("shared"), i)
     )
     text = F.concat_ws("\n", kept)
     return (
-        stored.join(rulings, "row", "left")
+        stored.join(rulings, "sequence", "left")
         .select("page_id", "url", text.alias("text"))
         .withColumn("n_chars", F.length("text").cast("bigint"))
     )

@@ -94,3 +94,21 @@ def test_very_long_pages():
     assert len(lines) == 30_000 and all(doubtful)
     a = [hash(x) for x in lines]
     assert pages.common(a[:5000], a[1:5000]) != []
+
+
+def texts_of(spark, rows: list[tuple]) -> dict:
+    return {r["page_id"]: r["text"] for r in pages.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+
+
+def test_planted_lines_go_inside_articles(spark):
+    def article(*lines):
+        return "<article>" + "".join(f"<p class=zz>{x}</p>" for x in lines) + "</article>"
+
+    own = {i: [f"Own {i} line {k}." for k in range(3)] for i in range(8)}
+    rows = [(i, f"http://h.example/a/{i}", article("Buy our tea.", *own[i])) for i in range(8)]
+    rows.append((20, "http://v.example/a/9", article("Buy our tea.", "alone")))
+    rows += [(30 + i, f"http://w.example/a/{i}", article(*own[0], f"Version {i}.")) for i in range(5)]
+    found = texts_of(spark, rows)
+    assert {i: found[i] for i in range(8)} == {i: "\n".join(own[i]) for i in range(8)}
+    assert found[20] == "Buy our tea.\nalone"
+    assert all(found[30 + i] == "\n".join([*own[0], f"Version {i}."]) for i in range(5))  # versions of one article stay
