@@ -112,3 +112,19 @@ def test_planted_lines_go_inside_articles(spark):
     assert {i: found[i] for i in range(8)} == {i: "\n".join(own[i]) for i in range(8)}
     assert found[20] == "Buy our tea.\nalone"
     assert all(found[30 + i] == "\n".join([*own[0], f"Version {i}."]) for i in range(5))  # versions of one article stay
+
+
+def test_short_pages_and_runs_of_copies_lose_their_template(spark):
+    def plain(*lines):
+        return "".join(f"<div>{x}</div>" for x in lines)
+
+    menu = [f"Menu {k}" for k in range(10)]
+    rows = [(i, f"http://h.example/a/{i}", plain(*menu, f"Own {i}.")) for i in range(4)]
+    rows += [(10 + i, f"http://c.example/a/{i}", plain(*menu, "One.", "Two.", "Three.")) for i in range(5)]
+    rows.append((15, "http://c.example/a/9", plain(*menu, "Four.", "Five.", "Six.")))
+    rows += [(20 + i, f"http://n.example/a/{i}", plain("Top", *[f"Line {k}." for k in range(40)], f"Version {i}.")) for i in range(2)]
+    rows += [(22 + i, f"http://n.example/b/{i}", plain("Top", f"Else {i}.")) for i in range(2)]
+    found = texts_of(spark, rows)
+    assert {i: found[i] for i in range(4)} == {i: f"Own {i}." for i in range(4)}
+    assert all(found[10 + i] == "One.\nTwo.\nThree." for i in range(5)) and found[15] == "Four.\nFive.\nSix."
+    assert found[20] == "\n".join([*[f"Line {k}." for k in range(40)], "Version 0."]) and found[22] == "Else 0."
