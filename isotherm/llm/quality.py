@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,11 @@ class LineRules:
     window: int = 5
 
 
+def _marks(text: str) -> int:
+    """Combining marks: vowel signs and accents, which are parts of letters but not isalpha."""
+    return sum(category(c)[0] == "M" for c in text)
+
+
 def line_verdict(line: str, rules: LineRules) -> str | None:
     """The first rule that the line breaks, or None. Blank lines break none."""
     words = line.split()
@@ -57,7 +63,8 @@ def line_verdict(line: str, rules: LineRules) -> str | None:
     solid = "".join(words)
     letters = sum(map(str.isalpha, solid))
     digits = sum(map(str.isdigit, solid))
-    if letters + digits < rules.min_letter_share * len(solid):
+    least = rules.min_letter_share * len(solid)
+    if letters + digits < least and letters + digits + _marks(solid) < least:
         return "symbols"
     if sum(map(line.count, _SYMBOL_CHARS)) > max(2, rules.max_symbols_per_word * n):
         return "symbols"

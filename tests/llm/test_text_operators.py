@@ -67,6 +67,20 @@ def test_line_rules(line, rule):
     assert quality.line_verdict(line, quality.LineRules()) == rule
 
 
+@pytest.mark.parametrize(
+    "line",
+    [
+        "தமிழ்நாட்டில் பெய்த கனமழையால் பல்வேறு மாவட்டங்களில் பள்ளிகளுக்கும் கல்லூரிகளுக்கும் விடுமுறை அறிவிக்கப்பட்டுள்ளது.",
+        "विद्यार्थियों ने हिन्दी में लिखी हुई कविताएँ पढ़ीं और शिक्षिका ने उन्हें प्रोत्साहित किया।",
+    ],
+)
+def test_vowel_signs_are_parts_of_letters(line):
+    rules = quality.LineRules()
+    assert sum(map(str.isalpha, line)) < rules.min_letter_share * len("".join(line.split()))
+    assert quality.line_verdict(line, rules) is None
+    assert quality.line_verdict(line + " = + ~ ^ _" * 16, rules) == "symbols"
+
+
 def test_lost_lines_leave_the_text_and_too_many_reject_it(spark):
     good = prose(5, 48)
     bars = "Home | News | Sport | Wine\nMore | Less | Next | Last\nUp | Down | Out | In"
