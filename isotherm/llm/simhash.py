@@ -84,21 +84,16 @@ def near_components(documents: DataFrame, width: int = 4, budget: int = 4) -> Da
 
 
 def one_of_each(documents: DataFrame, width: int = 4, budget: int = 4) -> DataFrame:
-    """The rows of `documents` whose doc_id is their component's, with all their columns.
+    """The row of each component with the smallest doc_id, the first one of equal ids, with all columns.
 
-    Of repeated rows with such an id one stays. Rows without an id cannot be told apart and stay.
-    Ids alone are compared and counted; what meets the texts is the list of ids that go or repeat,
-    which is the shorter one.
+    Rows are numbered and stored first, so a repeated id with different texts is judged row by row.
+    Rows without an id cannot be told apart and stay; they are no component's row. Ids and numbers
+    alone are compared; what meets the texts is the list of numbers that go, which is the shorter one.
     """
-    found = near_components(documents, width, budget).where("doc_id IS NOT NULL")
-    per_id = found.groupBy("doc_id").agg(
-        F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n_rows")
-    )
-    listed = staged(per_id.where(~F.col("stays") | (F.col("n_rows") > 1)), "listed")
-    repeated = listed.where("stays").select("doc_id")
-    columns = documents.columns
-    return (
-        documents.join(listed.select("doc_id"), "doc_id", "left_anti")
-        .select(columns)
-        .unionByName(documents.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(columns))
-    )
+    numbered = staged(documents.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = near_components(numbered.select(F.col("_row").alias("doc_id"), "text"), width, budget)
+    found = found.select(F.col("doc_id").alias("_row"), "component_id").join(numbered.select("_row", "doc_id"), "_row")
+    found = staged(found.where("doc_id IS NOT NULL"), "found")
+    stays = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row")).alias("first"))
+    goes = staged(found.select("_row").join(stays.select("first._row"), "_row", "left_anti"), "goes")
+    return numbered.join(goes, "_row", "left_anti").select(documents.columns)

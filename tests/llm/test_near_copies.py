@@ -98,3 +98,10 @@ def test_hard_rows_and_empty_tables(spark):
     assert sorted(i for i in ids if i is not None) == [1, 4, 5, 6, 7, 9] and ids.count(None) == 2
     assert simhash.near_components(empty_frame(spark)).count() == 0
     assert simhash.one_of_each(empty_frame(spark)).count() == 0
+
+
+def test_a_repeated_id_with_different_texts_keeps_each(spark):
+    a, b, c = prose(11, 80), prose(12, 80), prose(13, 80)
+    rows = [(1, a), (5, a), (5, b), (5, c), (7, c), (5, b)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted([(1, a), (5, b), (5, c)])
