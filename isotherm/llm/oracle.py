@@ -1,3 +1,22 @@
 """DuckDB SQL for the queries that SQL can express on whole tables."""
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op13_warc_dictionary": """
+        WITH payloads AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), grouped AS (
+            SELECT *,
+                max(page_id) OVER same AS holder,
+                row_number() OVER (
+                    PARTITION BY payload_digest, payload_bytes ORDER BY page_id DESC NULLS LAST
+                ) AS place
+            FROM payloads
+            WINDOW same AS (PARTITION BY payload_digest, payload_bytes)
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN payload_bytes >= 1000 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN payload_bytes >= 1000 AND place > 1 THEN holder END AS refers_to
+        FROM grouped
+    """,
+}

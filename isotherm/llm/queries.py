@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from isotherm.llm import language, mixing, pages, piece_codec, quality, simhash, site_quality, token_counts, token_store, vptree
+from isotherm.llm import language, mixing, pages, piece_codec, quality, simhash, site_quality, token_counts, token_store, vptree, warc
 from isotherm.llm.batches import table
 from isotherm.sources.scratch import new_folder
 
@@ -65,6 +65,12 @@ def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "archive")
+    warc.write_archive(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archive(spark, folder).drop("url")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_piece_codec": op2_piece_codec,
@@ -76,4 +82,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_crf": op8_language_crf,
     "op9_token_store": op9_token_store,
     "op10_site_quality": op10_site_quality,
+    "op13_warc_dictionary": op13_warc_dictionary,
 }
