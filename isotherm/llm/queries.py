@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from isotherm.llm import language, mixing, pages, piece_codec, quality, simhash, site_quality, token_counts, token_store, vptree, warc
+from isotherm.llm import conversations, gnat, language, mixing, pages, piece_codec, quality, simhash, site_quality, token_counts, token_store, vptree, warc
 from isotherm.llm.batches import table
 from isotherm.sources.scratch import new_folder
 
@@ -65,6 +65,14 @@ def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audit_conversations(table(spark, sf_dir, "conversations"), planted=True)
+
+
+def op12_hyperplane_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gnat.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op13_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "archive")
     warc.write_archive(table(spark, sf_dir, "pages"), folder)
@@ -82,5 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_crf": op8_language_crf,
     "op9_token_store": op9_token_store,
     "op10_site_quality": op10_site_quality,
+    "op11_four_russians": op11_four_russians,
+    "op12_hyperplane_tree": op12_hyperplane_tree,
     "op13_warc_dictionary": op13_warc_dictionary,
 }
