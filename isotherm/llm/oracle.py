@@ -5,10 +5,10 @@ ORACLE: dict[str, str] = {
         WITH sound AS (
             SELECT vec_id,
                 CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-                list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS point
+                [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS point
             FROM embeddings
             WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
-                AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+                AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
         ), scored AS (
             SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id,
                 CAST(list_dot_product(a.point, b.point) AS BIGINT) AS score
