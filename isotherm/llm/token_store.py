@@ -6,6 +6,7 @@ The format, one Parquet row a section, rows of a part in ascending document orde
     first_token            tokens of the part before this section
     doc_ids, n_tokens      the documents of the section, whole, and their token counts
     symbols, counts        the table that the section's blocks share
+    longest                steps of the longest block
     blocks                 independent blocks, each with
       n_docs                 its documents, in order
       lanes, steps           its tokens, filled up by repeats of the last, as a matrix
@@ -13,7 +14,9 @@ The format, one Parquet row a section, rows of a part in ascending document orde
       checkpoints            for every CHECKPOINT_STEPS steps: word position, states of the lanes
       crc32                  of its ids as little-endian unsigned 32-bit integers
 
-All lanes of a block share one stream of words. Blocks are independent, and decoding can start at any checkpoint.
+All lanes of a block share one stream of words. Blocks are independent, and decoding can start at any
+checkpoint; a block longer than `WHOLE_STEPS`, which a very long document makes, is decoded in ranges of
+checkpoints by several tasks.
 """
 
 from __future__ import annotations
@@ -30,7 +33,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from isotherm.llm.batches import gathered, offsets_of, pieces, sums
+from isotherm.llm.spaces import byte_level_units
 from isotherm.llm.token_counts import PATTERN
+from isotherm.sources.scratch import briefly_staged, staged
 
 SCALE_BITS = 20
 LOWEST = np.uint64(1 << 31)
@@ -41,11 +46,15 @@ CHECKPOINT_STEPS = 256
 BLOCK_TOKENS = 1 << 19
 SECTION_TOKENS = 1 << 22
 
+#: Steps of a block that one task decodes; longer blocks are cut into ranges of so many.
+WHOLE_STEPS = 8 * CHECKPOINT_STEPS
+
 #: Text bytes of a step: repeats inside a step are looked up once.
 STEP_BYTES = 4 << 20
 
-#: Pre-tokens whose ids a worker remembers.
-PRETOKENS_KEPT = 700_000
+#: Units between spaces, and pre-tokens, whose ids a worker remembers.
+UNITS_KEPT = 500_000
+PRETOKENS_KEPT = 400_000
 
 #: Below this character, classes of characters are the same in every version of Unicode.
 _PLAIN_END = "\u0220"
@@ -69,12 +78,13 @@ _ARROW = pa.schema(
         ("n_tokens", pa.list_(pa.int64())),
         ("symbols", pa.binary()),
         ("counts", pa.binary()),
+        ("longest", pa.int32()),
         ("blocks", pa.list_(_BLOCK)),
     ]
 )
 SCHEMA = (
     "part int, section int, first_token bigint, doc_ids array<bigint>, n_tokens array<bigint>, "
-    "symbols binary, counts binary, blocks array<struct<n_docs int, lanes int, steps int, "
+    "symbols binary, counts binary, longest int, blocks array<struct<n_docs int, lanes int, steps int, "
     "words binary, checkpoints binary, crc32 bigint>>"
 )
 
@@ -184,23 +194,11 @@ def _plain_pattern() -> re.Pattern:
     )
 
 
-class TokenTable:
-    """Ids from the tokenizer's library, asked once for each new pre-token.
-
-    No merge crosses the pre-tokens that the library makes, so it gives the same ids for a text and
-    for its pre-tokens one by one.
-    """
-
-    def __init__(self, path: str):
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+class IdRows:
+    """Ids of strings in one flat array; keeps what comes back in later steps when it is full."""
 
-        self.tokenizer = Tokenizer.from_file(path)
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
-        self.plain, self.pattern = _plain_pattern(), regex.compile(PATTERN)
+    def __init__(self, limit: int):
+        self.limit = limit
         self._empty()
 
     def _empty(self) -> None:
@@ -208,10 +206,12 @@ class TokenTable:
         self.flat, self.offsets = np.zeros(0, np.uint32), np.zeros(1, np.int64)
         self.steps = np.zeros(0, np.int32)  # how many steps have used each entry
 
-    def _thin_out(self) -> None:
-        """Keep what came back in a later step, at most half a table; most words never do."""
+    def thin_out(self) -> None:
+        """When full, keep what came back in a later step, at most half a table; most words never do."""
+        if len(self.places) <= self.limit:
+            return
         kept = np.flatnonzero(self.steps > 1)
-        if len(kept) > PRETOKENS_KEPT // 2:
+        if len(kept) > self.limit // 2:
             self._empty()
             return
         names, lengths = list(self.places), np.diff(self.offsets)[kept]
@@ -219,6 +219,45 @@ class TokenTable:
         self.offsets, self.steps = offsets_of(lengths), self.steps[kept]
         self.places = {names[i]: place for place, i in enumerate(kept.tolist())}
 
+    def unseen(self, strings: set[str]) -> list[str]:
+        return [x for x in strings if x not in self.places]
+
+    def add(self, new: list[str], flat: np.ndarray, counts: np.ndarray) -> None:
+        self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(counts)])
+        self.flat = np.concatenate([self.flat, flat])
+        self.steps = np.concatenate([self.steps, np.zeros(len(new), np.int32)])
+
+    def of(self, rows: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows of known strings, one after another, and the number of each row."""
+        every = list(chain.from_iterable(rows))
+        places = np.fromiter(map(self.places.__getitem__, every), np.int64, len(every))
+        self.steps += np.bincount(places, minlength=len(self.steps)) > 0
+        lengths = np.diff(self.offsets)[places]
+        counts = sums(lengths, offsets_of(np.array([len(r) for r in rows], np.int64)))
+        return gathered(self.flat, self.offsets[places], lengths), counts
+
+
+class TokenTable:
+    """Ids from the tokenizer's library, asked once for each new pre-token.
+
+    Texts are cut at spaces first, which is cheap; only a new unit between spaces is cut into
+    pre-tokens. No merge crosses the pre-tokens that the library makes, so it gives the same ids for a
+    text and for its pre-tokens one by one.
+    """
+
+    def __init__(self, path: str):
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
+        self.plain, self.pattern = _plain_pattern(), regex.compile(PATTERN)
+        self.units, self.pretokens = IdRows(UNITS_KEPT), IdRows(PRETOKENS_KEPT)
+
     def cut(self, text: str) -> list[str]:
         """Pre-tokens of a text; the string of an added token is one."""
         if not text:
@@ -231,30 +270,25 @@ class TokenTable:
             out.extend([part] if i % 2 else find(part))
         return out
 
-    def add(self, pretokens: set[str]) -> None:
-        if len(self.places) > PRETOKENS_KEPT:
-            self._thin_out()
-        new = [t for t in pretokens if t not in self.places]
+    def add(self, units: set[str]) -> None:
+        new = self.units.unseen(units)
         if not new:
             return
-        rows = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        ends = np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)))
-        flat = np.fromiter(chain.from_iterable(rows), np.uint32, int(ends[-1]))
-        self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
-        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + ends])
-        self.flat = np.concatenate([self.flat, flat])
-        self.steps = np.concatenate([self.steps, np.zeros(len(new), np.int32)])
+        rows = list(map(self.cut, new))
+        unseen = self.pretokens.unseen(set(chain.from_iterable(rows)))
+        if unseen:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False)]
+            counts = np.fromiter(map(len, found), np.int64, len(found))
+            self.pretokens.add(unseen, np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts)
+        self.units.add(new, *self.pretokens.of(rows))
 
     def encode(self, texts: list[str], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and the number of each."""
-        rows = list(map(self.cut, texts))
-        every = list(chain.from_iterable(rows))
-        self.add(set(every))
-        places = np.fromiter(map(self.places.__getitem__, every), np.int64, len(every))
-        self.steps += np.bincount(places, minlength=len(self.steps)) > 0
-        lengths = np.diff(self.offsets)[places]
-        body = gathered(self.flat, self.offsets[places], lengths)
-        counts = sums(lengths, offsets_of(np.array([len(r) for r in rows], np.int64)))
+        self.units.thin_out()
+        self.pretokens.thin_out()
+        rows = list(map(byte_level_units, texts))
+        self.add(set(chain.from_iterable(rows)))
+        body, counts = self.units.of(rows)
         if end_id is None:
             return body, counts
         ends = np.cumsum(counts + 1)
@@ -300,18 +334,48 @@ def _section(part: int, section: int, first: int, docs: list, counts: list, ids:
         "n_tokens": counts,
         "symbols": table.symbols.astype("<u4").tobytes() if table else b"",
         "counts": table.frequencies.astype("<u4").tobytes() if table else b"",
+        "longest": max((b["steps"] for b in blocks), default=0),
         "blocks": blocks,
     }
     return pa.RecordBatch.from_pylist([row], schema=_ARROW)
 
 
+def encoded(documents: DataFrame, tokenizer_path: str, end_id: int | None = None) -> DataFrame:
+    """doc_id, n_tokens and `ids`, little-endian unsigned 16- or 32-bit as `wide` says, of each row. Nothing is shuffled."""
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, counts = load(tokenizer_path).encode([t or "" for t in batch.column("text").to_pylist()], end_id)
+        wide = bool(len(ids)) and int(ids.max()) >= 1 << 16
+        raw = ids.astype("<u4" if wide else "<u2").tobytes()
+        bounds = offsets_of(counts) * (4 if wide else 2)
+        return pa.RecordBatch.from_pydict(
+            {
+                "doc_id": batch.column("doc_id"),
+                "n_tokens": pa.array(counts, pa.int64()),
+                "wide": pa.array(np.full(len(counts), wide)),
+                "ids": pa.Array.from_buffers(
+                    pa.large_binary(), len(counts), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(raw)]
+                ).cast(pa.binary()),
+            }
+        )
+
+    def run(batches):
+        for batch in batches:
+            for piece in pieces(batch, "text", STEP_BYTES):
+                yield step(piece)
+
+    fields = "doc_id bigint, n_tokens bigint, wide boolean, ids binary"
+    return documents.select("doc_id", "text").mapInArrow(run, fields)
+
+
 def write_tokens(documents: DataFrame, tokenizer_path: str, folder: str, end_id: int | None = None) -> None:
     """Encode every text and write the block files of `folder` in ascending order of doc_id.
 
     Ids are those of the tokenizers library without special tokens added, then `end_id` if given.
-    Null or empty text has the end id alone (or no ids). Null ids come first, equal ids keep their
-    rows side by side. Ranges of doc_id decide the parts, so no source or hot text weighs on one
-    task; a task holds one section of ids at a time, or one longer document.
+    Null or empty text has the end id alone (or no ids). Null ids come first; rows with equal ids stand
+    side by side in some order. Texts are encoded where they are read, and only their ids are dealt by
+    ranges of doc_id and row, so neither a source nor a hot text nor an id with a third of all rows
+    weighs on one task; a task holds one section of ids at a time, or one longer document.
     """
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -319,16 +383,14 @@ def write_tokens(documents: DataFrame, tokenizer_path: str, folder: str, end_id:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        tokens = load(tokenizer_path)
         docs, counts, held, section, first, size = [], [], [], 0, 0, 0
         for batch in batches:
-            for piece in pieces(batch, "text", STEP_BYTES):
-                texts = [t or "" for t in piece.column("text").to_pylist()]
-                ids, n = tokens.encode(texts, end_id)
-                docs += piece.column("doc_id").to_pylist()
-                counts += n.tolist()
-                held.append(ids)
-                size += len(ids)
+            wide = batch.column("wide").to_pylist()
+            for doc_id, n, long, raw in zip(batch.column("doc_id").to_pylist(), batch.column("n_tokens").to_pylist(), wide, batch.column("ids")):
+                docs.append(doc_id)
+                counts.append(n)
+                held.append(np.frombuffer(raw.as_buffer(), "<u4" if long else "<u2").astype(np.uint32))
+                size += n
                 if size >= SECTION_TOKENS:
                     yield _section(part, section, first, docs, counts, np.concatenate(held))
                     section, first = section + 1, first + size
@@ -336,20 +398,26 @@ def write_tokens(documents: DataFrame, tokenizer_path: str, folder: str, end_id:
         if docs:
             yield _section(part, section, first, docs, counts, np.concatenate(held))
 
-    (
-        documents.select("doc_id", "text")
-        .repartitionByRange(parts, F.col("doc_id").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-        .mapInArrow(run, SCHEMA)
-        .write.parquet(folder)
-    )
+    rows = encoded(documents, tokenizer_path, end_id).withColumn("row", F.monotonically_increasing_id())
+    keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("row")]
+    # stored, so that the sampling of the ranges reads ids and not texts
+    with briefly_staged(rows, "ids") as stored:
+        stored.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop("row").mapInArrow(run, SCHEMA).write.parquet(folder)
+
+
+def _table(row: dict) -> Table:
+    return Table(np.frombuffer(row["symbols"], "<u4"), np.frombuffer(row["counts"], "<u4").astype(np.int64))
+
+
+def _damaged(row: dict) -> ValueError:
+    return ValueError(f"a block of section {row['section']} in part {row['part']} is damaged")
 
 
 def decoded(row: dict) -> np.ndarray:
     """All ids of a section; every block's checksum must hold."""
     if not row["blocks"]:
         return np.zeros(0, np.uint32)
-    table = Table(np.frombuffer(row["symbols"], "<u4"), np.frombuffer(row["counts"], "<u4").astype(np.int64))
+    table = _table(row)
     out, begin = [], 0
     for block in row["blocks"]:
         n = sum(row["n_tokens"][begin : begin + block["n_docs"]])
@@ -359,16 +427,166 @@ def decoded(row: dict) -> np.ndarray:
         if n:
             ids = table.decode(words, block["checkpoints"], block["lanes"], 0, block["steps"]).ravel()[:n]
         if zlib.crc32(ids.astype("<u4").tobytes()) != block["crc32"]:
-            raise ValueError(f"a block of section {row['section']} in part {row['part']} is damaged")
+            raise _damaged(row)
         out.append(ids)
     return np.concatenate(out)
 
 
+def joined_crc32(parts: list[tuple[int, int]]) -> int:
+    """The checksum of byte strings one after another from (checksum, length) of each.
+
+    A checksum moves over zero bytes by a linear map of its bits; squaring the map doubles their number.
+    """
+
+    def apply(columns: list[int], x: int) -> int:
+        out = 0
+        for column in columns:
+            if x & 1:
+                out ^= column
+            x >>= 1
+        return out
+
+    one_bit = [0xEDB88320] + [1 << k for k in range(31)]  # the polynomial of crc32, as zlib has it
+    total = parts[0][0]
+    for crc, length in parts[1:]:
+        shift, left = one_bit, 8 * length
+        while left:
+            if left & 1:
+                total = apply(shift, total)
+            shift = [apply(shift, column) for column in shift]
+            left >>= 1
+        total ^= crc
+    return total
+
+
+_RANGE = (
+    "part int, section int, block int, cut int, first int, last int, lanes int, words binary, states binary, "
+    "symbols binary, counts binary, doc_ids array<bigint>, n_tokens array<bigint>, first_token bigint, begins bigint, crc32 bigint"
+)
+
+
+def _ranges(batches):
+    """The blocks of sections, cut at checkpoints; each range with its words, its lanes' states and the documents of its block."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1).to_pylist()[0]
+            done, begin = 0, row["first_token"]
+            for number, block in enumerate(row["blocks"]):
+                docs = slice(done, done + block["n_docs"])
+                lanes, mark, words = block["lanes"], 8 + 8 * block["lanes"], block["words"]
+                at = [int(np.frombuffer(block["checkpoints"], "<i8", 1, c)[0]) for c in range(0, len(block["checkpoints"]), mark)]
+                out = []
+                for cut, first in enumerate(range(0, block["steps"], WHOLE_STEPS) if block["steps"] else [0]):
+                    last = min(block["steps"], first + WHOLE_STEPS)
+                    places = [at[s // CHECKPOINT_STEPS] if s < block["steps"] else len(words) // 4 for s in (first, last)]
+                    place = first // CHECKPOINT_STEPS * mark
+                    out.append(
+                        {
+                            "part": row["part"], "section": row["section"], "block": number, "cut": cut, "first": first, "last": last,
+                            "lanes": lanes, "words": words[4 * places[0] : 4 * places[1]] if block["steps"] else b"",
+                            "states": block["checkpoints"][place + 8 : place + mark], "symbols": row["symbols"], "counts": row["counts"],
+                            "doc_ids": row["doc_ids"][docs], "n_tokens": row["n_tokens"][docs], "first_token": begin,
+                            "begins": first * lanes, "crc32": block["crc32"],
+                        }
+                    )
+                begin += sum(row["n_tokens"][docs])
+                done += block["n_docs"]
+                for one in out:
+                    yield pa.RecordBatch.from_pylist([one], schema=_RANGE_ARROW)
+
+
+_KINDS = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
+_RANGE_ARROW = pa.schema([(n, _KINDS[k]) for n, k in (f.split() for f in _RANGE.split(", "))])
+
+
+def _pieces_of_range(with_ids: bool):
+    """Ids of a range: for each document in it its place, number and checksum, with the block's checksum at the end."""
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                ends = offsets_of(np.array(row["n_tokens"], np.int64))
+                ids = np.zeros(0, np.uint32)
+                if row["last"] > row["first"]:
+                    words = np.frombuffer(row["words"], "<u4").astype(np.uint64)
+                    saved = np.int64(0).tobytes() + row["states"]
+                    found = _table(row).decode(words, saved, row["lanes"], 0, row["last"] - row["first"]).ravel()
+                    ids = found[: max(0, int(ends[-1]) - row["begins"])]
+                low = np.clip(ends[:-1] - row["begins"], 0, len(ids))
+                high = np.clip(ends[1:] - row["begins"], 0, len(ids))
+                here = np.flatnonzero((high > low) | ((ends[1:] == ends[:-1]) & (row["cut"] == 0)))
+                raw = ids.astype("<u4")
+                out = {
+                    "part": pa.array(np.full(len(here), row["part"], np.int32)),
+                    "section": pa.array(np.full(len(here), row["section"], np.int32)),
+                    "block": pa.array(np.full(len(here), row["block"], np.int32)),
+                    "place": pa.array(here.astype(np.int32)),
+                    "cut": pa.array(np.full(len(here), row["cut"], np.int32)),
+                    "doc_id": pa.array([row["doc_ids"][d] for d in here], pa.int64()),
+                    "inside": pa.array(row["first_token"] + ends[:-1][here]),
+                    "n": pa.array((high - low)[here]),
+                    "crc": pa.array([zlib.crc32(raw[low[d] : high[d]].tobytes()) for d in here], pa.int64()),
+                    "cut_n": pa.array(np.full(len(here), len(ids), np.int64)),
+                    "cut_crc": pa.array(np.full(len(here), zlib.crc32(raw.tobytes()), np.int64)),
+                    "block_crc": pa.array(np.full(len(here), row["crc32"], np.int64)),
+                }
+                if with_ids:
+                    out["ids"] = pa.array([raw[low[d] : high[d]].astype(np.int32) for d in here], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_pydict(out)
+
+    return run
+
+
+def _long_documents(stored: DataFrame, with_ids: bool) -> DataFrame:
+    """Documents of the sections with a long block, decoded from checkpoints by several tasks.
+
+    Each task returns counts and checksums; a document's and a block's checksum follow from those of
+    their ranges in order, so no task sees all ids of a long document unless the ids are asked for.
+    """
+    long = stored.where(F.col("longest") > WHOLE_STEPS).mapInArrow(_ranges, _RANGE)
+    spread = long.repartition("part", "section", "block", "cut")
+    fields = "part int, section int, block int, place int, cut int, doc_id bigint, inside bigint, n bigint, crc bigint, "
+    fields += "cut_n bigint, cut_crc bigint, block_crc bigint"
+    fields += ", ids array<int>" if with_ids else ""
+    found = staged(spread.mapInArrow(_pieces_of_range(with_ids), fields), "ranges")
+
+    def check(table: pa.Table) -> pa.Table:
+        rows = table.sort_by([("cut", "ascending"), ("place", "ascending")]).to_pylist()
+        cuts = {r["cut"]: (r["cut_crc"], 4 * r["cut_n"]) for r in rows}
+        if joined_crc32(list(cuts.values())) != rows[0]["block_crc"]:
+            raise _damaged(rows[0])
+        docs: dict[int, list[dict]] = {}
+        for r in rows:
+            docs.setdefault(r["place"], []).append(r)
+        out = [
+            {
+                "part": r[0]["part"], "section": r[0]["section"], "block": r[0]["block"], "place": place, "doc_id": r[0]["doc_id"],
+                "inside": r[0]["inside"], "n_tokens": sum(x["n"] for x in r),
+                "ids_crc32": joined_crc32([(x["crc"], 4 * x["n"]) for x in r]),
+            }
+            for place, r in docs.items()
+        ]
+        names = ("part", "section", "block", "place")
+        kinds = [(n, pa.int32()) for n in names] + [(n, pa.int64()) for n in ("doc_id", "inside", "n_tokens", "ids_crc32")]
+        return pa.Table.from_pylist(out, schema=pa.schema(kinds))
+
+    keys = ["part", "section", "block"]
+    schema = "part int, section int, block int, place int, doc_id bigint, inside bigint, n_tokens bigint, ids_crc32 bigint"
+    whole = found.drop("ids").groupBy(*keys).applyInArrow(check, schema)
+    if with_ids:
+        parts = found.groupBy(*keys, "place").agg(F.array_sort(F.collect_list(F.struct("cut", "ids"))).alias("cuts"))
+        ids = parts.select(*keys, "place", F.flatten(F.transform("cuts", lambda c: c["ids"])).alias("ids"))
+        whole = whole.join(ids, [*keys, "place"])
+    return whole.drop("section", "block", "place")
+
+
 def read_tokens(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
     """One row per document from the files: doc_id, start, n_tokens, ids_crc32 and (by choice) ids.
 
     `start` counts the ids of all documents before it in ascending order of doc_id. Sections are
-    decoded where they are read; only one total a part is added up beyond that.
+    decoded where they are read, those with a long block in ranges of checkpoints by several tasks; only
+    one total a part is added up beyond that. A damaged block raises.
     """
     stored = spark.read.schema(SCHEMA).parquet(folder)
     totals = stored.groupBy("part").agg(
@@ -402,7 +620,8 @@ def read_tokens(spark: SparkSession, folder: str, with_ids: bool = True) -> Data
                     )
                 yield pa.RecordBatch.from_pydict(out)
 
-    rows = stored.mapInArrow(run, schema).join(offsets, "part")
+    short = stored.where(F.col("longest") <= WHOLE_STEPS).mapInArrow(run, schema)
+    rows = short.unionByName(_long_documents(stored, with_ids)).join(offsets, "part")
     return rows.select(
         "doc_id",
         (F.col("offset") + F.col("inside")).alias("start"),

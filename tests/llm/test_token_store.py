@@ -79,6 +79,43 @@ def test_hard_rows_and_empty_tables(spark):
         assert len(read) == frame.count() and all(r["n_tokens"] == 0 for r in read)
 
 
+def test_rows_without_id_spread_over_parts(spark):
+    frame = spark.range(100_000).selectExpr("cast(null as bigint) as doc_id", "concat('text ', id % 5000) as text")
+    folder = new_folder(spark, "tokens")
+    token_store.write_tokens(frame, PATH, folder, end_id=2)
+    parts = spark.read.schema(token_store.SCHEMA).parquet(folder).select("part", "doc_ids").collect()
+    assert len({r["part"] for r in parts}) == 8 and max(len(r["doc_ids"]) for r in parts) < 30_000
+    read = token_store.read_tokens(spark, folder, with_ids=False)
+    ends = sorted((r["start"], r["n_tokens"]) for r in read.collect())
+    assert len(ends) == 100_000 and ends[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(ends, ends[1:]))
+
+
+def test_checksums_join():
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        parts = [rng.bytes(int(rng.integers(0, 300))) for _ in range(int(rng.integers(1, 6)))]
+        assert token_store.joined_crc32([(zlib.crc32(p), len(p)) for p in parts]) == zlib.crc32(b"".join(parts))
+
+
+def test_a_long_document_is_decoded_in_ranges(spark):
+    rng = np.random.default_rng(8)
+    words = np.array(["river", "stone", "über", "x", "12", "walk", "the"])
+    texts = ["first", " ".join(words[rng.integers(0, 7, 2_600_000)]), "", "last one"]
+    folder = new_folder(spark, "tokens")
+    token_store.write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1), PATH, folder, end_id=2)
+    stored = spark.read.schema(token_store.SCHEMA).parquet(folder)
+    longest = stored.where(stored["longest"] > token_store.WHOLE_STEPS)
+    assert longest.count() == 1 and longest.mapInArrow(token_store._ranges, token_store._RANGE).count() > 1
+    library, start = Tokenizer.from_file(PATH), 0
+    found = {r["doc_id"]: r for r in token_store.read_tokens(spark, folder).collect()}
+    for i, text in enumerate(texts):
+        ids = np.array(library.encode(text, add_special_tokens=False).ids + [2], "<u4")
+        r = found[i]
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        assert (np.array(r["ids"], "<u4") == ids).all()
+        start += len(ids)
+
+
 def test_damage_is_found(spark, sf_small):
     folder = new_folder(spark, "tokens")
     token_store.write_tokens(spark.read.parquet(f"{sf_small}/documents.parquet").limit(20), PATH, folder)
