@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from typing import NamedTuple
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -43,6 +44,8 @@ _HINTS = frozenset(
 )
 _COMMENTS = frozenset("comment comments reply replies".split())
 _MAIN = frozenset(("article", "main"))
+# what the start of another block ends
+_IMPLIED = {"p": _BLOCKS, "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd"))}
 
 #: A page that shares this part of its lines with another may be a version of it, not its sibling.
 COPY_SHARE = 0.9
@@ -56,6 +59,9 @@ REACH = 2
 #: A line is a link line if this part of its characters is inside links.
 LINK_SHARE = 0.5
 
+#: An element with a name of its own (class, id, role) is the article's body, not furniture, from this share of its text on.
+BODY_SHARE = 0.5
+
 #: Bits of the stored rows of one alignment; larger ones are halved first.
 ALIGN_BITS = 1 << 28
 
@@ -81,23 +87,41 @@ def _is_dropped(name: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, bool, float]]:
-    """The blocks of a page outside dropped elements: text, whether inside article or main, link share.
+class Line(NamedTuple):
+    """A block of a page: text, whether in article or main, share of link text, whether it may be furniture there, whether an h1."""
+
+    text: str
+    inside: bool
+    links: float
+    named: bool
+    title: bool
+
+
+def lines_of(page: str) -> list[Line]:
+    """The blocks of a page outside dropped elements.
 
     White space inside a block is one space, also for a line break; empty blocks are left out. A
-    dropped element that is never closed ends where the article begins or its container ends.
+    dropped element that is never closed ends where the article begins or its container ends. `named`
+    marks the lines of an article inside an element with a class, id or role that holds less than
+    `BODY_SHARE` of the article's text; headings and paragraphs without such an element are the article's.
     """
-    out: list[tuple[str, bool, float]] = []
+    out: list[tuple[str, bool, float, tuple[int, ...], bool]] = []
     text: list[str] = []
     inside = linked = links = 0
     dropping, depth = "", 0
+    open_blocks: list[tuple[str, int]] = []  # name, and a number for those with a name of their own
+    sizes = [0]
 
     def close() -> None:
         nonlocal linked
         if text:
             joined = " ".join(html.unescape("".join(text)).split())
             if joined:
-                out.append((joined, inside > 0, min(1.0, linked / len(joined))))
+                within = tuple(number for _, number in open_blocks if number)
+                for number in within:
+                    sizes[number] += len(joined)
+                title = any(name == "h1" for name, _ in open_blocks)
+                out.append((joined, inside > 0, min(1.0, linked / len(joined)), within, title))
             text.clear()
         linked = 0
 
@@ -129,8 +153,13 @@ def lines_of(page: str) -> list[tuple[str, bool, float]]:
         if closing:
             if name in _BLOCKS:
                 close()
+                if any(name == opened for opened, _ in open_blocks):
+                    while open_blocks.pop()[0] != name:
+                        pass
             if name in _MAIN:
                 inside = max(0, inside - 1)
+                if not inside:
+                    open_blocks.clear()
             elif name == "a":
                 links = max(0, links - 1)
             elif name in _SPACED:
@@ -147,10 +176,21 @@ def lines_of(page: str) -> list[tuple[str, bool, float]]:
             inside += 1
         elif name == "a":
             links += 1
+        if inside and name in _BLOCKS and name not in _VOID and name not in _MAIN and not dropping:
+            while open_blocks and name in _IMPLIED.get(open_blocks[-1][0], ()):
+                open_blocks.pop()
+            own = any(key.lower() in ("class", "id", "role") for key, *_ in _ATTRIBUTE.findall(token[4]))
+            if own:
+                sizes.append(0)
+            open_blocks.append((name, len(sizes) - 1 if own else 0))
     if not dropping and at < len(page):
         text.append(page[at:])
     close()
-    return out
+    whole = sum(len(line[0]) for line in out if line[1])
+    return [
+        Line(x, main, share, any(sizes[k] < BODY_SHARE * whole for k in within), title)
+        for x, main, share, within, title in out
+    ]
 
 
 def parsed(page: str) -> tuple[list[str], list[bool]]:
@@ -162,11 +202,14 @@ def parsed(page: str) -> tuple[list[str], list[bool]]:
     return _candidates(lines_of(page))[:2]
 
 
-def _candidates(lines: list[tuple[str, bool, float]]) -> tuple[list[str], list[bool], bool]:
-    main = [(text, links > LINK_SHARE) for text, inside, links in lines if inside]
+def _candidates(lines: list[Line]) -> tuple[list[str], list[bool], list[bool], bool]:
+    """Lines, whether one page rules them out, whether two do, and whether the page has an article."""
+    main = [line for line in lines if line.inside]
     if main:
-        return [t for t, _ in main], [doubt for _, doubt in main], True
-    return [t for t, _, _ in lines], [True] * len(lines), False
+        doubtful = [line.links > LINK_SHARE and not line.title for line in main]
+        named = [(line.named or d) and not line.title for line, d in zip(main, doubtful)]
+        return [line.text for line in main], doubtful, named, True
+    return [line.text for line in lines], [True] * len(lines), [True] * len(lines), False
 
 
 def address(url: str | None) -> tuple[str | None, str]:
@@ -257,7 +300,7 @@ def ruled_out(own: dict, near: list[dict]) -> list[int]:
 
     The page with more path segments in common comes first, the closer and earlier one on ties. It
     rules out the doubtful lines that it has too. If it has nearly all lines it may be a version of
-    the page, and a line goes only if another page has it as well, where there is another. The
+    the page, and a line goes only if another page has it as well, where there is another. Named
     lines of an article go if two of the pages have them, versions counting as one.
     """
     near = sorted(near, key=lambda x: (-_shared_path(own["path"], x["path"]), abs(x["place"] - own["place"]), x["place"]))
@@ -273,17 +316,21 @@ def ruled_out(own: dict, near: list[dict]) -> list[int]:
         votes = [x for x, version in zip(shared, alike) if not version]
         votes.append(sorted(set().union(*[x for x, version in zip(shared, alike) if version])))
         count = np.bincount([i for x in votes for i in x], minlength=n)
-        out |= set(np.flatnonzero(count > 1).tolist())
+        out |= {i for i in np.flatnonzero(count > 1).tolist() if own["named"][i]}
     return sorted(out)
 
 
 def _parsed_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     rows = [_candidates(lines_of(page or "")) for page in batch.column("html").to_pylist()]
     places = [address(url) for url in batch.column("url").to_pylist()]
-    hashes = [np.array([xxh64_intdigest(x) for x in lines], np.uint64) for lines, _, _ in rows]
+    hashes = [np.array([xxh64_intdigest(x) for x in lines], np.uint64) for lines, *_ in rows]
     keys = [
         None if host is None else xxh3_128_digest(b"\0".join((host.encode(errors="replace"), bytes([article]), x.tobytes())))
-        for (host, _), (_, _, article), x in zip(places, rows, hashes)
+        for (host, _), (*_, article), x in zip(places, rows, hashes)
+    ]
+    variants = [
+        None if key is None else xxh3_128_digest(key + bytes(doubtful) + bytes(named))
+        for key, (_, doubtful, named, _) in zip(keys, rows)
     ]
     return pa.RecordBatch.from_pydict(
         {
@@ -291,11 +338,13 @@ def _parsed_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
             "url": batch.column("url"),
             "host": pa.array([h for h, _ in places], pa.string()),
             "path": pa.array([p for _, p in places], pa.string()),
-            "lines": pa.array([x for x, _, _ in rows], pa.list_(pa.string())),
-            "doubtful": pa.array([x for _, x, _ in rows], pa.list_(pa.bool_())),
-            "article": pa.array([x for _, _, x in rows], pa.bool_()),
+            "lines": pa.array([r[0] for r in rows], pa.list_(pa.string())),
+            "doubtful": pa.array([r[1] for r in rows], pa.list_(pa.bool_())),
+            "named": pa.array([r[2] for r in rows], pa.list_(pa.bool_())),
+            "article": pa.array([r[3] for r in rows], pa.bool_()),
             "hashes": pa.array([x.view(np.int64) for x in hashes], pa.list_(pa.int64())),
             "sequence": pa.array(keys, pa.binary()),
+            "variant": pa.array(variants, pa.binary()),
         }
     )
 
@@ -311,59 +360,65 @@ def main_text(pages: DataFrame) -> DataFrame:
     sequence, which stands at its smallest path; pages with and without an article are apart. The
     sequences are brought into the order of host and path by ranges, so a host with a third of all
     pages spans many tasks; each meets the line hashes of the `REACH` sequences on either side by
-    their places in that order. A ruling holds for all pages of its sequence.
+    their places in that order. A ruling holds for all pages of its sequence with the same markup
+    of their lines (its variant).
     """
     rows = map_pieces(
         pages.select("page_id", "url", "html"),
         "html",
         _parsed_batch,
-        "page_id bigint, url string, host string, path string, lines array<string>, "
-        "doubtful array<boolean>, article boolean, hashes array<bigint>, sequence binary",
+        "page_id bigint, url string, host string, path string, lines array<string>, doubtful array<boolean>, "
+        "named array<boolean>, article boolean, hashes array<bigint>, sequence binary, variant binary",
     )
     stored = staged(rows, "lines")
-    keys = (
-        stored.where("sequence IS NOT NULL")
-        .groupBy("sequence")
-        .agg(*[F.first(c).alias(c) for c in ("host", "article", "hashes", "doubtful")], F.min("path").alias("path"))
+    known = stored.where("sequence IS NOT NULL")
+    # all rows of a sequence have the same host, article and hashes, all rows of a variant the same flags
+    keys = known.groupBy("sequence").agg(
+        *[F.first(c).alias(c) for c in ("host", "article", "hashes")], F.min("path").alias("path")
     )
     keys = staged(keys, "sequences")
+    flags = known.where(F.exists("named", lambda x: x) | F.exists("doubtful", lambda x: x))
+    variants = flags.groupBy("variant").agg(*[F.first(c).alias(c) for c in ("sequence", "doubtful", "named")])
     order = in_order(
         keys.select("host", "article", "path", "sequence", F.lit(1).cast("bigint").alias("one")),
         ["host", "article", "path", "sequence"],
         ["one"],
     )
     order = order.select("sequence", F.col("one_before").alias("place"))
-    page = F.struct("path", "hashes", "doubtful", "article", "place", "sequence").alias("page")
+    page = F.struct("path", "hashes", "article", "place", "sequence").alias("page")
     met = (
         keys.join(order, "sequence")
         .where(F.size("hashes") > 0)
         .select("host", "article", F.explode(F.array([F.col("place") + d for d in range(-REACH, REACH + 1)])).alias("at"), page)
         .groupBy("host", "article", "at")
         .agg(F.collect_list("page").alias("met"))  # a page and its neighbours: 2 * REACH + 1 at most
-        .where(F.exists("met", lambda x: x["place"] == F.col("at")))
-        .select("at", "met")
+        .withColumn("own", F.filter("met", lambda x: x["place"] == F.col("at")))
+        .where(F.size("own") == 1)
+        .select(F.col("own")[0]["sequence"].alias("sequence"), "at", "met")
+        .join(variants, "sequence")
     )
 
     def rule(batches):
         for batch in batches:
-            sequences, places = [], []
+            names, places = [], []
             for row in batch.to_pylist():
                 own = next(x for x in row["met"] if x["place"] == row["at"])
-                sequences.append(own["sequence"])
-                places.append(ruled_out(own, [x for x in row["met"] if x is not own]))
+                others = [x for x in row["met"] if x is not own]
+                names.append(row["variant"])
+                places.append(ruled_out({**own, "doubtful": row["doubtful"], "named": row["named"]}, others))
             yield pa.RecordBatch.from_pydict(
-                {"sequence": pa.array(sequences, pa.binary()), "shared": pa.array(places, pa.list_(pa.int32()))}
+                {"variant": pa.array(names, pa.binary()), "shared": pa.array(places, pa.list_(pa.int32()))}
             )
 
     rulings = staged(
-        met.mapInArrow(rule, "sequence binary, shared array<int>").where(F.size("shared") > 0), "rulings"
+        met.mapInArrow(rule, "variant binary, shared array<int>").where(F.size("shared") > 0), "rulings"
     )
     kept = F.filter(
         "lines", lambda x, i: F.col("shared").isNull() | ~F.array_contains(F.col("shared"), i)
     )
     text = F.concat_ws("\n", kept)
     return (
-        stored.join(rulings, "sequence", "left")
+        stored.join(rulings, "variant", "left")
         .select("page_id", "url", text.alias("text"))
         .withColumn("n_chars", F.length("text").cast("bigint"))
     )

@@ -82,10 +82,104 @@ def test_shared_lines_go_on_pages_without_an_article(spark):
     assert pages.main_text(spark.createDataFrame([], frame.schema)).count() == 0
 
 
-def test_pages_table(spark, sf_small):
-    table = spark.read.parquet(f"{sf_small}/pages.parquet")
-    expected = {r["page_id"]: "\n".join(pages.parsed(r["html"])[0]) for r in table.collect()}
-    assert {r["page_id"]: r["text"] for r in pages.main_text(table).collect()} == expected
+def plain_main_text(rows: list[tuple]) -> dict:
+    """The operator over a list of (page_id, url, html), by plain lists and a table for each alignment."""
+    parsed, sequences = {}, {}
+    for number, (_, url, page) in enumerate(rows):
+        lines, doubtful, named, article = pages._candidates(pages.lines_of(page or ""))
+        host, path = pages.address(url)
+        parsed[number] = (lines, doubtful, named, article, host)
+        if host is not None and lines:
+            key = (host, article, tuple(lines))
+            sequences[key] = min(path, sequences.get(key, path))
+    out = {}
+    for number, (lines, doubtful, named, article, host) in parsed.items():
+        gone = set()
+        if host is not None and lines:
+            own = (host, article, tuple(lines))
+            same = [k for k in sequences if k[:2] == own[:2]]
+            hashes = {k: pages.np.array([pages.xxh64_intdigest(x) for x in k[2]], pages.np.uint64) for k in same}
+            digest = {k: pages.xxh3_128_digest(b"\0".join((host.encode(), bytes([article]), hashes[k].tobytes()))) for k in same}
+            order = sorted(same, key=lambda k: (sequences[k], digest[k]))
+            place = order.index(own)
+            near = [(abs(p - place), p) for p in range(max(0, place - 2), min(len(order), place + 3)) if p != place]
+            near.sort(key=lambda x: (-pages._shared_path(sequences[own], sequences[order[x[1]]]), x[0], x[1]))
+            shared = [set(common_places(lines, order[p][2])) for _, p in near]
+            if shared:
+                gone = {i for i in shared[0] if doubtful[i]}
+                if len(shared) > 1 and len(shared[0]) >= 0.9 * len(lines):
+                    gone &= set().union(*shared[1:])
+                if article:
+                    versions = [x for x in shared if len(x) >= 0.5 * len(lines)]
+                    votes = [x for x in shared if len(x) < 0.5 * len(lines)] + [set().union(*versions)]
+                    gone |= {i for i in range(len(lines)) if named[i] and sum(i in v for v in votes) > 1}
+        out[rows[number][0]] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    return out
+
+
+def common_places(a, b) -> list[int]:
+    """Places in `a` of a longest common subsequence; lines occur once and in one order, so there is one."""
+    return [i for i, x in enumerate(a) if x in b]
+
+
+def random_site(seed: int, count: int) -> list[tuple]:
+    """Pages whose shared lines stand in one order: menus, adverts of several names, versions, headings and paragraphs."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(count):
+        host, article = rng.randint(0, 2), rng.random() < 0.6
+        box = rng.choice(['<div class="zq{}">{}</div>', '<p id="b{}">{}</p>', "<div role=x{}><p>{}</p></div>", "<p x={}>{}</p>"])
+        shared = [box.format(k, f"Shared box {k}.") for k in range(5) if rng.random() < 0.5]
+        links = [f'<p><a href="/{k}">See also {k}</a></p>' for k in range(3) if rng.random() < 0.4]
+        story = rng.choice([i, i, i, rng.randint(0, 3)])
+        body = [f"<h1>Title {story % 9}</h1>", *shared, *links, f"<p>Said before {story % 4}.</p>", *[f"<p>Story {story} line {k}.</p>" for k in range(4)]]
+        page = "<nav>menu</nav>" + ("<article>" + "".join(body) + "</article>" if article else "".join(body))
+        rows.append((i, f"http://h{host}.example/{rng.choice('ab')}/{rng.randint(0, 40)}", page))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_whole_operator_against_a_plain_version_in_any_order(spark, seed):
+    rows = random_site(seed, 150)
+    expected = plain_main_text(rows)
+    assert texts_of(spark, rows) == expected == texts_of(spark, rows[::-1])
+    whole = {i: "\n".join(pages.parsed(page)[0]) for i, _, page in rows}
+    assert sum(expected[i] != whole[i] for i in whole) > 30
+    for i, _, page in rows:
+        if "<article>" in page:  # headings and plain paragraphs stay
+            assert all(line in expected[i].split("\n") for line in pages.re.findall(r"<(?:h1|p|p x=\d)>([^<]+)<", page) if "Shared" not in line)
+
+
+def test_equal_lines_with_unequal_links(spark):
+    def page(i, linked):
+        title = "<p><a href=x>Read this first.</a></p>" if linked else "<p>Read this first.</p>"
+        return (i, f"http://h.example/a/{i}", f"<article>{title}<p>One own line here {i // 2}.</p></article>")
+
+    rows = [page(1, False), page(2, True), page(3, True), page(4, False), page(5, True)]
+    found = [texts_of(spark, order) for order in (rows, rows[::-1], rows[2:] + rows[:2])]
+    assert found[0] == found[1] == found[2]
+    assert found[0][1].startswith("Read this first.") and found[0][4].startswith("Read this first.")
+
+
+@pytest.mark.parametrize(
+    ("article", "named"),
+    [
+        ("<h1 class=t>T</h1><p>a</p><div class=zz>b</div><p>cccc</p>", [False, False, True, False]),
+        ("<div class=body><h1>T</h1><p>a</p><div id=x><p>b</p></div><p>cccc</p></div>", [False, False, True, False]),
+        ("<section><p>a<p>b<p class=q>c</section><ul><li>x<li class=y>z</ul>", [False, False, True, False, True]),
+    ],
+)
+def test_named_elements_of_an_article(article, named):
+    assert pages._candidates(pages.lines_of(f"<article>{article}</article>"))[2] == named
+
+
+def test_pages_table_keeps_its_articles(spark, sf_middle):
+    table = spark.read.parquet(f"{sf_middle}/pages.parquet")
+    rows = [tuple(r) for r in table.select("page_id", "url", "html").collect()]
+    found = {r["page_id"]: r["text"] for r in pages.main_text(table).collect()}
+    assert found == plain_main_text(rows)
+    for page_id, _, page in rows:  # no heading and no plain paragraph of an article is lost
+        assert all(x in found[page_id].split("\n") for x in pages.parsed(page)[0])
 
 
 def test_very_long_pages():
