@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.llm.batches import in_order
+from isotherm.llm.batches import in_order, spare_names
 from isotherm.sources.scratch import staged
 
 WEIGHTS = (5, 2, 1)
@@ -289,13 +289,15 @@ def mixed_documents(
 ) -> DataFrame:
     """Each row of `documents` as often as `mix_sources` takes it, with all its columns.
 
-    Rows without words stay once. Rows are numbered and stored first, so null and repeated ids are
+    Rows without words stay once; column names of any kind pass through. Rows are numbered and stored first, so null and repeated ids are
     mixed like others; the numbers, not the ids, bring the copies back.
     """
-    numbered = staged(documents.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    mixed = mix_sources(numbered.select(F.col("_row").alias("doc_id"), "text", "source"), weights, most)
-    times = mixed.select(
-        F.col("doc_id").alias("_row"), F.when(F.col("size") > 0, F.col("copies")).otherwise(1).alias("_times")
-    ).where("_times > 0")
-    met = numbered.join(times, "_row")
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(documents.columns)
+    row, times, copy = spare_names(documents.columns, "row_number", "times", "copy")
+    numbered = staged(documents.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    mixed = mix_sources(numbered.select(F.col(row).alias("doc_id"), "text", "source"), weights, most)
+    taken = mixed.select(
+        F.col("doc_id").alias(row), F.when(F.col("size") > 0, F.col("copies")).otherwise(1).alias(times)
+    ).where(F.col(times) > 0)
+    met = numbered.join(taken, row)
+    repeated = met.withColumn(copy, F.explode(F.sequence(F.lit(1), times)))
+    return repeated.select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -81,19 +81,3 @@ def near_components(documents: DataFrame, width: int = 4, budget: int = 4) -> Da
     return docs.join(by_value, "value").select(
         "doc_id", F.lpad(F.lower(F.hex("value")), 16, "0").alias("fingerprint"), "component_id"
     )
-
-
-def one_of_each(documents: DataFrame, width: int = 4, budget: int = 4) -> DataFrame:
-    """The row of each component with the smallest doc_id, the first one of equal ids, with all columns.
-
-    Rows are numbered and stored first, so a repeated id with different texts is judged row by row.
-    Rows without an id cannot be told apart and stay; they are no component's row. Ids and numbers
-    alone are compared; what meets the texts is the list of numbers that go, which is the shorter one.
-    """
-    numbered = staged(documents.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = near_components(numbered.select(F.col("_row").alias("doc_id"), "text"), width, budget)
-    found = found.select(F.col("doc_id").alias("_row"), "component_id").join(numbered.select("_row", "doc_id"), "_row")
-    found = staged(found.where("doc_id IS NOT NULL"), "found")
-    stays = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row")).alias("first"))
-    goes = staged(found.select("_row").join(stays.select("first._row"), "_row", "left_anti"), "goes")
-    return numbered.join(goes, "_row", "left_anti").select(documents.columns)

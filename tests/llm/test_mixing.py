@@ -96,3 +96,11 @@ def test_hard_rows_and_empty_tables(spark):
     assert texts[None] == 1 and texts[""] == 1 and max(texts.values()) <= 3 * 3
     assert mixing.mix_sources(empty_frame(spark)).count() == 0
     assert mixing.mixed_documents(empty_frame(spark)).count() == 0
+
+
+def test_helper_names_do_not_clash(spark):
+    rows = [(i, "w " * (i % 7), "s", f"r{i}", f"t{i}", f"T{i}", f"c{i}") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string, _row string, _times string, times string, `copy` string")
+    mixed = mixing.mixed_documents(frame)
+    assert mixed.columns == frame.columns
+    assert set(map(tuple, mixed.collect())) <= set(rows)
