@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from isotherm.llm import language, mixing, piece_codec, quality, simhash
+from isotherm.llm import language, mixing, near_copies, piece_codec, quality
 from isotherm.llm.batches import table
 from isotherm.sources.scratch import staged
 
@@ -21,8 +21,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id."""
-    return simhash.one_of_each(docs, width=4, budget=4)
+    """One document of each group of near copies stays, the one with the smallest id.
+
+    Copies are those that SimHash links at 4 bits of four-word shingles, and those with 0.8 or more
+    of their five-word shingles in common.
+    """
+    return near_copies.one_of_each(docs, width=4, budget=4, similarity=0.8)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
