@@ -6,8 +6,9 @@ An archive is a folder of files that any Zstandard reader with the dictionary ca
     frame                          a `warcinfo` record
     frame, frame, ...              one record each
 
-Between two frames stands a skippable frame with the archive's mark, a random text. Zstandard readers pass over it; Spark's own text files use it as the line separator, so files are
-written by Spark's writer with its commit, to any file system it knows, and read back in splits.
+Between two frames stands a skippable frame with the archive's mark, a random text. Zstandard readers pass
+over it; Spark's own text files use it as the line separator, so files are written by Spark's writer with
+its commit, to any file system it knows, and read back in splits.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 REVISIT_BYTES = 1000
 
 #: The dictionary is fitted on the records of this many pages, the ones with the least hash of their
-#: payload among those of at most `FIT_PAGE_BYTES`; so the driver holds at most 16 MB of them.
+#: payload among those of at most `FIT_PAGE_BYTES`, so the driver holds at most 16 MB of them.
 FIT_PAGES = 512
 FIT_PAGE_BYTES = 32 << 10
 DICTIONARY_BYTES = 64 << 10
@@ -162,9 +163,16 @@ def _payloads(pages: DataFrame) -> DataFrame:
 
 
 def _fitted(payloads: DataFrame) -> Dictionary:
-    """The dictionary of an archive, from a bounded sample of its records."""
-    small = payloads.where(F.col("size") <= FIT_PAGE_BYTES).select("digest", "payload", "url")
-    rows = small.orderBy("digest").limit(FIT_PAGES).collect()
+    """The dictionary of an archive, from a bounded sample of its records.
+
+    Digests are spread evenly, so the payloads under a share of their range are twice the number
+    wanted, each once; only those meet.
+    """
+    small = payloads.where(F.col("size") <= FIT_PAGE_BYTES)
+    known = small.agg(F.approx_count_distinct("digest")).first()[0]
+    limit = f"{min(0xFFFFFFFF, (2 * FIT_PAGES << 32) // max(1, known)):08x}"
+    few = small.where(F.substring("digest", 1, 8) <= limit).groupBy("digest")
+    rows = few.agg(F.first("payload").alias("payload"), F.max("url").alias("url")).orderBy("digest").limit(FIT_PAGES).collect()
     date = "2000-01-01T00:00:00Z"
     return Dictionary.fitted([page_record(0, r["url"], bytes(r["payload"]), r["digest"], date) for r in rows])
 
@@ -227,7 +235,7 @@ def write_archive(pages: DataFrame, folder: str, date: str = "2000-01-01T00:00:0
             columns = [batch.column(c) for c in ("page_id", "url", "payload", "digest", "place", "holder", "revisit")]
             for k in range(batch.num_rows):
                 page_id, url, payload, digest, place, holder, revisit = [c[k].as_py() for c in columns]
-                raw = page_record(page_id, url, payload, digest, date, place if revisit else 0, (holder,) if revisit else None)
+                raw = page_record(page_id, url, payload, digest, date, place - 1, (holder,) if revisit else None)
                 held.append(compressor.compress(raw))
                 size += len(held[-1])
                 if size > STEP_BYTES:
