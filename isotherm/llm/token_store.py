@@ -24,7 +24,7 @@ from __future__ import annotations
 import re
 import zlib
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -52,9 +52,11 @@ WHOLE_STEPS = 8 * CHECKPOINT_STEPS
 #: Text bytes of a step: repeats inside a step are looked up once.
 STEP_BYTES = 4 << 20
 
-#: Units between spaces, and pre-tokens, whose ids a worker remembers.
-UNITS_KEPT = 500_000
-PRETOKENS_KEPT = 400_000
+#: Units between spaces and pre-tokens whose ids a worker remembers.
+STRINGS_KEPT = 800_000
+
+#: Pre-tokens that the library gets in one string, apart by a special token.
+ASKED_AT_ONCE = 200
 
 #: Below this character, classes of characters are the same in every version of Unicode.
 _PLAIN_END = "\u0220"
@@ -219,23 +221,21 @@ class IdRows:
         self.offsets, self.steps = offsets_of(lengths), self.steps[kept]
         self.places = {names[i]: place for place, i in enumerate(kept.tolist())}
 
-    def unseen(self, strings: set[str]) -> list[str]:
-        return [x for x in strings if x not in self.places]
-
     def add(self, new: list[str], flat: np.ndarray, counts: np.ndarray) -> None:
         self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(counts)])
         self.flat = np.concatenate([self.flat, flat])
         self.steps = np.concatenate([self.steps, np.zeros(len(new), np.int32)])
 
-    def of(self, rows: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all rows of known strings, one after another, and the number of each row."""
-        every = list(chain.from_iterable(rows))
-        places = np.fromiter(map(self.places.__getitem__, every), np.int64, len(every))
+    def found(self, every: list[str]) -> np.ndarray:
+        """Places of strings; -1 where there is none."""
+        return np.fromiter(map(self.places.get, every, repeat(-1)), np.int64, len(every))
+
+    def ids(self, places: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of places one after another, and the number of each of the rows that they fall into."""
         self.steps += np.bincount(places, minlength=len(self.steps)) > 0
         lengths = np.diff(self.offsets)[places]
-        counts = sums(lengths, offsets_of(np.array([len(r) for r in rows], np.int64)))
-        return gathered(self.flat, self.offsets[places], lengths), counts
+        return gathered(self.flat, self.offsets[places], lengths), sums(lengths, offsets_of(rows))
 
 
 class TokenTable:
@@ -243,7 +243,8 @@ class TokenTable:
 
     Texts are cut at spaces first, which is cheap; only a new unit between spaces is cut into
     pre-tokens. No merge crosses the pre-tokens that the library makes, so it gives the same ids for a
-    text and for its pre-tokens one by one.
+    text and for its pre-tokens one by one. Units and pre-tokens share one table: a unit that is a
+    pre-token has the same ids as either.
     """
 
     def __init__(self, path: str):
@@ -253,42 +254,79 @@ class TokenTable:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: i for i, t in added.items()}
+        self.special = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if added else None
+        # a token that the library takes out of a text as it is, whatever stands around it
+        plain = [i for i, t in added.items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+        self.separator = plain[0] if plain else None
         self.plain, self.pattern = _plain_pattern(), regex.compile(PATTERN)
-        self.units, self.pretokens = IdRows(UNITS_KEPT), IdRows(PRETOKENS_KEPT)
+        self.known = IdRows(STRINGS_KEPT)
 
     def cut(self, text: str) -> list[str]:
         """Pre-tokens of a text; the string of an added token is one."""
         if not text:
             return []
-        find = self.plain.findall if text.isascii() or max(text) < _PLAIN_END else self.pattern.findall
-        if self.added is None or not self.added.search(text):
+        plain = text.isascii() or max(text) < _PLAIN_END
+        if plain and (text[1:] if text[0] == " " else text).isalpha():
+            return [text]
+        find = self.plain.findall if plain else self.pattern.findall
+        for special in self.added:
+            if special in text:
+                break
+        else:
             return find(text)
         out: list[str] = []
-        for i, part in enumerate(self.added.split(text)):
+        for i, part in enumerate(self.special.split(text)):
             out.extend([part] if i % 2 else find(part))
         return out
 
-    def add(self, units: set[str]) -> None:
-        new = self.units.unseen(units)
-        if not new:
-            return
+    def ask(self, pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The library's ids of pre-tokens, and the number of each."""
+        if self.separator is None:
+            rows = [e.ids for e in self.tokenizer.encode_batch_fast(pretokens, add_special_tokens=False)]
+            counts = np.fromiter(map(len, rows), np.int64, len(rows))
+            return np.fromiter(chain.from_iterable(rows), np.uint32, int(counts.sum())), counts
+        between = self.tokenizer.id_to_token(self.separator)
+        texts = [between.join(pretokens[i : i + ASKED_AT_ONCE]) for i in range(0, len(pretokens), ASKED_AT_ONCE)]
+        parts: list[np.ndarray] = []
+        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            parts += [np.array(e.ids, np.uint32), np.array([self.separator], np.uint32)]
+        flat = np.concatenate(parts)
+        ends = np.flatnonzero(flat == self.separator)
+        return flat[flat != self.separator], np.diff(ends, prepend=-1) - 1
+
+    def learn(self, units: set[str]) -> None:
+        """Put new units into the table, and what they are cut into."""
+        new = list(units)
         rows = list(map(self.cut, new))
-        unseen = self.pretokens.unseen(set(chain.from_iterable(rows)))
+        parts = set(chain.from_iterable(rows))
+        unseen = [t for t in parts if t not in self.known.places]
+        special = [t for t in unseen if t in self.added]
+        if special:
+            self.known.add(special, np.array([self.added[t] for t in special], np.uint32), np.ones(len(special), np.int64))
+            unseen = [t for t in unseen if t not in self.added]
         if unseen:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False)]
-            counts = np.fromiter(map(len, found), np.int64, len(found))
-            self.pretokens.add(unseen, np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts)
-        self.units.add(new, *self.pretokens.of(rows))
+            self.known.add(unseen, *self.ask(unseen))
+        places = self.known.places
+        composed = [(u, r) for u, r in zip(new, rows) if u not in places]
+        if composed:
+            every = list(chain.from_iterable(r for _, r in composed))
+            sizes = np.array([len(r) for _, r in composed], np.int64)
+            self.known.add([u for u, _ in composed], *self.known.ids(self.known.found(every), sizes))
 
     def encode(self, texts: list[str], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and the number of each."""
-        self.units.thin_out()
-        self.pretokens.thin_out()
+        self.known.thin_out()
         rows = list(map(byte_level_units, texts))
-        self.add(set(chain.from_iterable(rows)))
-        body, counts = self.units.of(rows)
+        every = list(chain.from_iterable(rows))
+        places = self.known.found(every)
+        missing = np.flatnonzero(places < 0).tolist()
+        if missing:
+            again = [every[i] for i in missing]
+            self.learn(set(again))
+            places[missing] = self.known.found(again)
+        body, counts = self.known.ids(places, np.array([len(r) for r in rows], np.int64))
         if end_id is None:
             return body, counts
         ends = np.cumsum(counts + 1)
@@ -368,6 +406,18 @@ def encoded(documents: DataFrame, tokenizer_path: str, end_id: int | None = None
     return documents.select("doc_id", "text").mapInArrow(run, fields)
 
 
+def _unpacked(batch: pa.RecordBatch) -> np.ndarray:
+    """Ids of a batch of `encoded` rows, one after another."""
+    wide = batch.column("wide").to_numpy(zero_copy_only=False)
+    packed = batch.column("ids")
+    if not wide.any() or wide.all():
+        at = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
+        raw = np.frombuffer(packed.buffers()[2] or b"", np.uint8)[at[0] : at[-1]]
+        return np.frombuffer(raw.tobytes(), "<u4" if wide.all() and len(wide) else "<u2").astype(np.uint32)
+    rows = [np.frombuffer(x.as_buffer(), "<u4" if w else "<u2") for w, x in zip(wide, packed)]
+    return np.concatenate(rows).astype(np.uint32)
+
+
 def write_tokens(documents: DataFrame, tokenizer_path: str, folder: str, end_id: int | None = None) -> None:
     """Encode every text and write the block files of `folder` in ascending order of doc_id.
 
@@ -385,12 +435,19 @@ def write_tokens(documents: DataFrame, tokenizer_path: str, folder: str, end_id:
         part = TaskContext.get().partitionId()
         docs, counts, held, section, first, size = [], [], [], 0, 0, 0
         for batch in batches:
-            wide = batch.column("wide").to_pylist()
-            for doc_id, n, long, raw in zip(batch.column("doc_id").to_pylist(), batch.column("n_tokens").to_pylist(), wide, batch.column("ids")):
-                docs.append(doc_id)
-                counts.append(n)
-                held.append(np.frombuffer(raw.as_buffer(), "<u4" if long else "<u2").astype(np.uint32))
-                size += n
+            numbers = batch.column("n_tokens").to_numpy()
+            ends = offsets_of(numbers)
+            ids = _unpacked(batch)
+            names = batch.column("doc_id").to_pylist()
+            begin = 0
+            while begin < batch.num_rows:  # up to the document that fills the section
+                end = int(np.searchsorted(ends, ends[begin] + SECTION_TOKENS - size))
+                end = min(max(end, begin + 1), batch.num_rows)
+                docs += names[begin:end]
+                counts += numbers[begin:end].tolist()
+                held.append(ids[ends[begin] : ends[end]])
+                size += int(ends[end] - ends[begin])
+                begin = end
                 if size >= SECTION_TOKENS:
                     yield _section(part, section, first, docs, counts, np.concatenate(held))
                     section, first = section + 1, first + size
