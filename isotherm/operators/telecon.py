@@ -4,6 +4,9 @@ A join of the monthly rows on time would ship (pairs x months) rows through a sh
 city becomes one compact series (bounded by the calendar), cities are hashed into blocks of a
 bounded size, and every pair of blocks is one task that gets its Pearson sums from matrix
 products. The shuffle carries each series once per block instead of once per partner and month.
+
+With candidate pairs, a task holds the candidates of one pair of blocks and only the series that they
+name, and takes only their sums. `similar.py` finds candidates.
 """
 
 from __future__ import annotations
@@ -20,10 +23,15 @@ from pyspark.sql import functions as F
 
 from isotherm.config import ClimateConfig
 from isotherm.functions.columns import month_index
+from isotherm.sources.scratch import staged
 
 # The task functions travel with the job, so executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Candidates that a task takes on average, and grid cells it gathers at once for them.
+CANDIDATES_PER_TASK = 4_096
+GATHERED_CELLS = 1 << 21
+
 # A variance this far below its sum of squares is rounding noise: the input was constant.
 CONSTANT_TOLERANCE = 1e-12
 
@@ -50,36 +58,31 @@ def _until(anomaly: DataFrame, as_of: tuple[int, int] | None) -> DataFrame:
     return anomaly.where(month_index(F.col("year"), F.col("month")) <= last)
 
 
-def _both_ways(pairs: DataFrame) -> DataFrame:
-    """Candidate pairs (city_id, other_city_id), each in both orders."""
-    found = pairs.select("city_id", "other_city_id").where("city_id <> other_city_id")
-    back = found.select(F.col("other_city_id").alias("city_id"), F.col("city_id").alias("other_city_id"))
-    return found.unionByName(back).distinct()
-
+def city_series(anomaly: DataFrame) -> DataFrame:
+    """city_id, city_name and `series`, the points (t, x) of a city; at most one city's calendar a row."""
+    point = F.struct(
+        month_index(F.col("year"), F.col("month")).alias("t"),
+        F.col("anomaly_tmean_c").alias("x"),
+    )
+    known = anomaly.where(F.col("city_id").isNotNull())
+    return known.groupBy("city_id", "city_name").agg(F.collect_list(point).alias("series"))
 
-def _block_pairs(anomaly: DataFrame, block_size: int, pairs: DataFrame | None = None) -> DataFrame:
-    """Each city's series, once for every block pair it takes part in.
 
-    With `pairs`, only for the block pairs that hold a candidate.
-    """
+def _block_pairs(anomaly: DataFrame, block_size: int) -> DataFrame:
+    """Each city's series, once for every block pair it takes part in."""
     known = anomaly.where(F.col("city_id").isNotNull())
     n_blocks = known.select(
         F.greatest(
             F.lit(1), F.ceil(F.count_distinct("city_id") / F.lit(block_size)).cast("int")
         ).alias("n_blocks")
     ).scalar()
-    point = F.struct(
-        month_index(F.col("year"), F.col("month")).alias("t"),
-        F.col("anomaly_tmean_c").alias("x"),
-    )
     series = (
-        known.groupBy("city_id", "city_name")
-        .agg(F.collect_list(point).alias("series"))
+        city_series(anomaly)
         .withColumn("n_blocks", n_blocks)
         .withColumn("block", F.pmod(F.xxhash64("city_id"), F.col("n_blocks")).cast("int"))
     )
     partner = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("partner")
-    placed = series.select("city_id", "city_name", "series", "block", partner).select(
+    return series.select("city_id", "city_name", "series", "block", partner).select(
         F.least("block", "partner").alias("block_lo"),
         F.greatest("block", "partner").alias("block_hi"),
         "block",
@@ -87,15 +90,58 @@ def _block_pairs(anomaly: DataFrame, block_size: int, pairs: DataFrame | None =
         "city_name",
         "series",
     )
-    if pairs is None:
-        return placed
-    own, other = (
-        F.pmod(F.xxhash64(c), F.col("n_blocks")).cast("int") for c in ("city_id", "other_city_id")
+
+
+def _candidate_blocks(anomaly: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidates (smaller id first) under the blocks of their cities, and the series that each pair of blocks names.
+
+    The blocks are as many as give a task `CANDIDATES_PER_TASK` candidates; a city with many candidates
+    meets the blocks of their other ends, so it spreads over as many tasks.
+    """
+    ends = pairs.where("city_id <> other_city_id").select(
+        F.least("city_id", "other_city_id").alias("city_id"),
+        F.greatest("city_id", "other_city_id").alias("other_city_id"),
     )
-    wanted = pairs.withColumn("n_blocks", n_blocks).select(
-        F.least(own, other).alias("block_lo"), F.greatest(own, other).alias("block_hi")
+    ends = staged(ends.distinct(), "candidates")
+    n_blocks = ends.select(
+        F.greatest(F.lit(1), F.ceil(F.sqrt(F.count(F.lit(1)) / CANDIDATES_PER_TASK)).cast("int")).alias("n")
+    ).scalar()
+    block = [
+        F.pmod(F.xxhash64(c), F.col("n_blocks")).cast("int").alias(b)
+        for c, b in (("city_id", "block_lo"), ("other_city_id", "block_hi"))
+    ]
+    placed = ends.withColumn("n_blocks", n_blocks).select(*block, "city_id", "other_city_id")
+    named = placed.select(
+        F.col("block_lo").alias("of_lo"), F.col("block_hi").alias("of_hi"), F.explode(F.array("city_id", "other_city_id")).alias("city_id")
     )
-    return placed.join(wanted.distinct(), ["block_lo", "block_hi"], "left_semi")
+    return placed, named.distinct().join(city_series(anomaly), "city_id")
+
+
+def _per_candidate(
+    anomaly: DataFrame,
+    config: ClimateConfig,
+    pairs: DataFrame,
+    task: Callable[[_Block, np.ndarray, np.ndarray], pa.Table],
+    schema: str,
+) -> DataFrame:
+    """`task(block, i, j)` for the candidates of each pair of blocks, as rows of one block of series."""
+    max_lag, empty = config.max_lag, _arrow_schema(schema).empty_table()
+
+    def run(wanted: pa.Table, members: pa.Table) -> pa.Table:
+        if not wanted.num_rows or not members.num_rows:
+            return empty
+        block = _Block(members, *_time_axis(members, max_lag))
+        i, j = _rows_of(block, *[wanted[c].to_numpy() for c in ("city_id", "other_city_id")])
+        return task(block, i, j) if len(i) else empty
+
+    placed, members = _candidate_blocks(anomaly, pairs)
+    wanted, series = placed.groupBy("block_lo", "block_hi"), members.groupBy("of_lo", "of_hi")
+    return wanted.cogroup(series).applyInArrow(run, schema)
+
+
+def _arrow_schema(schema: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (f.split() for f in schema.split(", "))])
 
 
 def _per_block_pair(
@@ -103,7 +149,6 @@ def _per_block_pair(
     config: ClimateConfig,
     task: Callable[[_Block, _Block, bool], pa.Table],
     schema: str,
-    pairs: DataFrame | None = None,
 ) -> DataFrame:
     max_lag = config.max_lag
 
@@ -115,7 +160,7 @@ def _per_block_pair(
             return task(low, low, True)
         return task(low, _Block(table.filter(pc.equal(table["block"], hi)), *axis), False)
 
-    blocks = _block_pairs(anomaly, config.block_size, pairs)
+    blocks = _block_pairs(anomaly, config.block_size)
     if config.pair_partitions:
         blocks = blocks.repartition(config.pair_partitions, "block_lo", "block_hi")
     return blocks.groupBy("block_lo", "block_hi").applyInArrow(run, schema)
@@ -129,8 +174,8 @@ def pair_correlations(
 ) -> DataFrame:
     """Pearson correlation of same-month anomalies for every pair of cities, smaller id first.
 
-    `pairs` (city_id, other_city_id, either order) restricts the result, and the work to the block
-    pairs that hold one of them. `as_of` (year, month) leaves later months out.
+    `pairs` (city_id, other_city_id, either order) restricts the result, and the work, to these
+    candidates. `as_of` (year, month) leaves later months out.
 
     `n_observations` counts shared months, also those with a missing value; the correlation
     uses complete pairs only and is NULL where it is undefined.
@@ -147,13 +192,16 @@ def pair_correlations(
                  "n_observations", "anomaly_correlation"]
         return pa.concat_tables([pa.table(p, names=names) for p in parts])
 
+    def among(block: _Block, i: np.ndarray, j: np.ndarray) -> pa.Table:
+        rows, r = _moments_of(block, i, j, 0)
+        met = rows > 0
+        columns = _pair_columns(block, block, i[met], j[met], rows[met], r[met])
+        return pa.Table.from_arrays(columns, schema=_arrow_schema(PAIR_SCHEMA))
+
     anomaly = _until(anomaly, as_of)
     if pairs is None:
         return _per_block_pair(anomaly, config, task, PAIR_SCHEMA)
-    wanted = _both_ways(pairs)
-    found = _per_block_pair(anomaly, config, task, PAIR_SCHEMA, wanted)
-    wanted = wanted.toDF("city_id_1", "city_id_2")
-    return found.join(wanted, ["city_id_1", "city_id_2"], "left_semi").select(found.columns)
+    return _per_candidate(anomaly, config, pairs, among, PAIR_SCHEMA)
 
 
 def lag_correlations(
@@ -188,12 +236,21 @@ def lag_correlations(
                 keep(b, a, j, i, -lag, n, r)
         return pa.concat_tables(parts)
 
+    def among(block: _Block, i: np.ndarray, j: np.ndarray) -> pa.Table:
+        parts = []
+        for lag in range(-max_lag, max_lag + 1):
+            rows, r = _moments_of(block, i, j, lag)
+            met = rows > 0
+            for own, other, sign in ((i, j, 1), (j, i, -1)):
+                columns = _pair_columns(block, block, own[met], other[met], rows[met], r[met])
+                columns.insert(4, pa.array(np.full(int(met.sum()), sign * lag, dtype=np.int64)))
+                parts.append(pa.Table.from_arrays(columns, schema=_arrow_schema(LAG_SCHEMA)))
+        return pa.concat_tables(parts)
+
     anomaly = _until(anomaly, as_of)
     if pairs is None:
         return _per_block_pair(anomaly, config, task, LAG_SCHEMA)
-    wanted = _both_ways(pairs)
-    found = _per_block_pair(anomaly, config, task, LAG_SCHEMA, wanted)
-    return found.join(wanted, ["city_id", "other_city_id"], "left_semi").select(found.columns)
+    return _per_candidate(anomaly, config, pairs, among, LAG_SCHEMA)
 
 
 def best_lag(lags: DataFrame) -> DataFrame:
@@ -307,21 +364,67 @@ def _moments(a: _Block, b: _Block, lag: int):
     def product(x, y):
         return x[:, own] @ y[:, far].T
 
-    rows = product(a.rows, b.rows)
-    n = product(a.count, b.count)
-    sum_a, sum_b = product(a.total, b.count), product(a.count, b.total)
-    square_a, square_b = product(a.square, b.count), product(a.count, b.square)
+    return product(a.rows, b.rows), correlation(*_sums(a, b, product))
+
+
+def _sums(a: _Block, b: _Block, product) -> tuple[np.ndarray, ...]:
+    """Shared values, sums and squares of both sides, and the sum of products."""
+    return (
+        product(a.count, b.count),
+        product(a.total, b.count),
+        product(a.count, b.total),
+        product(a.square, b.count),
+        product(a.count, b.square),
+        product(a.total, b.total),
+    )
+
+
+def correlation(n, sum_a, sum_b, square_a, square_b, both) -> np.ndarray:
+    """Pearson's r from sums over complete pairs; NaN where fewer than two or a constant side."""
     with np.errstate(divide="ignore", invalid="ignore"):
         spread_a = square_a - sum_a * sum_a / n
         spread_b = square_b - sum_b * sum_b / n
-        joint = product(a.total, b.total) - sum_a * sum_b / n
-        r = joint / np.sqrt(spread_a * spread_b)
+        r = (both - sum_a * sum_b / n) / np.sqrt(spread_a * spread_b)
     defined = (
         (n > 1)
         & (spread_a > CONSTANT_TOLERANCE * square_a)
         & (spread_b > CONSTANT_TOLERANCE * square_b)
     )
-    return rows, np.where(defined, np.clip(r, -1.0, 1.0), np.nan)
+    return np.where(defined, np.clip(r, -1.0, 1.0), np.nan)
+
+
+def _rows_of(block: _Block, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the block for pairs of ids; an id with several names has several rows, an unknown one none."""
+    order = np.argsort(block.id_values, kind="stable")
+    ids = block.id_values[order]
+    (low, high), (other_low, other_high) = (
+        [np.searchsorted(ids, wanted, side) for side in ("left", "right")] for wanted in (first, second)
+    )
+    width = other_high - other_low
+    each = (high - low) * width
+    k = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    width = np.repeat(np.maximum(width, 1), each)
+    return order[np.repeat(low, each) + k // width], order[np.repeat(other_low, each) + k % width]
+
+
+def _moments_of(block: _Block, i: np.ndarray, j: np.ndarray, lag: int):
+    """`_moments` for the pairs (i, j) of rows alone, in steps of bounded size."""
+    width = block.rows.shape[1]
+    rows, r = np.zeros(len(i), np.int64), np.full(len(i), np.nan)
+    if abs(lag) >= width:
+        return rows, r
+    own = slice(max(0, -lag), width - max(0, lag))
+    far = slice(max(0, lag), width + min(0, lag))
+    step = max(1, GATHERED_CELLS // width)
+    for begin in range(0, len(i), step):
+        part = slice(begin, begin + step)
+
+        def product(x, y):
+            return np.einsum("nt,nt->n", x[i[part], own], y[j[part], far])
+
+        rows[part] = np.rint(product(block.rows, block.rows))
+        r[part] = correlation(*_sums(block, block, product))
+    return rows, r
 
 
 def _correlate(a: _Block, b: _Block, lag: int):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 from typing import Literal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isotherm.config import ClimateConfig
@@ -65,6 +65,56 @@ def plan_windows(
     )
 
 
+def missing_windows(
+    cities: DataFrame,
+    landed: DataFrame,
+    start: date | None = None,
+    end: date | None = None,
+    merge_days: int = 0,
+    config: ClimateConfig = ClimateConfig(),
+) -> DataFrame:
+    """The fewest windows per city and year that hold all missing days, and how many each holds.
+
+    `landed` has (city_slug, date). Runs of missing days become one window unless more than
+    `merge_days` landed days lie between them, so with 0 no landed day is asked for again.
+    Repeated days collapse before the shuffle, and a group is one year of one city.
+    """
+    start, end = start or config.start_date, end or config.end_date
+    if start > end:
+        raise ValueError(f"start {start} is after end {end}")
+    plan = _windows(cities, start, end)
+    days = landed.where(F.col("date").between(start, end)).select(
+        "city_slug", F.year("date").cast("long").alias("year"), "date"
+    )
+    # a mark behind each window closes its last gap
+    ends = plan.select("city_slug", "year", F.date_add("window_end", 1).alias("date"))
+    marks = plan.join(days.unionByName(ends).distinct(), ["city_slug", "year"])
+    city_year = Window.partitionBy("city_id", "city_slug", "year")
+    in_order = city_year.orderBy("date")
+    before = F.coalesce(F.lag("date").over(in_order), F.date_sub("window_start", 1))
+    gaps = marks.select(
+        "city_id",
+        "city_name",
+        "city_slug",
+        "year",
+        F.date_add(before, 1).alias("gap_start"),
+        F.date_sub("date", 1).alias("gap_end"),
+    ).where("gap_start <= gap_end")
+    by_gap = city_year.orderBy("gap_start")
+    apart = F.datediff("gap_start", F.lag("gap_end").over(by_gap)) - 1 > merge_days
+    numbered = gaps.withColumn("is_new", F.coalesce(apart, F.lit(True)).cast("int"))
+    numbered = numbered.withColumn("number", F.sum("is_new").over(by_gap))
+    return (
+        numbered.groupBy("city_id", "city_name", "city_slug", "year", "number")
+        .agg(
+            F.min("gap_start").alias("window_start"),
+            F.max("gap_end").alias("window_end"),
+            F.sum(F.datediff("gap_end", "gap_start") + 1).cast("long").alias("missing_days"),
+        )
+        .drop("number")
+    )
+
+
 def _windows(cities: DataFrame, start: date, end: date) -> DataFrame:
     """Years are generated per city row, without a join."""
     years = F.explode(F.sequence(F.lit(start.year), F.lit(end.year)))

@@ -136,6 +136,14 @@ FLEET = """monthly AS (
 # The same steps over the months of the fleet.
 FLEET_LAGS, FLEET_BEST = LAGS.replace(MONTHLY, FLEET), BEST.replace(MONTHLY, FLEET)
 
+# A station follows its nation's mean, some months late.
+REGIONAL = FLEET.replace("monthly AS", "own AS") + """,
+nations AS (SELECT country_code, year * 12 + month AS t, avg(avg_tmean_c) AS regional FROM own GROUP BY ALL),
+monthly AS (
+  SELECT o.* REPLACE (0.9::DOUBLE * regional + 0.1::DOUBLE * avg_tmean_c AS avg_tmean_c)
+  FROM own o JOIN nations n ON o.country_code = n.country_code AND n.t = o.year * 12 + o.month - o.city_id % 4)"""
+REGIONAL_LAGS, REGIONAL_BEST = LAGS.replace(MONTHLY, REGIONAL), BEST.replace(MONTHLY, REGIONAL)
+
 NEIGHBOURS = """near AS (
   SELECT s_suppkey AS a, unnest([lead(s_suppkey, 1) OVER w, lead(s_suppkey, 2) OVER w]) AS b
   FROM supplier WINDOW w AS (PARTITION BY s_nationkey % 5 ORDER BY s_suppkey)),
@@ -493,6 +501,8 @@ ORACLE: dict[str, str] = {
                {MONTH_COUNTS} FROM monthly""",
     "landing_zone": f"WITH {DAILY} SELECT {LANDED}, {_each(VARIABLE_LIST)} FROM daily",
     "stream_landing": f"WITH {DAILY} SELECT {LANDED}, {_each(VARIABLE_LIST)} FROM daily",
+    "rewritten_zone": f"WITH {DAILY} SELECT {LANDED}, {_each(VARIABLE_LIST)} FROM daily",
+    "keyed_stream": UPSERTED,
     "raw_files": f"WITH {DAILY} SELECT city_slug, year, date, {_each(VARIABLE_LIST)} FROM daily",
     "window_plan_backfill": f"""WITH {DAILY}, {WINDOWS}
         SELECT * FROM windows w WHERE NOT EXISTS (
@@ -501,6 +511,27 @@ ORACLE: dict[str, str] = {
         SELECT c_custkey AS city_id, c_name AS city_name, lower(replace(trim(c_name), ' ', '_')) AS city_slug,
                CAST(2001 AS BIGINT) AS year, DATE '2001-01-01' AS window_start,
                DATE '2001-08-03' AS window_end FROM customer""",
+    "window_plan_missing": f"""WITH {DAILY},
+        calendar AS (SELECT city_id, city_name, lower(replace(trim(city_name), ' ', '_')) AS city_slug,
+                            CAST(unnest(generate_series(DATE '1993-03-15', DATE '2002-02-10', INTERVAL 1 DAY)) AS DATE) AS date
+                     FROM city),
+        missing AS (SELECT *, CAST(year(date) AS BIGINT) AS year FROM calendar ANTI JOIN daily USING (city_slug, date)),
+        marked AS (SELECT *, CAST(coalesce(date - lag(date) OVER w - 1 > 3, true) AS INTEGER) AS is_new
+                   FROM missing WINDOW w AS (PARTITION BY city_id, year ORDER BY date)),
+        numbered AS (SELECT *, sum(is_new) OVER (PARTITION BY city_id, year ORDER BY date) AS number FROM marked)
+        SELECT city_id, city_name, city_slug, year, min(date) AS window_start, max(date) AS window_end,
+               count(*) AS missing_days FROM numbered GROUP BY city_id, city_name, city_slug, year, number""",
+    "schema_drift": f"""WITH {DAILY},
+        docs AS (SELECT city_id, city_slug, year,
+                        CASE WHEN city_id % 7 = 3 AND year % 2 = 0 THEN 'retyped' WHEN city_id % 7 = 4 THEN 'units'
+                             WHEN city_id % 7 = 5 AND year % 3 = 0 THEN 'broken' WHEN city_id % 7 = 6 AND year % 3 = 1 THEN 'list'
+                             WHEN city_id % 5 = 1 THEN 'snow' END AS fault
+                 FROM daily GROUP BY city_id, city_slug, year)
+        SELECT city_slug, CASE fault WHEN 'retyped' THEN '$.daily.precipitation_sum' WHEN 'units' THEN '$.daily_units'
+                                     WHEN 'snow' THEN '$.daily.snow_depth' ELSE '$' END AS path,
+               CASE fault WHEN 'retyped' THEN 'retyped' WHEN 'units' THEN 'unknown' WHEN 'snow' THEN 'unknown'
+                          ELSE 'unreadable' END AS finding, count(*) AS n_documents
+        FROM docs WHERE fault IS NOT NULL GROUP BY ALL""",
     "window_plan_coverage": f"""WITH {DAILY}, {WINDOWS}
         SELECT w.* FROM windows w LEFT JOIN daily d
           ON d.city_slug = w.city_slug AND d.date BETWEEN w.window_start AND w.window_end
@@ -526,6 +557,11 @@ ORACLE: dict[str, str] = {
                {MONTH_COUNTS} FROM monthly""",
     "climatology": f"""WITH {CLIMATE}
         SELECT city_id, city_name, country_code, month, {_each(CLIMATE_MEASURES)} FROM climate""",
+    "retracted_months": f"""WITH {MONTHLY}
+        SELECT city_id, city_name, country_code, year, month, days_in_month, {_each(MONTH_MEASURES)},
+               {MONTH_COUNTS} FROM monthly""",
+    "retracted_climatology": f"""WITH {CLIMATE}
+        SELECT city_id, city_name, country_code, month, {_each(CLIMATE_MEASURES)} FROM climate""",
     "anomaly_month": f"""WITH {ANOMALY}
         SELECT city_id, city_name, country_code, year, month, month_name, season,
                {_each(ANOMALY_MEASURES)}, is_positive_temp_anomaly, is_negative_temp_anomaly,
@@ -559,8 +595,23 @@ ORACLE: dict[str, str] = {
     "candidate_lags": f"""WITH {FLEET_LAGS}, {NEIGHBOURS}
         SELECT city_id, city_name, other_city_id, other_city_name, lag_months, n_observations,
                {_r("r", "anomaly_correlation")} FROM lags SEMI JOIN pairs USING (city_id, other_city_id)""",
+    "similar_links": f"""WITH {REGIONAL_LAGS}
+        SELECT city_id, city_name, other_city_id, other_city_name, lag_months, n_observations,
+               {_r("r", "anomaly_correlation")} FROM lags WHERE abs(r) >= 0.8""",
+    "strongest_similar": f"""WITH {REGIONAL_BEST}
+        SELECT city_id, {_r('max_lagged_corr')}, lead_lag_months FROM links WHERE max_lagged_corr >= 0.8""",
+    "updated_correlations": f"""WITH {FLEET_LAGS}
+        SELECT city_id AS city_id_1, city_name AS city_name_1, other_city_id AS city_id_2,
+               other_city_name AS city_name_2, n_observations, {_r("r", "anomaly_correlation")}
+        FROM lags WHERE lag_months = 0 AND city_id < other_city_id""",
+    "updated_links": f"WITH {FLEET_BEST} SELECT city_id, {_r('max_lagged_corr')}, lead_lag_months FROM links",
     "links_as_of": f"""WITH {FLEET_BEST.replace("AS x FROM anomaly)", "AS x FROM anomaly WHERE year <= 1999)")}
         SELECT city_id, {_r('max_lagged_corr')}, lead_lag_months FROM links""",
+    "listing_order": f"""WITH {LAGS},
+        shown AS (SELECT city_id AS city_id_1, other_city_id AS city_id_2, round(r, 6) AS r FROM lags
+                  WHERE lag_months = 0 AND city_id < other_city_id)
+        SELECT city_id_1, city_id_2,
+               row_number() OVER (ORDER BY r DESC NULLS LAST, city_id_1, city_id_2) AS position FROM shown""",
     # ------------------------------------------------------------------ features, model
     "rolling_features": f"""WITH {ANOMALY}, {ROLLED}
         SELECT city_id, year, month, time_index, {_each(ROLLING)} FROM rolled""",
@@ -601,6 +652,27 @@ ORACLE: dict[str, str] = {
     "event_probability": f"""
         SELECT event_id, {_r("1 / (1 + exp((25 - value) / 10))", "prob_event_next_month")},
                CAST(value >= 25 AS INTEGER) AS pred_event_next_month FROM events""",
+    "probability_forms": f"""
+        SELECT event_id, form,
+               {_r("CASE WHEN form = 'label' THEN CAST(value >= 25 AS DOUBLE) ELSE 1 / (1 + exp((25 - value) / 10)) END", "prob_event_next_month")},
+               CAST(value >= 25 AS INTEGER) AS pred_event_next_month
+        FROM events, (SELECT unnest(['probability', 'margin_vector', 'margin', 'label']) AS form)""",
+    "auc_by_day": f"""WITH scored AS (
+          SELECT CAST(ts AS DATE) AS day, CAST(date_trunc('month', ts) AS DATE) AS month, user_id % 10 = 0 AS hit FROM events),
+        periods AS (SELECT 'day' AS period, day AS starts, hit FROM scored
+                    UNION ALL SELECT 'month', month, hit FROM scored)
+        SELECT period, starts, count(*) FILTER (hit) AS n_positive, count(*) FILTER (NOT hit) AS n_negative,
+               CASE WHEN n_positive > 0 AND n_negative > 0 THEN true END AS within_bound
+        FROM periods GROUP BY period, starts""",
+    "metrics_document": f"""WITH {REPORT}, {AUC}
+        SELECT 'baseline_random_forest' AS model_name, n_positive + n_negative AS test_size, {_r("roc_auc")},
+               'is_event_next_month' AS target_column, CAST(11 AS BIGINT) AS n_features, CAST(2 AS BIGINT) AS n_classes,
+               class, {_each("precision recall f1")}, support
+        FROM report, auc""",
+    "rf_agreement": f"""WITH {FEATURES},
+        placed AS (SELECT *, row_number() OVER (ORDER BY city_id, year, month) AS position, count(*) OVER () AS n FROM features)
+        SELECT city_id, year, month, {_r("anomaly_tmean_c")}, true AS agrees, true AS ranks_better_than_chance
+        FROM placed WHERE position <= floor(n * 0.75)""",
     "exported_predictions": f"""WITH {SCORED}
         SELECT event_id, CAST(label AS INTEGER) AS is_event_next_month,
                CAST(called AS INTEGER) AS pred_event_next_month, score AS prob_event_next_month
@@ -693,6 +765,11 @@ ORACLE: dict[str, str] = {
     # ------------------------------------------------------------------ checks
     "dq_report": f"""WITH {FEATURES}, {RUNS}, results AS ({_CHECKS})
         SELECT table_name, rule, n_rows, n_failed, n_failed = 0 AS passed FROM results""",
+    "dq_contracts": """
+        SELECT * FROM (VALUES ('landing_daily_weather', 'contract', 13::BIGINT, 0::BIGINT, true),
+            ('clean_monthly_climate', 'contract', 10, 2, false), ('climatology_city_month', 'contract', 6, 0, true),
+            ('anomaly_city_month', 'contract', 10, 2, false), ('anomaly_city_events', 'contract', 8, 0, true))
+        AS t(table_name, rule, n_rows, n_failed, passed)""",
     "dq_faults": f"""WITH {ANOMALY}, {_FAULTS}, results AS ({_FAULTY_CHECKS})
         SELECT table_name, rule, n_rows, n_failed, n_failed = 0 AS passed FROM results""",
     "target_values": f"""WITH {SCORED}

@@ -10,20 +10,23 @@ from collections.abc import Callable, Sequence
 from dataclasses import replace
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isotherm.config import FEATURE_COLUMNS
 from isotherm.functions.columns import logistic
 from isotherm.operators import anomaly as anomalies
-from isotherm.operators import clean, features, health, landing, ml, observe, quality, serve
-from isotherm.operators import telecon, windows
+from isotherm.operators import auc_trend, clean, comoments, drift, features, health, landing, listing, ml
+from isotherm.operators import observe, quality, retract, serve, similar, telecon, windows
+from isotherm.operators.positions import running_totals
 from isotherm.plans import stations as st
 from isotherm.schemas import RUN_LOG
-from isotherm.sources import readers, writers
+from isotherm.sources import readers, writers, zone
 from isotherm.sources.scratch import new_folder, staged
-from isotherm.streaming.landing import stream_landed_documents
+from isotherm.streaming import keyed
+from isotherm.streaming.landing import stream_landed_documents, stream_zone
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -235,6 +238,56 @@ def window_plan_coverage(spark, sf_dir):
     return windows.plan_windows(cities, "coverage", days, PLAN_START, PLAN_END)
 
 
+@query
+def window_plan_missing(spark, sf_dir):
+    """The fewest windows that hold all missing days, short landed stretches included."""
+    days = st.station_daily(spark, sf_dir).select("city_slug", "date")
+    cities = st.dim_city(spark, sf_dir)
+    return windows.missing_windows(cities, days, PLAN_START, PLAN_END, merge_days=3)
+
+
+@query
+def schema_drift(spark, sf_dir):
+    """Unknown, retyped and unreadable parts of documents with planted ones."""
+    return drift.drift_report(st.drifted_documents(spark, sf_dir))
+
+
+@query
+def rewritten_zone(spark, sf_dir):
+    """Files streamed by their time of modification: half years first, then whole years under the same names."""
+    folder = new_folder(spark, "rewritten")
+    documents = staged(st.raw_documents(spark, sf_dir).select("daily", "city_slug", "year"), "documents")
+    place = (f"{folder}/zone", st.dim_city(spark, sf_dir), *[f"{folder}/{x}" for x in ("daily", "quarantine", "checkpoint")])
+    early = F.size(F.filter("daily.time", lambda day: F.substring(day, 6, 2) <= "06"))
+    first = documents.withColumn(
+        "daily", F.struct(*[F.slice(F.col("daily")[c], F.lit(1), early).alias(c) for c in ("time", *st.CONFIG.variables)])
+    )
+    zone.write_documents(first.where(F.size("daily.time") > 0), place[0])
+    stream_zone(spark, *place).awaitTermination()
+    zone.write_documents(documents, place[0])
+    stream_zone(spark, *place).awaitTermination()
+    return spark.read.parquet(place[2]).withColumn("year", F.col("year").cast("long"))
+
+
+@query
+def keyed_stream(spark, sf_dir):
+    """Deliveries late, repeated and out of order through keyed state: what is left is the newest of each day."""
+    folder = new_folder(spark, "keyed")
+    stored, new = _stored_and_new(spark, sf_dir)
+    new = staged(new.withColumn("delivery", F.col("delivery").cast("long")), "deliveries")
+    first, second = new.where("delivery = 1"), new.where("delivery = 2")
+    batches = [
+        stored.withColumn("delivery", F.lit(0).cast("long")).unionByName(second.where("month(date) % 2 = 0")),
+        first.unionByName(second.where("month(date) = 2")),
+        second.unionByName(first.where("month(date) = 3")),
+    ]
+    for number, batch in enumerate(batches):
+        batch.write.mode("append").parquet(f"{folder}/deliveries")
+        days = spark.readStream.schema(batch.schema).parquet(f"{folder}/deliveries")
+        keyed.append_newest_days(days, f"{folder}/log", f"{folder}/checkpoint", order_by="delivery").awaitTermination()
+    return keyed.current_days(spark, f"{folder}/log", order_by="delivery")
+
+
 @query
 def landed_summary(spark, sf_dir):
     return windows.landed_summary(st.load_attempts(spark, sf_dir), "recent")
@@ -263,6 +316,51 @@ def climatology(spark, sf_dir):
     return anomalies.climatology(st.station_monthly(spark, sf_dir), st.CONFIG)
 
 
+def _corrected_states(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """States of months and climatology after days of a stored table were corrected, added and withdrawn."""
+    right = staged(clean.clean_daily(st.station_daily(spark, sf_dir), st.CONFIG), "right")
+    day = F.col("day_of_year")
+    wrong = (day + F.col("city_id")) % 9 == 0
+    before = right.where(day % 11 != 0).withColumns(
+        {
+            "tmean_c": F.when(wrong, F.col("tmean_c") + 40).otherwise(F.col("tmean_c")),
+            "precip_mm": F.when(~wrong, F.col("precip_mm")),
+            "is_heat_day": F.when(wrong, 1 - F.col("is_heat_day")).otherwise(F.col("is_heat_day")),
+        }
+    )
+    strange = right.where(day % 50 == 1).withColumn("city_id", F.col("city_id") + 1000)
+    before = before.unionByName(strange)
+    months = staged(retract.month_states(before), "months")
+    cells = staged(retract.baseline_states(retract.months_of(months), st.CONFIG), "cells")
+
+    goes = before.where(wrong | (F.col("city_id") >= 1000))
+    comes = right.where(wrong | (day % 11 == 0))
+    change = staged(retract.month_changes(goes, comes), "change")
+    new_months = staged(retract.apply_months(months, change), "new_months")
+    keys = [F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) for k in clean.MONTHLY_KEYS]
+    old_months = months.alias("s").join(change.alias("c"), keys, "left_semi")
+    of_cells = staged(
+        retract.baseline_changes(retract.months_of(old_months), retract.months_of(new_months), st.CONFIG), "of_cells"
+    )
+    new_cells = retract.apply_baseline(cells, of_cells)
+    return (
+        retract.kept(months, change, clean.MONTHLY_KEYS).unionByName(new_months),
+        retract.kept(cells, of_cells, retract.BASELINE_KEYS).unionByName(new_cells),
+    )
+
+
+@query
+def retracted_months(spark, sf_dir):
+    """Months from states that wrong days were taken out of."""
+    return retract.months_of(_corrected_states(spark, sf_dir)[0])
+
+
+@query
+def retracted_climatology(spark, sf_dir):
+    """The climatology from states that the months of wrong days were taken out of."""
+    return retract.climatology_of(_corrected_states(spark, sf_dir)[1])
+
+
 @query
 def stored_monthly(spark, sf_dir):
     """The monthly table after a full refresh over an older version, published as a view."""
@@ -334,6 +432,51 @@ def candidate_lags(spark, sf_dir):
     return telecon.lag_correlations(st.fleet_anomaly(spark, sf_dir), st.FLEET_CONFIG, pairs)
 
 
+@query
+def similar_links(spark, sf_dir):
+    """All strong links of the regional fleet, found without looking at all pairs."""
+    anomaly = staged(st.regional_anomaly(spark, sf_dir), "anomaly")
+    return similar.similar_links(anomaly, st.FLEET_CONFIG)
+
+
+@query
+def strongest_similar(spark, sf_dir):
+    anomaly = staged(st.regional_anomaly(spark, sf_dir), "anomaly")
+    return similar.strongest_similar(anomaly, st.FLEET_CONFIG)
+
+
+def _earlier_fleet(anomaly: DataFrame) -> DataFrame:
+    """The fleet's anomalies as they stood before months came in, were corrected, withdrawn and sent twice."""
+    city, year, month = F.col("city_id"), F.col("year"), F.col("month")
+    known = anomaly.where((year < 2001) | (city % 3 == 0))
+    wrong = (city % 7 == 0) & (month == 5)
+    moved = F.when(wrong, F.col("anomaly_tmean_c") + 0.5).when(city % 11 != 3, F.col("anomaly_tmean_c"))
+    known = known.withColumn("anomaly_tmean_c", moved).where((city % 13 != 5) | (month != 2))
+    return known.unionByName(anomaly.where((city % 5 == 1) & (year == 1997)))
+
+
+def _updated_links(spark, sf_dir) -> comoments.StoredLinks:
+    anomaly = staged(st.fleet_anomaly(spark, sf_dir), "anomaly")
+    stored = comoments.StoredLinks(spark, new_folder(spark, "moments"))
+    stored.update(_earlier_fleet(anomaly), st.FLEET_CONFIG)
+    stored.update(anomaly, st.FLEET_CONFIG)
+    return stored
+
+
+@query
+def updated_correlations(spark, sf_dir):
+    """Correlations of a stored state into which only the changed months went."""
+    return _updated_links(spark, sf_dir).correlations()
+
+
+@query
+def updated_links(spark, sf_dir):
+    """The strongest lags of the same state after its versions were made one."""
+    stored = _updated_links(spark, sf_dir)
+    stored.compact()
+    return telecon.best_lag(stored.lags())
+
+
 @query
 def links_as_of(spark, sf_dir):
     """Links that no later month has a part in."""
@@ -343,6 +486,16 @@ def links_as_of(spark, sf_dir):
 # ---------------------------------------------------------------------------- features, model
 
 
+@query
+def listing_order(spark, sf_dir):
+    """The published order of the pair listing, as positions."""
+    pairs = telecon.pair_correlations(st.station_anomaly(spark, sf_dir), st.CONFIG)
+    rows = pairs.withColumn("anomaly_correlation", F.round("anomaly_correlation", 6))
+    shown = staged(listing.listed(rows, "anomaly_city_correlations").withColumn("place", F.monotonically_increasing_id()), "listing")
+    counted = running_totals(shown.withColumn("one", F.lit(1).cast("long")), "place", ["one"])
+    return counted.select("city_id_1", "city_id_2", (F.col("one_before") + 1).alias("position"))
+
+
 @query
 def rolling_features(spark, sf_dir):
     rolled = features.rolling_features(st.station_anomaly(spark, sf_dir))
@@ -431,6 +584,83 @@ def event_probability(spark, sf_dir):
     )
 
 
+@query
+def probability_forms(spark, sf_dir):
+    """The event's probability from a vector of probabilities, from a margin as vector or number, and from the label."""
+    events = st.table(spark, sf_dir, "events")
+    margin = (F.col("value") - 25) / 10
+    share = logistic(margin)
+    forms = {
+        "probability": {"probability": array_to_vector(F.array(1 - share, share)), "rawPrediction": F.lit(0.0)},
+        "margin_vector": {"rawPrediction": array_to_vector(F.array(-margin, margin))},
+        "margin": {"rawPrediction": margin},
+        "label": {"prediction": (F.col("value") >= 25).cast("double")},
+    }
+    frames = []
+    for form, columns in forms.items():
+        scored = events.withColumns(columns)
+        probability = ml.event_probability(None, scored)
+        frames.append(
+            scored.select(
+                "event_id",
+                F.lit(form).alias("form"),
+                probability.alias("prob_event_next_month"),
+                (probability >= st.CONFIG.event_probability).cast("int").alias("pred_event_next_month"),
+            )
+        )
+    return _union(frames)
+
+
+@query
+def auc_by_day(spark, sf_dir):
+    """Days of scores as sketches, months from the days' sketches, and whether both are as near the exact area as they say."""
+    events = st.table(spark, sf_dir, "events").select("event_id", F.trunc(F.col("ts").cast("date"), "month").alias("month"), F.col("ts").cast("date").alias("day"))
+    scored = staged(st.scored_events(spark, sf_dir).join(events, "event_id"), "scored")
+    days = staged(auc_trend.score_sketches(scored, ["month", "day"]), "sketches")
+    months = auc_trend.merged_sketches(days, ["month"])
+
+    def judged(trend: DataFrame, period: str) -> DataFrame:
+        exact = _exact_auc(scored, period)
+        near = F.abs(F.col("roc_auc") - F.col("exact")) <= F.col("error_bound")
+        return trend.join(exact, period).select(
+            F.lit(period).alias("period"), F.col(period).alias("starts"), "n_positive", "n_negative", near.alias("within_bound")
+        )
+
+    return judged(auc_trend.auc_trend(days), "day").unionByName(judged(auc_trend.auc_trend(months), "month"))
+
+
+def _exact_auc(scored: DataFrame, period: str) -> DataFrame:
+    """The exact area for each period; its distinct scores meet in one window, which the sketches are there to avoid."""
+    positive = F.col("is_event_next_month").cast("long")
+    scores = scored.groupBy(period, "prob_event_next_month").agg(F.sum(positive).alias("p"), F.sum(1 - positive).alias("n"))
+    before = Window.partitionBy(period).orderBy("prob_event_next_month").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = scores.withColumn("beaten", F.coalesce(F.sum("n").over(before), F.lit(0)) + F.col("n") / 2)
+    return ranked.groupBy(period).agg((F.sum(F.col("p") * F.col("beaten")) / F.sum("p") / F.sum("n")).alias("exact"))
+
+
+@query
+def metrics_document(spark, sf_dir):
+    """The class lines of a metrics document that was written as JSON and read back."""
+    scored = staged(st.scored_events(spark, sf_dir), "scored")
+    path = new_folder(spark, "metrics")
+    writers.write_metrics_document(ml.metrics_document(ml.metrics_record(scored, scored, st.CONFIG), scored), path)
+    line = "struct<class: string, precision: double, recall: double, f1: double, support: long>"
+    schema = (
+        f"model_name string, test_size long, roc_auc double, target_column string, feature_columns array<string>, "
+        f"classification_report array<{line}>, class_distribution_test array<struct<class: long, n: long>>"
+    )
+    document = spark.read.schema(schema).json(path)
+    return document.select(
+        "model_name",
+        "test_size",
+        "roc_auc",
+        "target_column",
+        F.size("feature_columns").cast("long").alias("n_features"),
+        F.size("class_distribution_test").cast("long").alias("n_classes"),
+        F.inline("classification_report"),
+    )
+
+
 @query
 def exported_predictions(spark, sf_dir):
     """Scored rows to a table and to CSV, read back from the CSV."""
@@ -448,6 +678,25 @@ def rf_predictions(spark, sf_dir):
     return ml.score(rows, ml.train_forest(train, st.CONFIG), st.CONFIG.event_probability)
 
 
+@query
+def rf_agreement(spark, sf_dir):
+    """Keys of the scored rows, whether label and probability agree, and whether the forest ranks better than chance."""
+    rows = staged(_features(spark, sf_dir), "features")
+    train, _ = ml.ordered_split(rows, st.CONFIG.train_fraction)
+    share = st.CONFIG.event_probability
+    found = staged(ml.score(train, ml.train_forest(train, st.CONFIG), share, keep=["is_event_next_month"]), "scored")
+    area = ml.roc_auc(found).select((F.col("roc_auc") > 0.6).alias("better")).scalar()
+    probability, call = F.col(ml.PROBABILITY), F.col(ml.PREDICTION)
+    return found.select(
+        "city_id",
+        "year",
+        "month",
+        "anomaly_tmean_c",
+        ((call == (probability >= share).cast("int")) & probability.between(0, 1)).alias("agrees"),
+        area.alias("ranks_better_than_chance"),
+    )
+
+
 @query
 def complete_feature_rows(spark, sf_dir):
     """Keys of the rows that a model may see, with planted NULL and NaN features."""
@@ -682,6 +931,23 @@ def dq_faults(spark, sf_dir):
     return _union([quality.check(f, name, quality.rules_for(name)) for name, f in tables.items()])
 
 
+@query
+def dq_contracts(spark, sf_dir):
+    """Contracts of tables with planted faults: a column gone, one of another kind, one that may be wider."""
+    daily = st.station_daily(spark, sf_dir)
+    monthly = st.station_monthly(spark, sf_dir)
+    anomaly = st.station_anomaly(spark, sf_dir)
+    tables = {
+        "landing_daily_weather": daily,
+        "clean_monthly_climate": monthly.drop("avg_tmax_c").withColumn("month", F.col("month").cast("string")),
+        "climatology_city_month": anomalies.climatology(monthly, st.CONFIG).withColumn("month", F.col("month").cast("int")),
+        "anomaly_city_month": anomaly.drop("season", "month_name"),
+        "anomaly_city_events": anomalies.anomaly_events(anomaly, st.CONFIG),
+        "not_declared": daily,
+    }
+    return quality.contract_report(spark, tables)
+
+
 @query
 def target_values(spark, sf_dir):
     return quality.target_values(st.scored_events(spark, sf_dir))

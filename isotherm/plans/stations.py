@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from isotherm.config import ClimateConfig
-from isotherm.functions.columns import slugify
+from isotherm.functions.columns import month_index, slugify
 from isotherm.operators.anomaly import anomaly_month, climatology
 from isotherm.operators.clean import clean_daily, monthly_climate
 from isotherm.sources.scratch import staged
@@ -127,6 +127,27 @@ def fleet_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomaly_month(monthly, climatology(monthly, CONFIG), CONFIG)
 
 
+def regional_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fleet with a climate of regions: a station follows its nation's mean, some months late.
+
+    Its own line items are a tenth of its mean, so stations of one nation correlate strongly, at a lag
+    that depends on the two.
+    """
+    own = fleet_monthly(spark, sf_dir).withColumn("t", month_index(F.col("year"), F.col("month")))
+    region = own.groupBy(F.col("country_code").alias("nation"), F.col("t").alias("at")).agg(
+        F.avg("avg_tmean_c").alias("regional")
+    )
+    late = (F.col("t") - F.col("city_id") % 4) == F.col("at")
+    met = own.join(region, (F.col("country_code") == F.col("nation")) & late)
+    blended = 0.9 * F.col("regional") + 0.1 * F.col("avg_tmean_c")
+    return met.withColumn("avg_tmean_c", blended).drop("nation", "at", "regional", "t")
+
+
+def regional_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    monthly = staged(regional_monthly(spark, sf_dir), "regional")
+    return anomaly_month(monthly, climatology(monthly, CONFIG), CONFIG)
+
+
 def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate pairs of the fleet: each supplier with the next two of its fifth of the nations."""
     supplier = table(spark, sf_dir, "supplier")
@@ -170,6 +191,27 @@ def faulty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_documents(spark, sf_dir).withColumn("daily", broken)
 
 
+def drifted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as text with parts that their schema does not know, by city and year."""
+    city, year, daily = F.col("city_id"), F.col("year"), F.col("daily")
+    as_text = lambda v: F.transform(F.col(f"daily.{v}"), lambda x: F.concat(x.cast("string"), F.lit(" mm")))
+    plain = F.to_json(F.struct("daily"))
+    snowy = F.to_json(F.struct(daily.withField("snow_depth", F.col("daily.precipitation_sum")).alias("daily")))
+    dry = F.to_json(F.struct(daily.dropFields("precipitation_sum").alias("daily")))
+    retyped = F.to_json(F.struct(daily.withField("precipitation_sum", as_text("precipitation_sum")).alias("daily")))
+    units = F.to_json(F.struct(daily.alias("daily"), F.struct(F.lit("mm").alias("precipitation_sum")).alias("daily_units")))
+    text = (
+        F.when((city % 7 == 3) & (year % 2 == 0), retyped)
+        .when(city % 7 == 4, units)
+        .when((city % 7 == 5) & (year % 3 == 0), F.substring(plain, 1, 40))
+        .when((city % 7 == 6) & (year % 3 == 1), F.lit("[1, 2]"))
+        .when(city % 5 == 1, snowy)
+        .when(city % 5 == 2, dry)
+        .otherwise(plain)
+    )
+    return raw_documents(spark, sf_dir).select("city_slug", "year", text.alias("document"))
+
+
 def geocoding_answers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(answers, configured cities) with one city per supplier and two hits per answer.
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from typing import Literal
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,18 +32,34 @@ def write_table(
     """Full refresh of a stored table, returned as a scan of what was written.
 
     Rows are ordered within files only; a global order would cost a range shuffle. Rows of one
-    table partition are brought together first, so that each is a few files.
+    table partition are brought together first, so that each is a few files. The new table is
+    complete before the old one goes, so a run that dies leaves one of them, and `frame` may read
+    the table that it replaces.
     """
     if partition_by:
         frame = frame.hint("rebalance", *partition_by)
     if sort_by:
         frame = frame.sortWithinPartitions(*partition_by, *sort_by)
-    frame.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        *partition_by
-    ).parquet(path)
+    path = path.rstrip("/")
+    beside = f"{path}__new_{uuid.uuid4().hex}"
+    frame.write.partitionBy(*partition_by).parquet(beside)
+    _put_in_place(frame.sparkSession, beside, path)
     return frame.sparkSession.read.parquet(path)
 
 
+def _put_in_place(spark: SparkSession, new: str, path: str) -> None:
+    """Rename a finished folder to `path`; what was there is renamed first and removed last."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = folder(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = f"{new}_old"
+    if system.exists(folder(path)) and not system.rename(folder(path), folder(old)):
+        raise OSError(f"could not move {path} away")
+    if not system.rename(folder(new), folder(path)):
+        raise OSError(f"could not move {new} to {path}; the earlier table is {old}")
+    system.delete(folder(old), True)
+    spark.catalog.refreshByPath(path)
+
+
 def publish_view(frame: DataFrame, name: str) -> DataFrame:
     """A logical view; nothing is computed."""
     frame.createOrReplaceTempView(name)

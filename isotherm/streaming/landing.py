@@ -18,6 +18,7 @@ from isotherm.operators.landing import (
 from isotherm.sources.readers import landed_documents_stream, raw_daily_stream
 from isotherm.sources.scratch import briefly_staged
 from isotherm.sources.writers import load_daily
+from isotherm.sources.zone import documents_stream
 
 
 def stream_landing(
@@ -33,8 +34,7 @@ def stream_landing(
     """Start a run over all `<slug>/<year>.json` files not seen yet; it ends when they are loaded.
 
     Each micro-batch is a keyed upsert, so replaying one after a failure changes nothing. A file
-    source notices new paths only: land a rewritten year under a new file name (the newer file
-    wins per day), or load it with the batch operators.
+    source notices new paths only: `stream_zone` reads rewritten files again.
     """
     documents = raw_daily_stream(spark, root, variables, max_files_per_batch)
     return _start(documents, dim_city, table_path, quarantine_path, checkpoint, variables)
@@ -55,6 +55,26 @@ def stream_landed_documents(
     return _start(documents, dim_city, table_path, quarantine_path, checkpoint, variables)
 
 
+def stream_zone(
+    spark: SparkSession,
+    root: str,
+    dim_city: DataFrame,
+    table_path: str,
+    quarantine_path: str,
+    checkpoint: str,
+    variables: Sequence[str] = DAILY_VARIABLES,
+    shares: int = 8,
+    settle_seconds: float = 0,
+) -> StreamingQuery:
+    """The same over `<slug>/<year>.json` files by their time of modification.
+
+    A file that was written again since the last run is read again, which a path-based source would
+    not notice; the newer file wins each day.
+    """
+    documents = documents_stream(spark, root, variables, shares, settle_seconds)
+    return _start(documents, dim_city, table_path, quarantine_path, checkpoint, variables)
+
+
 def _start(
     documents: DataFrame,
     dim_city: DataFrame,
