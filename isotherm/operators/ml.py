@@ -146,9 +146,12 @@ def train_forest(
 
 
 def event_probability(model: PipelineModel, scored: DataFrame) -> Column:
-    """Probability of class 1: the model's own, else the logistic of its margin, else its label."""
+    """Probability of class 1: the model's own, else the logistic of its margin, else its label.
+
+    A model that has seen class 0 alone has no entry for class 1, whose probability is then 0.
+    """
     if "probability" in scored.columns:
-        return vector_to_array("probability")[1]
+        return F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0))
     if "rawPrediction" in scored.columns:
         raw = F.col("rawPrediction")
         if scored.schema["rawPrediction"].dataType.typeName() == "double":
