@@ -5,9 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders staged in the innermost `cleared` block; None outside of any.
+_folders: ContextVar[list[str] | None] = ContextVar("staged_folders", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """`spark.checkpoint.dir` of the session, else a folder beside its tables.
@@ -25,13 +29,33 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/isotherm/{uuid.uuid4().hex}/{name}"
 
 
-def staged(frame: DataFrame, name: str) -> DataFrame:
+def staged(frame: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """Write a frame that several branches read, and go on from its files.
 
     This cuts the lineage and computes the upstream plan once. The files outlive executors; the
-    lazy result may be read at any time, so they stay until the shared folder is emptied.
+    lazy result may be read at any time, so they stay until the shared folder is emptied, or until the
+    end of the `cleared` block that they were written in, unless they are `lasting`.
+    """
+    folder = new_folder(frame.sparkSession, name)
+    if not lasting and _folders.get() is not None:
+        _folders.get().append(folder)
+    return _written(frame, folder)
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Removes what was staged inside the block when it ends, but for lasting frames.
+
+    For work whose result is stored as a lasting frame before the block ends.
     """
-    return _written(frame, new_folder(frame.sparkSession, name))
+    mark = _folders.set([])
+    try:
+        yield
+    finally:
+        folders = _folders.get()
+        _folders.reset(mark)
+        for folder in folders:
+            _removed(spark, folder)
 
 
 @contextmanager
@@ -42,8 +66,12 @@ def briefly_staged(frame: DataFrame, name: str) -> Iterator[DataFrame]:
     try:
         yield _written(frame, folder)
     finally:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _removed(spark, folder)
+
+
+def _removed(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _written(frame: DataFrame, path: str) -> DataFrame:

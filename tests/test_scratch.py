@@ -36,3 +36,17 @@ def test_without_a_shared_folder_the_warehouse_is_used():
         conf = Conf()
 
     assert scratch.shared_folder(Session()) == "hdfs://store/tables/_scratch"
+
+
+def test_a_cleared_block_leaves_lasting_frames_alone(spark):
+    from pathlib import Path
+
+    folder = lambda frame: Path(frame.inputFiles()[0].removeprefix("file:")).parent
+    outer = scratch.staged(spark.range(3), "outer")
+    with scratch.cleared(spark):
+        inner = folder(scratch.staged(spark.range(3), "inner"))
+        with scratch.cleared(spark):
+            nested = folder(scratch.staged(spark.range(3), "nested"))
+            kept = scratch.staged(spark.range(5), "kept", lasting=True)
+        assert inner.exists() and not nested.exists()
+    assert not inner.exists() and outer.count() == 3 and kept.count() == 5
