@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isotherm.llm.batches import in_order, spare_names
-from isotherm.sources.scratch import staged
+from isotherm.sources.scratch import cleared, staged
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
@@ -294,10 +294,12 @@ def mixed_documents(
     """
     row, times, copy = spare_names(documents.columns, "row_number", "times", "copy")
     numbered = staged(documents.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    mixed = mix_sources(numbered.select(F.col(row).alias("doc_id"), "text", "source"), weights, most)
-    taken = mixed.select(
-        F.col("doc_id").alias(row), F.when(F.col("size") > 0, F.col("copies")).otherwise(1).alias(times)
-    ).where(F.col(times) > 0)
+    with cleared(documents.sparkSession):
+        mixed = mix_sources(numbered.select(F.col(row).alias("doc_id"), "text", "source"), weights, most)
+        taken = mixed.select(
+            F.col("doc_id").alias(row), F.when(F.col("size") > 0, F.col("copies")).otherwise(1).alias(times)
+        ).where(F.col(times) > 0)
+        taken = staged(taken, "taken", lasting=True)
     met = numbered.join(taken, row)
     repeated = met.withColumn(copy, F.explode(F.sequence(F.lit(1), times)))
     return repeated.select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -13,21 +13,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from isotherm.llm.batches import map_pieces, offsets_of, spare_names
 from isotherm.llm.hamming import connected, hamming_links
 from isotherm.llm.simhash import fingerprints_of
-from isotherm.sources.scratch import staged
+from isotherm.sources.scratch import cleared, staged
 
 #: Words of a shingle, and the share of common shingles from which two texts are near copies.
 WORDS = 5
 SIMILARITY = 0.8
 
-#: Bands, and smallest hashes in each: a pair at 0.8 shares a band with probability 0.9999, one at 0.3 with 0.06.
-BANDS, BAND_HASHES = 24, 5
+#: Bands, and smallest hashes in each: a pair at 0.8 shares a band with probability 0.998, one at 0.3 with 0.09.
+BANDS, BAND_HASHES = 12, 4
 
 #: Shingle sets that a comparing task remembers.
 SETS_KEPT = 64
@@ -136,17 +136,36 @@ def _compared(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return left.join(right, ["v", "salt"]).select("u", "v", "u_text", "v_text").mapInArrow(run, "u bigint, v bigint")
 
 
+def _candidates(distinct: DataFrame) -> DataFrame:
+    """Pairs (u, v) and the number of bands that propose them: rows of a bucket with its first one.
+
+    Rows meet under their bucket and a salt, then the first ones of each salt under the bucket, so a
+    bucket of a third of all rows spreads over as many tasks as there are partitions. A key holds its
+    band, so a row is two numbers.
+    """
+    salts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = F.transform("bands", lambda key, band: F.xxhash64(band, key))
+    dealt = distinct.select("row", F.explode(keys).alias("key"))
+    salt = F.pmod(F.xxhash64("row"), F.lit(salts))
+    near = dealt.withColumn("near", F.first("row").over(Window.partitionBy("key", salt).orderBy("row")))
+    firsts = near.where("row = near").select("key", "near")
+    firsts = firsts.withColumn("first", F.first("near").over(Window.partitionBy("key").orderBy("near")))
+    inner = near.where("row <> near").select(F.col("row").alias("u"), F.col("near").alias("v"))
+    outer = firsts.where("near <> first").select(F.col("near").alias("u"), F.col("first").alias("v"))
+    return inner.unionByName(outer).groupBy("u", "v").count()
+
+
 def shingle_links(distinct: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Links (u, v) between the rows of `distinct` (row, bands) whose texts are near copies.
 
-    Rows in a bucket of a band are candidates with the bucket's smallest row, and with the smallest
-    under a salt, instead of with each other. Each row is first compared with the partner that it has
-    in most bands; what this connects need not be compared again, and all other candidates are.
+    Rows in a bucket of a band are candidates with the bucket's first row, or the first of their
+    salt, instead of with each other. Each row is first compared with the partner that it has in most
+    bands; what this connects need not be compared again, and all other candidates are. Only the
+    texts of candidates move.
     """
-    dealt = distinct.select("row", F.posexplode("bands").alias("band", "key"))
-    met = least_by(dealt, ["band", "key"], "row").select("row", F.explode(F.array("first", "near")).alias("v"))
-    counted = met.where("row <> v").groupBy(F.col("row").alias("u"), "v").count()
-    counted = staged(counted, "candidates")
+    counted = staged(_candidates(distinct), "candidates")
+    wanted = counted.select(F.explode(F.array("u", "v")).alias("row")).distinct()
+    texts = staged(texts.join(wanted, "row"), "candidate_texts")
     best = counted.groupBy("u").agg(F.max(F.struct("count", (-F.col("v")).alias("v"))).alias("best"))
     near = staged(_compared(best.select("u", (-F.col("best.v")).alias("v")), texts, similarity), "near")
     roots = staged(connected(near), "near_roots")
@@ -206,10 +225,11 @@ def one_of_each(
     """
     (number,) = spare_names(documents.columns, "row_number")
     numbered = staged(documents.withColumn(number, F.monotonically_increasing_id()), "numbered")
-    found = near_copy_groups(numbered.select(F.col(number).alias("row"), "doc_id", "text"), width, budget, similarity)
-    found = staged(found.where("doc_id IS NOT NULL"), "found")
-    stays = found.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("first"))
-    goes = staged(found.select("row").join(stays.select("first.row"), "row", "left_anti"), "goes")
+    with cleared(documents.sparkSession):
+        found = near_copy_groups(numbered.select(F.col(number).alias("row"), "doc_id", "text"), width, budget, similarity)
+        found = staged(found.where("doc_id IS NOT NULL"), "found")
+        stays = found.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+        goes = staged(found.select("row").join(stays.select("first.row"), "row", "left_anti"), "goes", lasting=True)
     return numbered.join(goes.withColumnRenamed("row", number), number, "left_anti").select(
         *[F.col(f"`{c}`") for c in documents.columns]
     )
