@@ -49,6 +49,12 @@ HEADLINE = (
     "fleet_correlations",
     "fleet_links",
     "candidate_lags",
+    "similar_links",
+    "updated_correlations",
+    "retracted_climatology",
+    "window_plan_missing",
+    "schema_drift",
+    "auc_by_day",
     "stored_upsert",
     "upsert_months",
     "landing_zone",

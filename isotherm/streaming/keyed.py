@@ -75,7 +75,7 @@ def newest_days(days: DataFrame, order_by: str = "modified_at", keep_ms: int | N
             statefulProcessor=NewestDays(keep_ms),
             outputStructType=marked.schema,
             outputMode="Append",
-            timeMode="ProcessingTime",
+            timeMode="None" if keep_ms is None else "ProcessingTime",
         )
         .drop("moment", "content")
     )
@@ -87,19 +87,24 @@ def append_newest_days(
     checkpoint: str,
     order_by: str = "modified_at",
     keep_ms: int | None = None,
+    every: str = "1 minute",
 ) -> StreamingQuery:
-    """Start a run that appends the new days of a stream to a log partitioned by year; it ends when all is read."""
+    """Start a run that appends the new days of a stream to a log partitioned by year.
+
+    It ends when all is read. With a time limit it goes on until it is stopped, with a batch `every`
+    so often, because state runs out with time and not with data.
+    """
     spark = days.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    return (
+    writer = (
         newest_days(days, order_by, keep_ms)
         .writeStream.format("parquet")
         .partitionBy("year")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(log_path)
     )
+    writer = writer.trigger(availableNow=True) if keep_ms is None else writer.trigger(processingTime=every)
+    return writer.start(log_path)
 
 
 def current_days(
