@@ -28,6 +28,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,15 +40,15 @@ from isotherm.sources.scratch import briefly_staged, staged
 
 SCALE_BITS = 20
 LOWEST = np.uint64(1 << 31)
-LANES = 1024
-CHECKPOINT_STEPS = 256
+LANES = 4096
+CHECKPOINT_STEPS = 128
 
 #: Tokens of a block, and of a section (the blocks that share a table), before it is closed.
 BLOCK_TOKENS = 1 << 19
 SECTION_TOKENS = 1 << 22
 
 #: Steps of a block that one task decodes; longer blocks are cut into ranges of so many.
-WHOLE_STEPS = 8 * CHECKPOINT_STEPS
+WHOLE_STEPS = 4 * CHECKPOINT_STEPS
 
 #: Text bytes of a step: repeats inside a step are looked up once.
 STEP_BYTES = 4 << 20
@@ -58,6 +59,14 @@ STRINGS_KEPT = 800_000
 #: Pre-tokens that the library gets in one string, apart by a special token.
 ASKED_AT_ONCE = 200
 
+#: A space that white space follows, or the end: only then a text is not simply cut before each space.
+_OPEN_SPACE = (
+    r" ([\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|$)"
+)
+
+#: What ends a word as a pre-token of its own.
+_STOPS = frozenset(".,;:!?")
+
 #: Below this character, classes of characters are the same in every version of Unicode.
 _PLAIN_END = "\u0220"
 
@@ -196,6 +205,10 @@ def _plain_pattern() -> re.Pattern:
     )
 
 
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class IdRows:
     """Ids of strings in one flat array; keeps what comes back in later steps when it is full."""
 
@@ -268,8 +281,6 @@ class TokenTable:
         if not text:
             return []
         plain = text.isascii() or max(text) < _PLAIN_END
-        if plain and (text[1:] if text[0] == " " else text).isalpha():
-            return [text]
         find = self.plain.findall if plain else self.pattern.findall
         for special in self.added:
             if special in text:
@@ -297,36 +308,75 @@ class TokenTable:
         return flat[flat != self.separator], np.diff(ends, prepend=-1) - 1
 
     def learn(self, units: set[str]) -> None:
-        """Put new units into the table, and what they are cut into."""
-        new = list(units)
-        rows = list(map(self.cut, new))
+        """Put new units into the table, and what they are cut into; an empty one has no ids."""
+        words, ended, other = [], [], []
+        for unit in units:
+            body = unit[1:] if unit[:1] == " " else unit
+            if body.isalpha() and (unit.isascii() or max(unit) < _PLAIN_END):
+                words.append(unit)
+            elif unit[-1:] in _STOPS and body[:-1].isalpha() and (unit.isascii() or max(unit) < _PLAIN_END):
+                ended.append(unit)
+            else:
+                other.append(unit)
+        stems, stops = [u[:-1] for u in ended], [u[-1] for u in ended]
+        rows = list(map(self.cut, other))
         parts = set(chain.from_iterable(rows))
-        unseen = [t for t in parts if t not in self.known.places]
+        parts.update(stems, stops)
+        unseen = list(parts.difference(self.known.places).union(words))
         special = [t for t in unseen if t in self.added]
         if special:
             self.known.add(special, np.array([self.added[t] for t in special], np.uint32), np.ones(len(special), np.int64))
             unseen = [t for t in unseen if t not in self.added]
         if unseen:
             self.known.add(unseen, *self.ask(unseen))
-        places = self.known.places
-        composed = [(u, r) for u, r in zip(new, rows) if u not in places]
+        if ended:
+            both = np.stack([self.known.found(stems), self.known.found(stops)], axis=1).ravel()
+            self.known.add(ended, *self.known.ids(both, np.full(len(ended), 2)))
+        composed = [(u, r) for u, r in zip(other, rows) if u not in self.known.places]
         if composed:
             every = list(chain.from_iterable(r for _, r in composed))
             sizes = np.array([len(r) for _, r in composed], np.int64)
             self.known.add([u for u, _ in composed], *self.known.ids(self.known.found(every), sizes))
 
-    def encode(self, texts: list[str], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, one after another, and the number of each."""
-        self.known.thin_out()
-        rows = list(map(byte_level_units, texts))
-        every = list(chain.from_iterable(rows))
+    def places_of(self, every: list[str]) -> np.ndarray:
+        """Places of units, new ones included."""
         places = self.known.found(every)
         missing = np.flatnonzero(places < 0).tolist()
         if missing:
             again = [every[i] for i in missing]
             self.learn(set(again))
             places[missing] = self.known.found(again)
-        body, counts = self.known.ids(places, np.array([len(r) for r in rows], np.int64))
+        return places
+
+    def _split(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Places and their number for texts that are cut before each space: words meet by their code, not one by one."""
+        words = pc.split_pattern(texts, " ")
+        starts = words.offsets.to_numpy().astype(np.int64) - words.offsets[0].as_py()
+        coded = pc.dictionary_encode(words.flatten())
+        units = self.places_of(_strings(pc.binary_join_element_wise("", coded.dictionary, " ")))
+        places = units[coded.indices.to_numpy()] if len(units) else np.zeros(0, np.int64)
+        first = starts[:-1]  # no space stands before the first word
+        places[first] = self.places_of(_strings(words.flatten().take(pa.array(first))))
+        return places, np.diff(starts)
+
+    def encode(self, texts: list[str | None] | pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and the number of each; null is empty."""
+        self.known.thin_out()
+        column = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        is_open = pc.match_substring_regex(column, _OPEN_SPACE)
+        odd = np.flatnonzero(is_open.to_numpy(zero_copy_only=False))
+        sizes = np.zeros(len(column), np.int64)
+        plain, sizes_plain = self._split(column.filter(pc.invert(is_open)))
+        rows = list(map(byte_level_units, column.filter(is_open).to_pylist()))
+        sizes[odd] = [len(r) for r in rows]
+        even = np.ones(len(column), bool)
+        even[odd] = False
+        sizes[even] = sizes_plain
+        places = np.empty(int(sizes.sum()), np.int64)
+        of_odd = np.repeat(~even, sizes)
+        places[~of_odd] = plain
+        places[of_odd] = self.places_of(list(chain.from_iterable(rows)))
+        body, counts = self.known.ids(places, sizes)
         if end_id is None:
             return body, counts
         ends = np.cumsum(counts + 1)
@@ -382,7 +432,7 @@ def encoded(documents: DataFrame, tokenizer_path: str, end_id: int | None = None
     """doc_id, n_tokens and `ids`, little-endian unsigned 16- or 32-bit as `wide` says, of each row. Nothing is shuffled."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, counts = load(tokenizer_path).encode([t or "" for t in batch.column("text").to_pylist()], end_id)
+        ids, counts = load(tokenizer_path).encode(batch.column("text"), end_id)
         wide = bool(len(ids)) and int(ids.max()) >= 1 << 16
         raw = ids.astype("<u4" if wide else "<u2").tobytes()
         bounds = offsets_of(counts) * (4 if wide else 2)
