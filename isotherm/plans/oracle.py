@@ -136,12 +136,12 @@ FLEET = """monthly AS (
 # The same steps over the months of the fleet.
 FLEET_LAGS, FLEET_BEST = LAGS.replace(MONTHLY, FLEET), BEST.replace(MONTHLY, FLEET)
 
-# A station follows its nation's mean, some months late.
+# A station follows its region's mean, some months late.
 REGIONAL = FLEET.replace("monthly AS", "own AS") + """,
-nations AS (SELECT country_code, year * 12 + month AS t, avg(avg_tmean_c) AS regional FROM own GROUP BY ALL),
+regions AS (SELECT city_id % 5 AS region, year * 12 + month AS t, avg(avg_tmean_c) AS regional FROM own GROUP BY ALL),
 monthly AS (
-  SELECT o.* REPLACE (0.9::DOUBLE * regional + 0.1::DOUBLE * avg_tmean_c AS avg_tmean_c)
-  FROM own o JOIN nations n ON o.country_code = n.country_code AND n.t = o.year * 12 + o.month - o.city_id % 4)"""
+  SELECT o.* REPLACE (0.98::DOUBLE * regional + 0.02::DOUBLE * avg_tmean_c AS avg_tmean_c)
+  FROM own o JOIN regions r ON o.city_id % 5 = r.region AND r.t = o.year * 12 + o.month - o.city_id // 5 % 4)"""
 REGIONAL_LAGS, REGIONAL_BEST = LAGS.replace(MONTHLY, REGIONAL), BEST.replace(MONTHLY, REGIONAL)
 
 NEIGHBOURS = """near AS (

@@ -128,19 +128,19 @@ def fleet_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def regional_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fleet with a climate of regions: a station follows its nation's mean, some months late.
+    """The fleet with a climate of five regions: a station follows its region's mean, some months late.
 
-    Its own line items are a tenth of its mean, so stations of one nation correlate strongly, at a lag
-    that depends on the two.
+    A little of its own mean is left, so stations of one region correlate strongly, at a lag that
+    depends on the two.
     """
     own = fleet_monthly(spark, sf_dir).withColumn("t", month_index(F.col("year"), F.col("month")))
-    region = own.groupBy(F.col("country_code").alias("nation"), F.col("t").alias("at")).agg(
+    region = own.groupBy((F.col("city_id") % 5).alias("region"), F.col("t").alias("at")).agg(
         F.avg("avg_tmean_c").alias("regional")
     )
-    late = (F.col("t") - F.col("city_id") % 4) == F.col("at")
-    met = own.join(region, (F.col("country_code") == F.col("nation")) & late)
-    blended = 0.9 * F.col("regional") + 0.1 * F.col("avg_tmean_c")
-    return met.withColumn("avg_tmean_c", blended).drop("nation", "at", "regional", "t")
+    late = (F.col("t") - F.expr("city_id div 5 % 4")) == F.col("at")
+    met = own.join(region, (F.col("city_id") % 5 == F.col("region")) & late)
+    blended = 0.98 * F.col("regional") + 0.02 * F.col("avg_tmean_c")
+    return met.withColumn("avg_tmean_c", blended).drop("region", "at", "regional", "t")
 
 
 def regional_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
