@@ -196,3 +196,45 @@ def test_candidate_pairs_and_as_of(spark):
     assert sorted(cut) == sorted(telecon.strongest_links(early, config).collect())
     few = telecon.strongest_links(frame, config, pairs)
     assert {r.city_id for r in few.collect()} == {1, 2, 3, 5, 6, 9}
+
+
+def whole(cities=60, months=30, seed=3):
+    """Series without gaps but for every fourth city, which lacks a month or a value; a constant one and a copy."""
+    rng = random.Random(seed)
+    rows = []
+    for c in range(cities):
+        for t in range(months):
+            x = 2.5 if c == 5 else math.sin(t) if c in (6, 7) else rng.gauss(0, 1)
+            if c % 4 == 0 and t == 3 + c % 20:
+                if c % 8 == 0:
+                    continue
+                x = None
+            rows.append((c, f"city {c}", 2000 + t // 12, t % 12 + 1, x))
+    return rows
+
+
+@pytest.mark.parametrize("tile", [7, 512])
+def test_tiles_of_whole_and_gappy_series(spark, monkeypatch, tile):
+    monkeypatch.setattr(telecon, "TILE", tile)
+    rows = whole()
+    frame = spark.createDataFrame(rows, SCHEMA)
+    config = ClimateConfig(max_lag=3, block_size=25)
+    lags = telecon.lag_correlations(frame, config).collect()
+    found = {(r.city_id, r.other_city_id, r.lag_months): (r.n_observations, r.anomaly_correlation) for r in lags}
+    assert len(found) == len(lags)
+    assert_same(found, brute_lags(rows, 3))
+    table = {r.city_id: r for r in telecon.best_lag(telecon.lag_correlations(frame, config)).collect()}
+    for row in telecon.strongest_links(frame, config).collect():
+        strength, lag = table[row.city_id][1:]
+        assert (row.max_lagged_corr is None) == (strength is None) and row.lead_lag_months == lag
+        assert strength is None or abs(row.max_lagged_corr - strength) < 1e-12
+
+
+def test_a_large_fleet_has_larger_blocks_not_more(spark):
+    assert [telecon.blocks_for(n, 32) for n in (0, 1, 32, 33, 1024, 60_000)] == [1, 1, 1, 2, 32, 32]
+    assert telecon.blocks_for(10**6, 32) == 62
+    rows = [(c, "c", 2000, m, float((c * 7 + m * m) % 11)) for c in range(600) for m in range(1, 4)]
+    pairs = telecon.pair_correlations(spark.createDataFrame(rows, SCHEMA), ClimateConfig(block_size=2))
+    assert pairs.count() == 600 * 599 // 2
+    sent = telecon._block_pairs(spark.createDataFrame(rows, SCHEMA), telecon.blocks_for(600, 2))
+    assert sent.count() == 600 * telecon.MOST_BLOCKS
