@@ -300,6 +300,7 @@ def mixed_documents(
             F.col("doc_id").alias(row), F.when(F.col("size") > 0, F.col("copies")).otherwise(1).alias(times)
         ).where(F.col(times) > 0)
         taken = staged(taken, "taken", lasting=True)
-    met = numbered.join(taken, row)
+    # most documents are in `taken`, so it grows with them and is no side to broadcast at any size
+    met = numbered.join(taken.hint("merge"), row)
     repeated = met.withColumn(copy, F.explode(F.sequence(F.lit(1), times)))
     return repeated.select(*[F.col(f"`{c}`") for c in documents.columns])
