@@ -108,9 +108,9 @@ def _unpacked(table: pa.Table) -> pa.Table:
     return table.drop_columns("points").append_column("series", pa.ListArray.from_arrays(ends, months))
 
 
-def blocks_for(n_cities: int, block_size: int) -> int:
-    """Blocks of `block_size` cities, or `MOST_BLOCKS` larger ones; none is larger than `LARGEST_BLOCK` on average."""
-    return max(1, min(MOST_BLOCKS, -(-n_cities // block_size)), -(-n_cities // LARGEST_BLOCK))
+def blocks_for(n_cities: int, block_size: int, most: int = MOST_BLOCKS) -> int:
+    """Blocks of `block_size` cities, or `most` larger ones; none is larger than `LARGEST_BLOCK` on average."""
+    return max(1, min(most, -(-n_cities // block_size)), -(-n_cities // LARGEST_BLOCK))
 
 
 def _block_pairs(anomaly: DataFrame, n_blocks: int) -> DataFrame:
@@ -187,25 +187,44 @@ def _per_block_pair(
     schema: str,
 ) -> DataFrame:
     """`task(a, b, same)` for every pair of tiles of every pair of blocks, given out one by one."""
+
+    def tiles(low: _Block, high: _Block | None) -> Iterator[pa.Table]:
+        a_side = low.tiles(TILE)
+        if high is None:
+            met = ((a, b, a is b) for k, a in enumerate(a_side) for b in a_side[k:])
+        else:
+            b_side = high.tiles(TILE)
+            met = ((a, b, False) for a in a_side for b in b_side)
+        return (task(*pair) for pair in met)
+
+    known = anomaly.where(F.col("city_id").isNotNull())
+    n_cities = known.agg(F.count_distinct("city_id")).first()[0]
+    return of_block_pairs(anomaly, config, n_cities, blocks_for(n_cities, config.block_size), tiles, schema)
+
+
+def of_block_pairs(
+    anomaly: DataFrame,
+    config: ClimateConfig,
+    n_cities: int,
+    n_blocks: int,
+    task: Callable[[_Block, _Block | None], Iterator[pa.Table]],
+    schema: str,
+) -> DataFrame:
+    """The tables of `task(low, high)` for every pair of blocks, given out one by one; `high` is None for a block with itself."""
     max_lag, kind = config.max_lag, _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _unpacked(pa.Table.from_batches(batches))
         lo, hi = table["block_lo"][0], table["block_hi"][0]
         axis = _time_axis(table, max_lag)
-        low = _Block(table.filter(pc.equal(table["block"], lo)), *axis).tiles(TILE)
-        if lo == hi:
-            met = ((a, b, a is b) for k, a in enumerate(low) for b in low[k:])
-        else:
-            high = _Block(table.filter(pc.equal(table["block"], hi)), *axis).tiles(TILE)
-            met = ((a, b, False) for a in low for b in high)
+        low, high = (
+            _Block(table.filter(pc.equal(table["block"], x)), *axis) if side == 0 or lo != hi else None
+            for side, x in enumerate((lo, hi))
+        )
         del table
-        for pair in met:
-            yield from task(*pair).cast(kind).combine_chunks().to_batches()
+        for part in task(low, high):
+            yield from part.cast(kind).combine_chunks().to_batches()
 
-    known = anomaly.where(F.col("city_id").isNotNull())
-    n_cities = known.agg(F.count_distinct("city_id")).first()[0]
-    n_blocks = blocks_for(n_cities, config.block_size)
     tasks = min(n_blocks * (n_blocks + 1) // 2, -(-(n_cities**2) // (2 * PAIRS_PER_TASK)))
     blocks = _block_pairs(anomaly, n_blocks)
     blocks = blocks.repartition(config.pair_partitions or max(1, tasks), "block_lo", "block_hi")
@@ -391,8 +410,11 @@ class _Block:
         # Centre each series: correlation is unchanged and the sums lose no digits.
         level = grid(cell[known], value[known]).sum(axis=1) / np.maximum(self.count.sum(axis=1), 1)
         centred = value[known] - level[cell[known] // n_months]
+        plain = np.bincount(cell[known] // n_months, value[known] ** 2, table.num_rows)
         self.total = grid(cell[known], centred)
         self.square = grid(cell[known], centred * centred)
+        size = self.square.sum(axis=1)
+        self.varied = np.isfinite(size) & (size > CONSTANT_TOLERANCE * plain)
         self.months = np.bincount(places, minlength=n_months).astype(float)
         self.whole = False
 
@@ -403,7 +425,7 @@ class _Block:
         part.rows, part.count, part.total, part.square = (
             grid[rows] for grid in (self.rows, self.count, self.total, self.square)
         )
-        part.months, part.whole = self.months, whole
+        part.varied, part.months, part.whole = self.varied[rows], self.months, whole
         return part
 
     def tiles(self, size: int) -> list[_Block]:
@@ -412,6 +434,14 @@ class _Block:
         sides = ((np.flatnonzero(whole), True), (np.flatnonzero(~whole), False))
         return [self._some(rows[k : k + size], kind) for rows, kind in sides for k in range(0, len(rows), size)]
 
+    def tile(self, rows: np.ndarray) -> _Block:
+        """Some of the cities; whole if all have one value in each of the same months, which are then the tile's months."""
+        part = self._some(rows, False)
+        part.whole = bool(((part.rows == part.rows[:1]) & (part.count == part.rows) & (part.rows <= 1)).all())
+        if part.whole:
+            part.months = part.rows[0]
+        return part
+
 
 def _moments(a: _Block, b: _Block, lag: int):
     width = a.rows.shape[1]
@@ -422,7 +452,7 @@ def _moments(a: _Block, b: _Block, lag: int):
     far = slice(max(0, lag), width + min(0, lag))
 
     if a.whole and b.whole:
-        met = a.months[own] * a.months[far]
+        met = a.months[own] * b.months[far]
         rows = np.full((a.rows.shape[0], b.rows.shape[0]), met.sum())
         r = _units(a, own, met) @ _units(b, far, met).T
         return rows, np.clip(r, -1.0, 1.0, out=r)
@@ -436,8 +466,8 @@ def _moments(a: _Block, b: _Block, lag: int):
 def _units(block: _Block, cut: slice, met: np.ndarray) -> np.ndarray:
     """Deviations from the mean of the months in `met`, of length 1; NaN for a constant series or one month.
 
-    Cities that have all months share theirs with any other such city, so their sums belong to the
-    city instead of the pair, and the product of two of these rows is the correlation.
+    Cities that have the same months as all of their tile share theirs with any city of another such tile, so
+    their sums belong to the city instead of the pair, and the product of two of these rows is the correlation.
     """
     n = met.sum()
     total = block.total[:, cut] * met
@@ -490,9 +520,9 @@ def _rows_of(block: _Block, first: np.ndarray, second: np.ndarray) -> tuple[np.n
     return order[np.repeat(low, each) + k // width], order[np.repeat(other_low, each) + k % width]
 
 
-def _moments_of(block: _Block, i: np.ndarray, j: np.ndarray, lag: int):
-    """`_moments` for the pairs (i, j) of rows alone, in steps of bounded size."""
-    width = block.rows.shape[1]
+def _moments_of(block: _Block, i: np.ndarray, j: np.ndarray, lag: int, other: _Block | None = None):
+    """`_moments` for the pairs (i, j) of rows alone, j in `other` if given, in steps of bounded size."""
+    width, other = block.rows.shape[1], block if other is None else other
     rows, r = np.zeros(len(i), np.int64), np.full(len(i), np.nan)
     if abs(lag) >= width:
         return rows, r
@@ -505,8 +535,8 @@ def _moments_of(block: _Block, i: np.ndarray, j: np.ndarray, lag: int):
         def product(x, y):
             return np.einsum("nt,nt->n", x[i[part], own], y[j[part], far])
 
-        rows[part] = np.rint(product(block.rows, block.rows))
-        r[part] = correlation(*_sums(block, block, product))
+        rows[part] = np.rint(product(block.rows, other.rows))
+        r[part] = correlation(*_sums(block, other, product))
     return rows, r
 
 

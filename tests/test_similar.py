@@ -3,11 +3,14 @@
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from test_telecon import SCHEMA, assert_same, brute_lags, make
 
 from isotherm.config import ClimateConfig
 from isotherm.operators import similar, telecon
+from isotherm.sources import scratch
 
 
 def fleet(groups=12, members=6, months=120, noise=0.3, seed=1):
@@ -84,6 +87,53 @@ def test_no_partner(spark, rows):
     assert similar.similar_links(frame).count() == 0 and similar.strongest_similar(frame).count() == 0
 
 
+def links_of(frame):
+    keys = ("city_id", "city_name", "other_city_id", "other_city_name", "lag_months")
+    return {tuple(r[k] for k in keys): (r.n_observations, r.anomaly_correlation) for r in frame.collect()}
+
+
+@pytest.mark.parametrize("enough", [1 / 32, 2.0])
+def test_links_of_many_tiles_are_those_of_all_pairs(spark, monkeypatch, enough):
+    monkeypatch.setattr(similar, "TILE", 9)
+    monkeypatch.setattr(similar, "LEAST_ALIKE", 3)
+    monkeypatch.setattr(similar, "ENOUGH", enough)  # 2: what is marked is computed pair by pair
+    rows = fleet(groups=9, seed=4)
+    rows += [(2000 + c, "late", 1990 + t // 12, t % 12 + 1, math.sin((t - c % 4) ** 2)) for c in range(20) for t in range(c % 4, 60)]
+    rows += [(3, "second name", y, m, 2 * x) for c, _, y, m, x in rows if c == 8] + [(3000, "flat", 1990, m, 1.1) for m in range(1, 13)]
+    frame, config = spark.createDataFrame(rows, SCHEMA), ClimateConfig(max_lag=4, block_size=40)
+    expected = links_of(telecon.lag_correlations(frame, config).where("abs(anomaly_correlation) >= 0.8"))
+    found = similar.similar_links(frame, config).collect()
+    assert len(found) == len(expected) > 500  # no link comes twice
+    assert_same(links_of(similar.similar_links(frame, config)), expected)
+    best = {r.city_id: (1, r.max_lagged_corr, r.lead_lag_months) for r in similar.strongest_similar(frame, config).collect()}
+    wanted = telecon.best_lag(similar.similar_links(frame, config)).collect()
+    assert {k: v[2] for k, v in best.items()} == {r.city_id: r.lead_lag_months for r in wanted}
+    assert_same({k: v[:2] for k, v in best.items()}, {r.city_id: (1, r.max_lagged_corr) for r in wanted})
+
+
+def test_no_bucket_and_no_pair_is_moved(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(scratch, "_written", lambda frame, path, write=scratch._written: stored.append(frame.columns) or write(frame, path))
+    found = similar.similar_links(spark.createDataFrame(fleet(groups=4), SCHEMA), ClimateConfig(max_lag=2))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and "Join" not in plan  # series by city, then series by pair of blocks
+    similar.strongest_similar(spark.createDataFrame(fleet(groups=4), SCHEMA), ClimateConfig(max_lag=2))
+    assert not any("bucket" in columns or "other_city_id" in columns for columns in stored)
+
+
+def test_tables_end_when_tiles_are_computed_as_a_whole(spark):
+    directions = similar._directions(np.arange(-2, 50), 64 * 10)
+    series = np.random.default_rng(1).standard_normal((1, 50)) + 0.1 * np.random.default_rng(2).standard_normal((40, 50))
+    points = pa.array([[{"t": t, "x": x} for t, x in enumerate(one)] for one in series])
+    table = pa.table({"city_id": np.arange(40), "city_name": ["a"] * 40, "series": points})
+    block = telecon._Block(table, *telecon._time_axis(table, 2))
+    codes = similar._Codes(block.tile(np.arange(40)), directions, 2, 10)
+    met, whole = similar._met(codes, codes, 64, similar.ENOUGH)
+    assert whole and list(codes.parts) == [0]
+    met, whole = similar._met(codes, codes, 64, 2.0)
+    assert not whole and met.all() and len(codes.parts) == 4
+
+
 def test_plan():
     signs, tables = similar._plan(1_000_000, 6, 0.8, 0.99)
     assert signs == 21 and tables <= similar.MOST_TABLES
