@@ -254,10 +254,10 @@ def _per_met_tiles(
     threshold: float,
     recall: float,
     enough: float,
-    task: Callable[[_Block, _Block, bool, np.ndarray | None], pa.Table],
+    task: Callable[[_Block, _Block, bool, np.ndarray | None], Iterator[pa.Table]],
     schema: str,
 ) -> DataFrame:
-    """`task(a, b, same, met)` for every two tiles with candidates; `met` marks them, or is None if they are `enough`.
+    """The tables of `task(a, b, same, met)` for every two tiles with candidates; `met` marks them, or is None if they are `enough`.
 
     Signatures are taken where a pair of blocks meets, and a pair of cities is marked once however many
     buckets it shares. So a series is shuffled once a block, and no bucket and no pair is.
@@ -281,7 +281,7 @@ def _per_met_tiles(
                 met, whole = _met(own, far, tables, enough)
                 met &= a.id_values[:, None] != b.id_values[None, :]
                 if whole or met.any():
-                    yield task(a, b, high is None and n == 0, None if whole else met)
+                    yield from task(a, b, high is None and n == 0, None if whole else met)
 
     n_blocks = blocks_for(n_cities, config.block_size, MOST_BLOCKS)
     return of_block_pairs(anomaly, config, n_cities, n_blocks, tiles, schema)
@@ -316,10 +316,10 @@ def candidate_links(
     negative lag is the other order at the positive one.
     """
 
-    def task(a: _Block, b: _Block, same: bool, met: np.ndarray) -> pa.Table:
+    def task(a: _Block, b: _Block, same: bool, met: np.ndarray) -> Iterator[pa.Table]:
         i, j = np.nonzero(met)
         ends = np.sort(np.stack([a.id_values[i], b.id_values[j]]), axis=0)
-        return pa.table([pa.array(x) for x in ends], names=["city_id", "other_city_id"])
+        yield pa.table([pa.array(x) for x in ends], names=["city_id", "other_city_id"])
 
     pairs = _per_met_tiles(anomaly, config, threshold, recall, 2.0, task, "city_id long, other_city_id long")
     return pairs.distinct()  # an id may have several names
@@ -335,17 +335,18 @@ def similar_links(
 
     Candidates are computed where they are found, so that links are given out and nothing else is moved.
     """
+    max_lag, schema = config.max_lag, _arrow_schema(LAG_SCHEMA)
 
-    def task(a: _Block, b: _Block, same: bool, met: np.ndarray | None) -> pa.Table:
-        parts = []
-        for lag, rows, r in _strong(a, b, met, config.max_lag, threshold):
+    def task(a: _Block, b: _Block, same: bool, met: np.ndarray | None) -> Iterator[pa.Table]:
+        for lag, rows, r in _strong(a, b, met, max_lag, threshold):
             i, j = np.nonzero(~np.isnan(r))
+            if not len(i):
+                continue
             n, found = np.rint(rows[i, j]).astype(np.int64), r[i, j]
             for x, y, own, other, sign in ((a, b, i, j, 1),) if same else ((a, b, i, j, 1), (b, a, j, i, -1)):
                 columns = _pair_columns(x, y, own, other, n, found)
                 columns.insert(4, pa.array(np.full(len(i), sign * lag, dtype=np.int64)))
-                parts.append(pa.Table.from_arrays(columns, schema=_arrow_schema(LAG_SCHEMA)))
-        return pa.concat_tables(parts)
+                yield pa.Table.from_arrays(columns, schema=schema)
 
     return _per_met_tiles(anomaly, config, threshold, recall, ENOUGH, task, LAG_SCHEMA)
 
@@ -375,14 +376,14 @@ def strongest_similar(
     same = staged(twins(anomaly), "twins")
     shown = same.where("city_id = first OR city_id = last").select("city_id")
 
-    def task(a: _Block, b: _Block, same: bool, met: np.ndarray | None) -> pa.Table:
+    def task(a: _Block, b: _Block, same: bool, met: np.ndarray | None) -> Iterator[pa.Table]:
         sides = ((_Strongest(len(a.id_values)), a, 1, 1), (_Strongest(len(b.id_values)), b, 0, -1))[: 1 if same else 2]
         for lag, _, r in _strong(a, b, met, config.max_lag, threshold):
             for best, _, axis, sign in sides:
                 top = np.fmax.reduce(np.abs(r), axis=axis, initial=-1.0)
                 best.add(sign * lag, top >= 0, top)
         schema = _arrow_schema(LINK_SCHEMA)
-        return pa.concat_tables([pa.Table.from_arrays(best.columns(tile), schema=schema) for best, tile, *_ in sides])
+        yield from (pa.Table.from_arrays(best.columns(tile), schema=schema) for best, tile, *_ in sides)
 
     some = staged(anomaly.join(shown, "city_id", "left_semi"), "shown")
     found = _strongest(_per_met_tiles(some, config, threshold, recall, ENOUGH, task, LINK_SCHEMA))
