@@ -12,6 +12,7 @@ name, and takes only their sums. `similar.py` finds candidates.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Callable, Iterator
 
@@ -33,9 +34,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MOST_BLOCKS = 32
 LARGEST_BLOCK = 16_384
 
+# The same for all pairs of a fleet: a series is shuffled once for each block, and fuller tiles take less time.
+PAIR_BLOCKS = 16
+
 # Cities on each side of a tile, the part of a pair of blocks that is computed and given out at once.
 TILE = 512
 
+# Cities of a block with the same months from which they get tiles of their own.
+LEAST_ALIKE = 64
+
 # Pairs of cities that a task takes on average.
 PAIRS_PER_TASK = 1 << 18
 
@@ -49,6 +56,16 @@ GATHERED_CELLS = 1 << 21
 # A variance this far below its sum of squares is rounding noise: the input was constant.
 CONSTANT_TOLERANCE = 1e-12
 
+# Rounding error of single precision; two strengths less than `NEAR` apart may be equal to nine decimals.
+SHORT = 2.0**-24
+NEAR = 1e-9
+
+# Two tiles are computed in full where more than this share of their pairs may be a city's strongest, or sizes are less sure than this.
+MOST_NEAR, MOST_ERROR = 1 / 32, 1e-2
+
+# Bytes of series in single precision that a task holds.
+MOST_SHORT = 128 << 20
+
 PAIR_SCHEMA = (
     "city_id_1 long, city_name_1 string, city_id_2 long, city_name_2 string, "
     "n_observations long, anomaly_correlation double"
@@ -59,6 +76,7 @@ LAG_SCHEMA = (
 )
 PACKED_SCHEMA = "city_id long, city_name string, points binary"
 LINK_SCHEMA = "city_id long, strength double, strength_9 long, lag_months long"
+SIZE_SCHEMA = "city_id long, lag_months long, anomaly_correlation double"
 
 
 # --------------------------------------------------------------------------------------
@@ -202,9 +220,15 @@ def _per_block_pair(
             met = ((a, b, False) for a in a_side for b in b_side)
         return (task(*pair) for pair in met)
 
-    known = anomaly.where(F.col("city_id").isNotNull())
-    n_cities = known.agg(F.count_distinct("city_id")).first()[0]
-    return of_block_pairs(anomaly, config, n_cities, blocks_for(n_cities, config.block_size), tiles, schema)
+    return _of_fleet(anomaly, config, tiles, schema)
+
+
+def _of_fleet(
+    anomaly: DataFrame, config: ClimateConfig, task: Callable[[_Block, _Block | None], Iterator[pa.Table]], schema: str
+) -> DataFrame:
+    """`of_block_pairs` in as many blocks as all pairs of the fleet take."""
+    n_cities = anomaly.where(F.col("city_id").isNotNull()).agg(F.count_distinct("city_id")).first()[0]
+    return of_block_pairs(anomaly, config, n_cities, blocks_for(n_cities, config.block_size, PAIR_BLOCKS), task, schema)
 
 
 def of_block_pairs(
@@ -346,7 +370,7 @@ def strongest_links(
 ) -> DataFrame:
     """`best_lag(lag_correlations(anomaly))` without ever writing out the pairs.
 
-    Each pair of tiles emits one candidate per city rather than one row per pair, and computes a pair
+    Each pair of blocks emits one candidate per city rather than one row per pair, and computes a pair
     once for both of its cities. Use it when only the feature table is wanted.
     """
     if pairs is not None:  # the candidates bound what is written out
@@ -354,10 +378,11 @@ def strongest_links(
     anomaly = _until(anomaly, as_of)
     max_lag = config.max_lag
 
-    def task(a: _Block, b: _Block, same: bool) -> pa.Table:
-        return _strongest_of_tiles(a, b, max_lag, same)
+    def task(low: _Block, high: _Block | None) -> Iterator[pa.Table]:
+        for best, tile in strongest_of(low, high, max_lag):
+            yield pa.Table.from_arrays(best.columns(tile), schema=_arrow_schema(LINK_SCHEMA))
 
-    return _strongest(_per_block_pair(anomaly, config, task, LINK_SCHEMA))
+    return _strongest(_of_fleet(anomaly, config, task, LINK_SCHEMA))
 
 
 def _strongest(candidates: DataFrame) -> DataFrame:
@@ -422,6 +447,15 @@ class _Block:
         self.months = np.bincount(places, minlength=n_months).astype(float)
         self.whole = False
 
+    @classmethod
+    def of(cls, ids: pa.Array, names: pa.Array, grids: list[np.ndarray], months: np.ndarray) -> _Block:
+        """A block of grids of rows, counts, sums and squares that are there already."""
+        block = object.__new__(cls)
+        block.ids, block.names, block.id_values = ids, names, ids.to_numpy(zero_copy_only=False)
+        block.rows, block.count, block.total, block.square = grids
+        block.varied, block.months, block.whole = np.ones(len(ids), bool), months, False
+        return block
+
     def _some(self, rows: np.ndarray, whole: bool) -> _Block:
         part = object.__new__(_Block)
         at = pa.array(rows)
@@ -433,10 +467,19 @@ class _Block:
         return part
 
     def tiles(self, size: int) -> list[_Block]:
-        """The cities in blocks of `size`; those with one value in each month that occurs come first, by themselves."""
-        whole = ((self.rows == self.months) & (self.count == self.months)).all(axis=1)
-        sides = ((np.flatnonzero(whole), True), (np.flatnonzero(~whole), False))
-        return [self._some(rows[k : k + size], kind) for rows, kind in sides for k in range(0, len(rows), size)]
+        """The cities in tiles of about `size`; many with one value in each of the same months, and all without gaps, have tiles of their own.
+
+        The others come last, in the order of their months, so that few different ones share a tile.
+        """
+        single = ((self.rows == self.count) & (self.rows <= 1)).all(axis=1)
+        shown = np.concatenate([np.packbits(self.rows > 0, axis=1), ~single[:, None]], axis=1)
+        _, kind, many = np.unique(shown, axis=0, return_inverse=True, return_counts=True)
+        kind = kind.ravel()
+        alike = single & ((many[kind] >= min(LEAST_ALIKE, size)) | (self.rows == self.months).all(axis=1))
+        sides = [np.flatnonzero(alike & (kind == k)) for k in np.unique(kind[alike])]
+        others = np.flatnonzero(~alike)
+        sides.append(others[np.argsort(kind[others], kind="stable")])
+        return [self.tile(rows) for side in sides if len(side) for rows in np.array_split(side, max(1, round(len(side) / size)))]
 
     def tile(self, rows: np.ndarray) -> _Block:
         """Some of the cities; whole if all have one value in each of the same months, which are then the tile's months."""
@@ -447,13 +490,17 @@ class _Block:
         return part
 
 
+def _windows(width: int, lag: int) -> tuple[slice, slice]:
+    """The places of the months that meet `lag` months apart, on the own side and on the other one."""
+    return slice(max(0, -lag), width - max(0, lag)), slice(max(0, lag), width + min(0, lag))
+
+
 def _moments(a: _Block, b: _Block, lag: int):
     width = a.rows.shape[1]
     if abs(lag) >= width:
         empty = np.zeros((a.rows.shape[0], b.rows.shape[0]))
         return empty, np.full_like(empty, np.nan)
-    own = slice(max(0, -lag), width - max(0, lag))
-    far = slice(max(0, lag), width + min(0, lag))
+    own, far = _windows(width, lag)
 
     if a.whole and b.whole:
         met = a.months[own] * b.months[far]
@@ -530,8 +577,7 @@ def _moments_of(block: _Block, i: np.ndarray, j: np.ndarray, lag: int, other: _B
     rows, r = np.zeros(len(i), np.int64), np.full(len(i), np.nan)
     if abs(lag) >= width:
         return rows, r
-    own = slice(max(0, -lag), width - max(0, lag))
-    far = slice(max(0, lag), width + min(0, lag))
+    own, far = _windows(width, lag)
     step = max(1, GATHERED_CELLS // width)
     for begin in range(0, len(i), step):
         part = slice(begin, begin + step)
@@ -571,6 +617,8 @@ class _Strongest:
         self.strength = np.full(size, -1.0)
         self.rounded = np.full(size, -1, dtype=np.int64)
         self.lag = np.zeros(size, dtype=np.int64)
+        self.found = np.full(size, -1.0)
+        self.top_lag = np.zeros(size, dtype=np.int64)
         self.place = np.full(size, np.iinfo(np.int64).max)
 
     def add(self, lag: int, linked: np.ndarray, top: np.ndarray) -> None:
@@ -579,6 +627,8 @@ class _Strongest:
         top_9 = np.where(top < 0, -1, np.rint(np.maximum(top, 0) * 1e9)).astype(np.int64)
         better = (top_9 > self.rounded) | ((top_9 == self.rounded) & (place < self.place))
         self.lag[better], self.rounded[better], self.place[better] = lag, top_9[better], place
+        self.found[better] = top[better]
+        self.top_lag[top > self.strength] = lag
         self.strength = np.maximum(self.strength, top)
 
     def columns(self, block: _Block) -> list[pa.Array]:
@@ -589,20 +639,191 @@ class _Strongest:
             *[pa.array(x[keep], mask=missing) for x in (self.strength, self.rounded, self.lag)],
         ]
 
+    def sizes(self, block: _Block) -> list[pa.Array]:
+        """City, lag and size of the link chosen, and of the strongest one where nine decimals do not tell the two apart."""
+        keep, more = np.flatnonzero(self.linked), np.flatnonzero(self.linked & (self.strength > self.found))
+        size = np.concatenate([self.found[keep], self.strength[more]])
+        return [
+            block.ids.take(pa.array(np.concatenate([keep, more]))),
+            pa.array(np.concatenate([self.lag[keep], self.top_lag[more]])),
+            pa.array(size, mask=size < 0),
+        ]
+
+
+class _Short:
+    """Standardized series of tiles in single precision, for the lag that is at hand, and room for their products."""
+
+    def __init__(self):
+        self.held: dict[tuple, tuple] = {}
+        self.kinds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.room = np.empty(0, np.float32)
+
+    def product(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """`one @ two.T`, which holds until the next product."""
+        shape = len(one), len(two)
+        if math.prod(shape) > len(self.room):
+            self.room = np.empty(math.prod(shape), np.float32)
+        return np.matmul(one, two.T, out=self.room[: math.prod(shape)].reshape(shape))
+
+    def _kept(self, key: tuple, made: Callable[[], tuple]) -> tuple:
+        if key not in self.held:
+            if sum(found[0].nbytes for found in self.held.values()) > MOST_SHORT:
+                self.held.clear()
+            self.held[key] = made()
+        return self.held[key]
+
+    def units(self, tile: _Block, cut: slice, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """`_units`, and the rows that have none; these are 0."""
+
+        def made() -> tuple:
+            unit = _units(tile, cut, met)
+            none = np.flatnonzero(np.isnan(unit).any(axis=1))
+            unit[none] = 0
+            return unit.astype(np.float32), none
 
-def _strongest_of_tiles(a: _Block, b: _Block, max_lag: int, same: bool) -> pa.Table:
-    """Best candidate of each city of `a` over all partners in `b`, and the other way round unless they are the same."""
-    own = None
-    if np.isin(a.id_values, b.id_values).any():
-        own = a.id_values[:, None] == b.id_values[None, :]
-    one, two = _Strongest(len(a.id_values)), _Strongest(len(b.id_values))
-    for lag in range(-max_lag, max_lag + 1):
-        rows, r = _moments(a, b, lag)
-        size, shared = np.abs(r), rows > 0
+        return self._kept((id(tile), "units", cut.start, met.tobytes()), made)
+
+    def scaled(self, tile: _Block, cut: slice) -> tuple[np.ndarray, np.ndarray]:
+        """The values in length 1, as they are, and their length."""
+
+        def made() -> tuple:
+            length = np.sqrt(tile.square[:, cut].sum(axis=1))
+            length = np.where(length > 0, length, 1.0)
+            return (tile.total[:, cut] / length[:, None]).astype(np.float32), length
+
+        return self._kept((id(tile), "scaled", cut.start), made)
+
+    def among(self, tile: _Block, cut: slice, months: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, np.ndarray, np.ndarray]:
+        """Deviations in one unit of the values in `months`, any repeats included; rows that have none; the greatest length.
+
+        And the different rows of counts, and which of them each city has.
+        """
+
+        def made() -> tuple:
+            count, total, square = (grid[:, cut] * months for grid in (tile.count, tile.total, tile.square))
+            n, size = count.sum(axis=1), square.sum(axis=1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                mean = total.sum(axis=1) / n
+                spread = size - mean * mean * n
+                defined = (n > 1) & (spread > CONSTANT_TOLERANCE * size)
+                unit = (total - mean[:, None] * count) / np.sqrt(spread)[:, None]
+            unit[~defined] = 0
+            length = float(np.sqrt((unit * unit).sum(axis=1).max(initial=0)))
+            if id(tile) not in self.kinds:
+                self.kinds[id(tile)] = np.unique(tile.count, axis=0, return_inverse=True)
+            kinds, kind = self.kinds[id(tile)]
+            return unit.astype(np.float32), np.flatnonzero(~defined), length, kinds[:, cut] * months, kind.ravel()
+
+        return self._kept((id(tile), "among", cut.start, months.tobytes()), made)
+
+
+def _sizes(a: _Block, b: _Block, lag: int, short: _Short) -> tuple[np.ndarray | None, float, np.ndarray]:
+    """Sizes of the correlations of all pairs, -1 where there is none, and their greatest error; and who shares a month.
+
+    The sizes of tiles of which one is whole are taken in single precision from one product; None if no pair has one.
+    """
+    width = a.rows.shape[1]
+    nobody = np.zeros((1, 1), bool)
+    if abs(lag) >= width:
+        return None, 0.0, nobody
+    own, far = _windows(width, lag)
+    if a.whole and b.whole:
+        met = a.months[own] * b.months[far]
+        n = met.sum()
+        if n < 2:
+            return None, 0.0, nobody | (n > 0)
+        (one, none_one), (two, none_two) = short.units(a, own, met), short.units(b, far, met)
+        size = short.product(one, two)
+        np.abs(size, out=size)
+        size[none_one] = -1
+        size[:, none_two] = -1
+        return size, (width + 4) * SHORT, ~nobody
+    if b.whole:
+        size, error, shared = _sizes(b, a, -lag, short)
+        return None if size is None else size.T, error, shared.T
+    if a.whole:
+        months = a.months[own]
+        shared = (b.rows[:, far] @ months > 0)[None, :]
+        (two, none, length, kinds, kind), (one, own_length) = short.among(b, far, months), short.scaled(a, own)
+        n = kinds.sum(axis=1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            total, square = a.total[:, own] @ kinds.T, a.square[:, own] @ kinds.T
+            spread = square - total * total / n
+            scale = np.where((n > 1) & (spread > CONSTANT_TOLERANCE * square), own_length[:, None] / np.sqrt(spread), np.nan)
+        error = (width + 8) * SHORT * length * np.nanmax(scale, initial=1.0)
+        if error < MOST_ERROR and np.isfinite(own_length).all():
+            size = short.product(one, two)
+            known = np.isfinite(scale)
+            size *= np.where(known, scale, 0).astype(np.float32)[:, kind]  # 0 is seen to be undefined in full precision
+            np.abs(size, out=size)
+            size[~known.any(axis=1)] = -1
+            size[:, none] = -1
+            return size, error, shared
+    rows, r = _moments(a, b, lag)
+    np.abs(r, out=r)
+    r[np.isnan(r)] = -1
+    return r, NEAR, rows > 0
+
+
+def strongest_of(low: _Block, high: _Block | None, max_lag: int) -> Iterator[tuple[_Strongest, _Block]]:
+    """The tiles of two blocks with the best link of each city to the other block, or to its own if `high` is None.
+
+    All pairs of tiles are multiplied, in single precision first. A pair that is weaker by more than the
+    error than another one of the same city, at this lag or before, is not its strongest; the others are computed in full.
+    """
+    a_side, b_side = (
+        [(_Strongest(len(tile.id_values)), tile) for tile in block.tiles(TILE)] if block is not None else None for block in (low, high)
+    )
+    common: dict[tuple, np.ndarray | None] = {}
+    short = _Short()
+    for lag in sorted(range(-max_lag, max_lag + 1), key=abs):
+        short.held.clear()
+        for k, (one, a) in enumerate(a_side):
+            for m, (two, b) in enumerate(a_side[k:] if b_side is None else b_side):
+                if (k, m) not in common:
+                    met = np.isin(a.id_values, b.id_values).any()
+                    common[k, m] = a.id_values[:, None] == b.id_values[None, :] if met else None
+                _strongest_of_tiles((one, a), (two, b), lag, common[k, m], short)
+    yield from a_side
+    yield from b_side or []
+
+
+def _strongest_of_tiles(
+    one_side: tuple[_Strongest, _Block], two_side: tuple[_Strongest, _Block], lag: int, own: np.ndarray | None, short: _Short
+) -> None:
+    """Takes the links of two tiles at one lag, from both sides unless they are the same; `own` marks pairs of one id."""
+    (one, a), (two, b) = one_side, two_side
+    size, error, shared = _sizes(a, b, lag, short)
+    if own is not None:
+        shared = shared & ~own
+        if size is not None:
+            size[own] = -1
+    sides = ((one, 1, lag), (two, 0, -lag))[: 1 if one is two else 2]
+    for best, axis, _ in sides:
+        best.linked |= shared.any(axis=axis)
+    if size is None:
+        return
+    found = []
+    for best, axis, _ in sides:
+        top = size.max(axis=axis, initial=-1).astype(float)
+        some = np.flatnonzero((top >= 0) & (top >= best.strength - NEAR - error))
+        least = np.maximum(np.maximum(top - 2 * error, best.strength - NEAR - error), 0)[some]
+        at, other = np.nonzero((size if axis else size.T)[some] >= least[:, None])
+        found.append((some[at], other) if axis else (other, some[at]))
+    if sum(len(i) for i, _ in found) > MOST_NEAR * size.size:
+        r = np.abs(_moments(a, b, lag)[1])
+        r[np.isnan(r)] = -1
         if own is not None:
-            size[own], shared[own] = np.nan, False
-        for best, axis, sign in ((one, 1, 1),) if same else ((one, 1, 1), (two, 0, -1)):
-            best.add(sign * lag, shared.any(axis=axis), np.fmax.reduce(size, axis=axis, initial=-1.0))
-    schema = _arrow_schema(LINK_SCHEMA)
-    tiles = ((one, a),) if same else ((one, a), (two, b))
-    return pa.concat_tables([pa.Table.from_arrays(best.columns(tile), schema=schema) for best, tile in tiles])
+            r[own] = -1
+        for best, axis, at_lag in sides:
+            best.add(at_lag, best.linked, r.max(axis=axis, initial=-1))
+        return
+    i, j = (np.concatenate(ends) for ends in zip(*found))
+    if not len(i):
+        return
+    r = np.abs(_moments_of(a, i, j, lag, b)[1])
+    parts = np.split(np.where(np.isnan(r), -1, r), [len(found[0][0])])
+    for (best, axis, at_lag), (i, j), strength in zip(sides, found, parts):
+        top = np.full(len(best.strength), -1.0)
+        np.maximum.at(top, i if axis else j, strength)
+        best.add(at_lag, best.linked, top)

@@ -238,3 +238,63 @@ def test_a_large_fleet_has_larger_blocks_not_more(spark):
     assert pairs.count() == 600 * 599 // 2
     sent = telecon._block_pairs(spark.createDataFrame(rows, SCHEMA), telecon.blocks_for(600, 2))
     assert sent.count() == 600 * telecon.MOST_BLOCKS
+
+
+def mixed(cities=90, months=30, seed=9):
+    """Months shared by many cities, in two kinds; some cities with gaps, missing or repeated values, constant ones and copies."""
+    rng = random.Random(seed)
+    rows = []
+    for c in range(cities):
+        for t in range(months - (c % 3 == 0)):
+            x = 2.5 if c in (5, 40) else math.sin(t * t) if c in (6, 7, 50) else rng.gauss(0, 1)
+            if c % 9 == 4 and t == c % 20:
+                continue
+            rows.append((c, f"city {c}", 2000 + t // 12, t % 12 + 1, None if c % 10 == 8 and t == 11 else x))
+    return rows + [(c, f"city {c}", 2001, 3, 0.75) for c in (8, 13)]
+
+
+@pytest.mark.parametrize("shares", [(1 / 32, 1e-2), (0.0, 0.0), (1.0, 1.0)])
+def test_strongest_links_of_tiles_with_few_kinds_of_months(spark, monkeypatch, shares):
+    monkeypatch.setattr(telecon, "TILE", 11)
+    monkeypatch.setattr(telecon, "MOST_NEAR", shares[0])
+    monkeypatch.setattr(telecon, "MOST_ERROR", shares[1])
+    rows = mixed() + [(200, "alone", 2090, 1, 1.0)]
+    for frame in (spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(rows, SCHEMA).where("year * 12 + month <= 24000 + 2")):
+        for block_size in (30, 256):
+            config = ClimateConfig(max_lag=3, block_size=block_size)
+            table = {r.city_id: r for r in telecon.best_lag(telecon.lag_correlations(frame, config)).collect()}
+            direct = {r.city_id: r for r in telecon.strongest_links(frame, config).collect()}
+            assert table.keys() == direct.keys() and 200 not in direct
+            for city, row in table.items():
+                assert direct[city].lead_lag_months == row.lead_lag_months, city
+                assert (direct[city].max_lagged_corr is None) == (row.max_lagged_corr is None)
+                assert row.max_lagged_corr is None or abs(direct[city].max_lagged_corr - row.max_lagged_corr) < 1e-12
+
+
+def test_few_kinds_of_months_give_few_tiles_without_gaps():
+    rng = np.random.default_rng(4)
+    months = np.arange(40)
+    kinds = [months, months[:-1], months[months != 7], months]
+    series = [[{"t": int(t), "x": float(rng.normal())} for t in kinds[(c % 40 == 0) + (c % 2) * (c % 40 != 0)]] for c in range(2_000)]
+    columns = {"city_id": list(range(2_000)), "city_name": ["c"] * 2_000}
+    kind = telecon.pa.list_(telecon.pa.struct([("t", telecon.pa.int64()), ("x", telecon.pa.float64())]))
+    table = telecon.pa.table({**columns, "series": telecon.pa.array(series, kind)})
+    tiles = telecon._Block(table, *telecon._time_axis(table, 3)).tiles(512)
+    assert all(tile.whole for tile in tiles) and len(tiles) <= 5
+
+
+def test_few_pairs_are_computed_in_full(monkeypatch):
+    """The strongest links of tiles come from one product in single precision and from pairs that it cannot rule out."""
+    rng = np.random.default_rng(6)
+    points = [[{"t": t, "x": float(rng.normal())} for t in range(60 - c % 2)] for c in range(1_200)]
+    kind = telecon.pa.list_(telecon.pa.struct([("t", telecon.pa.int64()), ("x", telecon.pa.float64())]))
+    columns = {"city_id": list(range(1_200)), "city_name": ["c"] * 1_200}
+    table = telecon.pa.table({**columns, "series": telecon.pa.array(points, kind)})
+    block = telecon._Block(table, *telecon._time_axis(table, 6))
+    full, some = [], []
+    of = telecon._moments_of
+    monkeypatch.setattr(telecon, "_moments", lambda *a: full.append(a))
+    monkeypatch.setattr(telecon, "_moments_of", lambda a, i, *rest: some.append(len(i)) or of(a, i, *rest))
+    best = [b for b, _ in telecon.strongest_of(block, None, 6)]
+    assert not full and 0 < sum(some) < 1_200**2 / 20
+    assert all((b.strength > 0.2).all() for b in best)
