@@ -298,3 +298,26 @@ def test_few_pairs_are_computed_in_full(monkeypatch):
     best = [b for b, _ in telecon.strongest_of(block, None, 6)]
     assert not full and 0 < sum(some) < 1_200**2 / 20
     assert all((b.strength > 0.2).all() for b in best)
+
+
+def series_table(series):
+    """Packed and unpacked again, with the size of each packed city."""
+    kind = telecon.pa.list_(telecon.pa.struct([("t", telecon.pa.int64()), ("x", telecon.pa.float64())]))
+    values = [telecon.pa.array(v, k) for v, k in ((list(range(len(series))), telecon.pa.int64()), (["c"] * len(series), telecon.pa.string()))]
+    batch = telecon.pa.RecordBatch.from_arrays([*values, telecon.pa.array(series, kind)], ["city_id", "city_name", "series"])
+    sent = telecon.pa.Table.from_batches(telecon.packed(iter([batch])))
+    return telecon.unpacked(sent)["series"].to_pylist(), [len(p) for p in sent["points"].to_pylist()]
+
+
+def test_series_come_back_and_a_month_without_gaps_takes_one_value():
+    rng = random.Random(1)
+    whole = [{"t": 24_000 + t, "x": rng.gauss(0, 1)} for t in range(84)]
+    gaps = [p for p in whole if p["t"] % 5]
+    repeated = [*whole[:3], whole[1], {"t": 12, "x": None}, {"t": 119_999, "x": -0.0}, {"t": -3, "x": 2.5}]
+    series = [rng.sample(whole, 84), gaps, repeated, [whole[7]], [{"t": t, "x": 2.5} for t in (1, 2, 4)]]
+    found, sizes = series_table(series)
+    assert sizes[0] <= 8 * 84 + 40 and sizes[4] <= 8 * 7
+    for back, sent in zip(found, series):
+        wanted = sorted(sent, key=lambda p: p["t"])
+        assert [p["t"] for p in back] == [p["t"] for p in wanted]
+        assert all(repr(a["x"]) == repr(b["x"]) or (b["x"] is None and math.isnan(a["x"])) for a, b in zip(back, wanted))
